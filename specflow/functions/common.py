@@ -23,3 +23,17 @@ def require_columns(df: DataFrame, names: Iterable[str], who: str = "operator")
     missing = [name for name in names if name not in df.columns]
     if missing:
         raise ValueError(f"{who}: missing columns {missing}; available: {df.columns}")
+
+
+def settle(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Pin costly computed columns, so that they are evaluated once per row.
+
+    A filter on a computed column is pushed below the projection that computes
+    it, which repeats the whole expression (for a parsed score, the parsing) in
+    the filter, once per use.  Filters do not move below a generator on its own
+    output, so the columns are passed through one that yields exactly one row.
+    """
+    columns = list(columns)
+    kept = [c for c in df.columns if c not in columns]
+    row = F.struct(*[F.col(c).alias(c) for c in columns])
+    return df.select(*kept, F.inline_outer(F.array(row))).select(*df.columns)

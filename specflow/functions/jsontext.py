@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specflow.functions.common import ColumnOrName, as_col
@@ -28,21 +28,23 @@ _BAD_CONTROL = r"[\x01-\x08\x0b\x0c\x0e-\x1f]"
 
 
 def from_braces(text: ColumnOrName) -> Column:
-    """From the first ``{`` to the last ``}``, null when there is no such span."""
-    text = as_col(text)
-    first = F.instr(text, "{")
-    last = F.length(text) - F.instr(F.reverse(text), "}") + 1
-    found = (first > 0) & F.contains(text, F.lit("}")) & (last > first)
-    return F.when(found, F.substr(text, first, last - first + 1))
+    """From the first ``{`` to the last ``}``, empty when there is no such span."""
+    return F.regexp_extract(as_col(text), r"(?s)\A[^{]*+(\{.*\})", 1)
+
+
+def unfenced(raw: ColumnOrName) -> Column:
+    """Answer without code fences and outer blanks."""
+    return strip(F.replace(F.replace(as_col(raw), F.lit("```json")), F.lit("```")))
 
 
 def clean_json(raw: ColumnOrName) -> Column:
     """Answer without code fences, cut to its outermost braces when it has them."""
     raw = as_col(raw)
-    unfenced = strip(F.replace(F.replace(raw, F.lit("```json")), F.lit("```")))
-    blank = strip(raw) == ""
-    return F.when(raw.isNull(), F.lit("")).when(blank, raw).otherwise(
-        F.coalesce(from_braces(unfenced), unfenced)
+    cut = F.nullif(from_braces(unfenced(raw)), F.lit(""))
+    return (
+        F.when(raw.isNull(), F.lit(""))
+        .when(strip(raw) == "", raw)
+        .otherwise(F.coalesce(cut, unfenced(raw)))
     )
 
 
@@ -63,18 +65,30 @@ def repair_json(cleaned: ColumnOrName) -> Column:
     return F.regexp_replace(text, rf",{WS}*(?=[}}\]])", "")
 
 
-def json_object(text: ColumnOrName, lax: bool = False) -> Column:
-    """``map<string,string>`` of a JSON object's top level; null if it is anything else."""
-    values = F.from_json(_with_end(text), "array<map<string,string>>", _LAX if lax else _STRICT)
-    complete = (F.size(values) == 2) & (F.get(values, F.lit(1))[_END_KEY] == "1")
-    return F.when(complete & _plain(text, lax), F.get(values, F.lit(0)))
+def with_json_object(df: DataFrame, text: str, out: str, lax: bool = False) -> DataFrame:
+    """Add a JSON object's top level as ``map<string,string>``; null if ``text`` is anything else.
 
-
-def is_json(text: ColumnOrName, lax: bool = False) -> Column:
-    """Whether the text is one JSON value of any type."""
-    values = F.from_json(_with_end(text), "array<string>", _LAX if lax else _STRICT)
-    complete = (F.size(values) == 2) & (F.get(values, F.lit(1)) == f'{{"{_END_KEY}":"1"}}')
-    return F.coalesce(complete & _plain(text, lax), F.lit(False))
+    The parsed value is used several times below and parsing is the costly
+    part, so it is a column of its own.
+    """
+    mode = _LAX if lax else _STRICT
+    values = F.from_json(_with_end(text), "array<map<string,string>>", mode)
+    staged = df.withColumn("__values", F.when(_plain(text, lax), values))
+    value = F.col("__values")
+    complete = (F.size(value) == 2) & (F.get(value, F.lit(1))[_END_KEY] == "1")
+    return staged.withColumn(out, F.when(complete, F.get(value, F.lit(0)))).drop("__values")
+
+
+def with_json_check(
+    df: DataFrame, text: str, out: str, needed: Column, lax: bool = False
+) -> DataFrame:
+    """Add whether ``text`` is one JSON value of any type; false where not ``needed``."""
+    mode = _LAX if lax else _STRICT
+    values = F.from_json(_with_end(text), "array<string>", mode)
+    staged = df.withColumn("__values", F.when(needed & _plain(text, lax), values))
+    value = F.col("__values")
+    complete = (F.size(value) == 2) & (F.get(value, F.lit(1)) == f'{{"{_END_KEY}":"1"}}')
+    return staged.withColumn(out, F.coalesce(complete, F.lit(False))).drop("__values")
 
 
 def nearest_key(key: ColumnOrName, expected: Sequence[str], threshold: int = 2) -> Column:
@@ -137,4 +151,5 @@ def _with_end(text: ColumnOrName) -> Column:
 
 
 def _plain(text: ColumnOrName, lax: bool) -> Column:
-    return ~as_col(text).rlike(_BAD_CONTROL) if lax else F.lit(True)
+    text = as_col(text)
+    return text.isNotNull() & ~text.rlike(_BAD_CONTROL) if lax else text.isNotNull()

@@ -103,12 +103,15 @@ def pair_prompt(
     return render(template, values)
 
 
+def retry_note(attempt: int) -> str:
+    return (
+        f"\n\nRETRY {attempt}: your last answer scored at least one criterion 0. "
+        "A score of 0 is not allowed; give every criterion 1 to 10."
+    )
+
+
 def stricter(prompt: ColumnOrName, attempt: int) -> Column:
     """The prompt for re-ask number ``attempt`` after an answer that held a zero score."""
     if attempt == 0:
         return as_col(prompt)
-    note = (
-        f"\n\nRETRY {attempt}: your last answer scored at least one criterion 0. "
-        "A score of 0 is not allowed; give every criterion 1 to 10."
-    )
-    return F.concat(as_col(prompt), F.lit(note))
+    return F.concat(as_col(prompt), F.lit(retry_note(attempt)))

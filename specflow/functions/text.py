@@ -14,6 +14,11 @@ from specflow.functions.common import ColumnOrName, as_col
 
 # --- fixed values -----------------------------------------------------------
 WS = r"[\t-\r\x1c-\x1f \x85\p{Z}]"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 DIGIT = r"\p{Nd}"
 
 # "As a ROLE, I want FEATURE so that BENEFIT" on text whose blanks are already
@@ -26,16 +31,15 @@ _MARKER = rf"(?:{DIGIT}+|[a-z])[.)]"
 _NOTE = rf"(?:\([^)]*\){WS}*)?"
 _SUMMARY = rf"\*{{0,2}}[Ss]ummary{WS}*\*{{0,2}}{WS}*:"
 
-# A break is a whole run of blanks that holds a newline and stands before a task.
-# Cutting the run out leaves stripped, non-blank pieces.
-_RUN = rf"(?<!{WS})(?={WS}*\n){WS}++"
-_RUN_TO_LINE_START = rf"(?<!{WS}){WS}++(?<=\n)"
+# A break begins at the first newline of a run of blanks that ends at a task and
+# takes the rest of the run.  Blanks before that newline stay with the piece.
+_LINE = r"\n(?<!\n\n)"
 
-NUMBERED_BREAK = rf"{_RUN}(?={_MARKER}{WS}*{_NOTE}{_SUMMARY})"
+NUMBERED_BREAK = rf"{_LINE}{WS}*+(?={_MARKER}{WS}*{_NOTE}{_SUMMARY})"
 NUMBERED_START = rf"(?iu)^{WS}*(?:{_MARKER})?{WS}*{_NOTE}{_SUMMARY}"
-LABEL_BREAK = rf"{_RUN_TO_LINE_START}(?={_SUMMARY})"
+LABEL_BREAK = rf"\n(?={_SUMMARY})"
 LABEL_START = rf"^{_SUMMARY}"
-LETTERED_BREAK = rf"{_RUN}(?=[a-z]\){WS}+{DIGIT}+\.{DIGIT}+\.{WS}+)"
+LETTERED_BREAK = rf"{_LINE}{WS}*+(?=[a-z]\){WS}+{DIGIT}+\.{DIGIT}+\.{WS}+)"
 LETTERED_START = rf"^(?:[a-z]\)|[Ss]ummary{WS}*:)"
 
 # Prefixes removed from a task, one after the other: "12. " "12) " "a) " "a. " "4.1 "
@@ -60,7 +64,7 @@ CUT = "\ufdd0"
 
 def strip(text: ColumnOrName) -> Column:
     """Remove leading and trailing blanks of every kind (``trim`` knows only the space)."""
-    return F.regexp_replace(as_col(text), rf"\A{WS}++|(?<!{WS}){WS}++\z", "")
+    return F.btrim(as_col(text), F.lit(BLANKS))
 
 
 def squeeze(text: ColumnOrName) -> Column:
@@ -75,10 +79,10 @@ def is_story(text: ColumnOrName, case_sensitive: bool = False) -> Column:
 
 
 def cut_before(stripped: ColumnOrName, line_break: str) -> Column:
-    """Pieces of a stripped text, cut at the runs of blanks ``line_break`` matches.
+    """Pieces of a stripped text, cut where ``line_break`` matches; ends are not stripped.
 
     Spark compiles the pattern of ``split`` for every row but keeps the one of
-    ``regexp_replace``, so the runs are first turned into a reserved character.
+    ``regexp_replace``, so the breaks are first turned into a reserved character.
     A text that already holds that character is split directly.
     """
     text = as_col(stripped)
@@ -99,7 +103,7 @@ def without_preamble(pieces: ColumnOrName, start: str) -> Column:
 
 def without_marker(task: ColumnOrName, strict_numbers: bool = False) -> Column:
     """Stripped task text without its list marker."""
-    task = as_col(task)
+    task = strip(task)
     for prefix in TASK_PREFIXES + (STRICT_PREFIXES if strict_numbers else ()):
         task = F.regexp_replace(task, prefix, "")
     return task
@@ -118,7 +122,7 @@ def without_bold(task: ColumnOrName) -> Column:
 
 def clean_task(task: ColumnOrName, strict_numbers: bool = False) -> Column:
     """Task text without its list marker and without bold marks on its labels."""
-    return without_bold(without_marker(strip(task), strict_numbers))
+    return without_bold(without_marker(task, strict_numbers))
 
 
 def task_summary(task: ColumnOrName) -> Column:

@@ -39,7 +39,7 @@ def lookup_join(
     last = F.coalesce(F.col("__parts"), F.lit(1)) - 1
     spread = (
         right.join(F.broadcast(hot), key, "left")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("__salt", F.explode_outer(F.sequence(F.lit(0), last)))
         .drop("__parts")
     )
     return salted.join(spread, [key, "__salt"], how).drop("__salt")

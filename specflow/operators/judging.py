@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from specflow.functions import jsontext as J
 from specflow.functions import prompts
-from specflow.functions.common import ColumnOrName, as_col, require_columns
+from specflow.functions.common import ColumnOrName, as_col, require_columns, settle
 from specflow.functions.numbers import clamped_score, to_number
 from specflow.operators.columns import CRITERIA, check_settings, chosen, drop_missing
-from specflow.operators.inference import ModelCall, generate
+from specflow.operators.inference import Ask, ModelCall, ask_lazily
 from specflow.operators.parsing import parse_json
+from specflow.session import materialize
 
 # --- fixed values -----------------------------------------------------------
 THRESHOLD = 35.0
@@ -102,7 +103,8 @@ def parse_judgement(
         .when(failed_call, F.lit("call_failed"))
         .otherwise(F.lit("parse_failed")),
     }
-    return parsed.withColumns(columns).drop("__fields", "__how", "__entries", "__total", *points)
+    scored = parsed.withColumns(columns)
+    return settle(scored.drop("__fields", "__how", "__entries", "__total", *points), columns)
 
 
 def parse_pair_judgement(
@@ -125,13 +127,15 @@ def parse_pair_judgement(
     """
     require_columns(df, [raw_column], "parse_pair_judgement")
     raw = F.col(raw_column)
+    # the whole answer first; only text around or instead of an object is cut away
     opens = raw.rlike(r"^[ \t\n\r]*\{")
-    staged = (
-        df.withColumn("__direct", F.when(opens, J.json_object(raw)))
-        .withColumn("__other", F.when(~opens, J.is_json(raw)).otherwise(F.lit(False)))
-        .withColumn("__cut", F.when(F.col("__direct").isNull() & ~F.col("__other"), J.from_braces(raw)))
-        .withColumn("__fields", F.coalesce(F.col("__direct"), J.json_object("__cut")))
-    )
+    staged = df.withColumn("__whole", F.when(opens, raw))
+    staged = J.with_json_object(staged, "__whole", "__direct")
+    staged = staged.withColumn("__rest", F.when(F.col("__direct").isNull(), raw))
+    staged = J.with_json_check(staged, "__rest", "__other", ~opens)
+    staged = staged.withColumn("__cut", F.when(~F.col("__other"), J.from_braces("__rest")))
+    staged = J.with_json_object(staged, "__cut", "__inner")
+    staged = staged.withColumn("__fields", F.coalesce("__direct", "__inner"))
     fields = F.col("__fields")
     if accept_nested:
         staged = staged.withColumns(
@@ -167,17 +171,19 @@ def parse_pair_judgement(
         .when(any_given, F.lit("ok"))
         .otherwise(F.lit("empty"))
     )
-    scored = staged.withColumns(scores).withColumns(
-        {
-            **totals,
-            f"{prefix}winner": F.when(named == "B", F.lit("B")).otherwise(F.lit("A")),
-            f"{prefix}reason": F.when(failed_call, error).otherwise(F.coalesce(fields["reason"], F.lit(""))),
-            status: how,
-        }
-    )
+    rest = {
+        **totals,
+        f"{prefix}winner": F.when(named == "B", F.lit("B")).otherwise(F.lit("A")),
+        f"{prefix}reason": F.when(failed_call, error).otherwise(
+            F.coalesce(fields["reason"], F.lit(""))
+        ),
+        status: how,
+    }
+    scored = staged.withColumns(scores).withColumns(rest)
     steps = [f"__n_{side}_{c}" for side in "ab" for c in criteria]
-    steps += ["__direct", "__other", "__cut", "__fields", "__nested_a", "__nested_b"]
-    return scored.drop(*steps)
+    steps += ["__whole", "__direct", "__rest", "__other", "__cut", "__inner", "__fields"]
+    steps += ["__nested_a", "__nested_b"]
+    return settle(scored.drop(*steps), [*scores, *rest])
 
 
 def has_zero(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -209,20 +215,20 @@ def ask_until_scored(
 ) -> DataFrame:
     """Ask, parse, and ask again with a stricter prompt where a score came back 0.
 
-    Rounds instead of a loop per row: each round writes its replies, the rows
-    without a zero are finished, and the (far fewer) others go into the next
-    one.  The last answer is kept, and seconds add up over the rounds.
+    Rounds instead of a loop per row: each round writes its replies with their
+    scores, the rows without a zero are finished, and the (far fewer) others go
+    into the next one.  The last answer is kept, and seconds add up.
     """
     raw, spent = "__raw", "__spent"
+    extra = [raw, f"{raw}_error", f"{raw}_attempts", "__seconds", "__prompt"]
     pending = df.withColumn("__prompt", as_col(prompt)).withColumn(spent, F.lit(0.0))
     finished: list[DataFrame] = []
     for attempt in range(zero_retries + 1):
-        asked = generate(
-            pending, prompts.stricter("__prompt", attempt), call, raw, "__seconds", True, partitions
-        )
-        scored = parse(asked, raw).withColumn(
+        ask = Ask(prompts.stricter("__prompt", attempt), raw, call, "__seconds", details=True)
+        scored = parse(ask_lazily(pending, [ask], partitions), raw).withColumn(
             spent, F.col(spent) + F.coalesce(F.col("__seconds"), F.lit(0.0))
         )
+        scored = materialize(scored, "judged")
         if attempt == zero_retries:
             finished.append(scored)
             break
@@ -235,9 +241,7 @@ def ask_until_scored(
     result = finished[0]
     for part in finished[1:]:
         result = result.unionByName(part)
-    return result.withColumn(time_column, F.col(spent)).drop(
-        raw, f"{raw}_error", f"{raw}_attempts", "__seconds", spent, "__prompt"
-    )
+    return result.withColumn(time_column, F.col(spent)).drop(*extra, spent)
 
 
 def judge(

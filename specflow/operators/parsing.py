@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specflow.functions import jsontext as J
-from specflow.functions.common import require_columns
+from specflow.functions.common import require_columns, settle
 
-_STEPS = ("__clean", "__direct", "__mended", "__lax")
+_STEPS = ("__text", "__cut", "__clean", "__direct", "__other", "__mended", "__lax", "__lax_other")
 
 
 def parse_json(
@@ -23,21 +23,25 @@ def parse_json(
     rows the strict parse refuses.
     """
     require_columns(df, [raw_column], "parse_json")
-    clean, direct, mended, lax = (F.col(c) for c in _STEPS)
+    text, cut, clean, direct, other, mended, lax, lax_other = (F.col(c) for c in _STEPS)
     staged = (
-        df.withColumn("__clean", J.clean_json(raw_column))
-        .withColumn("__direct", J.json_object(clean))
-        .withColumn("__ok", direct.isNotNull() | J.is_json(clean))
-        .withColumn("__mended", F.when(~F.col("__ok"), J.repair_json(clean)))
-        .withColumn("__lax", F.when(mended.isNotNull(), J.json_object(mended, lax=True)))
+        df.withColumn("__text", J.unfenced(F.coalesce(F.col(raw_column), F.lit(""))))
+        .withColumn("__cut", J.from_braces(text))
+        .withColumn("__clean", F.when(cut != "", cut).otherwise(text))
     )
+    staged = J.with_json_object(staged, "__clean", "__direct")
+    staged = J.with_json_check(staged, "__clean", "__other", direct.isNull())
+    ok = direct.isNotNull() | other
+    staged = staged.withColumn("__mended", F.when(~ok, J.repair_json(clean)))
+    staged = J.with_json_object(staged, "__mended", "__lax", lax=True)
+    staged = J.with_json_check(staged, "__mended", "__lax_other", lax.isNull(), lax=True)
     how = (
-        F.when(F.col("__ok"), F.lit("direct"))
-        .when(lax.isNotNull() | J.is_json(mended, lax=True), F.lit("repaired"))
+        F.when(ok, F.lit("direct"))
+        .when(lax.isNotNull() | lax_other, F.lit("repaired"))
         .otherwise(F.lit("failed"))
     )
     parsed = staged.withColumns({fields: F.coalesce(direct, lax), status: how})
-    return parsed.drop("__ok", *_STEPS)
+    return settle(parsed.drop(*_STEPS), [fields, status])
 
 
 def parse_metrics(df: DataFrame, status: str = "parse_status") -> DataFrame:

@@ -258,8 +258,7 @@ def outliers(df: DataFrame, boxes: DataFrame, by: Sequence[str] = (), prefix: st
 
 def _grouped(df: DataFrame, by: Sequence[str], prefix: str, exclude_failed: bool):
     if exclude_failed:
-        judged = F.coalesce(F.col(f"{prefix}score_a_total") != FAILED_TOTAL, F.lit(True))
-        df = df.filter(judged)
+        df = df.filter(~F.col(f"{prefix}score_a_total").eqNullSafe(F.lit(FAILED_TOTAL)))
     return df.groupBy(*by)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specflow.functions import text as T
-from specflow.functions.common import ColumnOrName, as_list, require_columns
+from specflow.functions.common import ColumnOrName, as_list, require_columns, settle
 from specflow.operators.ids import (
     CHUNK,
     PLACE,
@@ -30,6 +30,11 @@ def split_tasks(df: DataFrame, tasks_column: str, out: str = "task_list") -> Dat
     task is kept whole as one; a null answer gives one null task.
     """
     require_columns(df, [tasks_column], "split_tasks")
+    return _list_tasks(df, tasks_column, out).withColumn(out, F.transform(out, T.strip))
+
+
+def _list_tasks(df: DataFrame, tasks_column: str, out: str) -> DataFrame:
+    """``split_tasks`` with blanks left at the ends of the pieces."""
     text, numbered, labelled, lettered = (F.col(c) for c in _STEPS)
     few = F.size(numbered) < 2
     still_few = few & (F.size(labelled) < 2)
@@ -49,7 +54,7 @@ def split_tasks(df: DataFrame, tasks_column: str, out: str = "task_list") -> Dat
         .when(F.size(numbered) == 1, numbered)
         .otherwise(F.array(text))
     )
-    return staged.withColumn(out, found).drop(*_STEPS)
+    return settle(staged.withColumn(out, found).drop(*_STEPS), [out])
 
 
 def explode_tasks(
@@ -72,7 +77,7 @@ def explode_tasks(
     the answer and nothing is shuffled.
     """
     require_columns(df, [tasks_column, *([group_by] if group_by else [])], "explode_tasks")
-    listed = split_tasks(df, tasks_column, "__tasks")
+    listed = _list_tasks(df, tasks_column, "__tasks")
     kept = [
         c
         for c in df.columns
@@ -83,12 +88,12 @@ def explode_tasks(
         if not order_by:
             raise ValueError("explode_tasks: a number over the whole table needs order_by")
         ordered = order_rows(listed, order_by, unique_order, partitions)
-        exploded = ordered.select(*kept, F.explode("__tasks").alias("__task"))
+        exploded = ordered.select(*kept, F.explode_outer("__tasks").alias("__task"))
         numbered = number_rows(exploded, "tasks")
         source = numbered.join(F.broadcast(chunk_starts(numbered)), CHUNK)
         number = F.col("__start") + F.col(PLACE) + 1
     elif unique_group:
-        source = listed.select(*kept, F.posexplode("__tasks").alias("__place", "__task"))
+        source = listed.select(*kept, F.posexplode_outer("__tasks").alias("__place", "__task"))
         number = F.col("__place").cast("long") + 1
     else:
         if not order_by:
@@ -96,7 +101,7 @@ def explode_tasks(
         before = running_total_before(
             listed, group_by, as_list(order_by), F.size("__tasks"), "__before", partitions
         )
-        source = before.select(*kept, "__before", F.posexplode("__tasks").alias("__place", "__task"))
+        source = before.select(*kept, "__before", F.posexplode_outer("__tasks").alias("__place", "__task"))
         number = F.col("__before") + F.col("__place") + 1
     bare = T.without_marker("__task", strict_numbers)
     numbered_tasks = source.select(*kept, number.alias(task_id_column), bare.alias(output_column))
@@ -127,9 +132,9 @@ def compare_tasks(
     needs no join: the two lists are zipped and exploded together.
     """
     require_columns(df, [key, tasks_a, tasks_b, *carry], "compare_tasks")
-    listed = split_tasks(split_tasks(df, tasks_a, "__a"), tasks_b, "__b")
+    listed = _list_tasks(_list_tasks(df, tasks_a, "__a"), tasks_b, "__b")
     zipped = listed.select(
-        key, *carry, F.posexplode(F.arrays_zip("__a", "__b")).alias("__place", "__pair")
+        key, *carry, F.posexplode_outer(F.arrays_zip("__a", "__b")).alias("__place", "__pair")
     )
     paired = zipped.select(
         key,

@@ -79,9 +79,9 @@ def build_structured_story(
     return df.withColumn(out, F.to_json(cell, {"ignoreNullFields": "false"}))
 
 
-def file_stem(path: ColumnOrName) -> Column:
-    """File name without folder and extension."""
-    return F.regexp_extract(as_col(path), r"([^/]*?)(?:\.[^./]*)?\z", 1)
+def result_stem(path: ColumnOrName) -> Column:
+    """Name of the result file (or of the folder of part files) without its extension."""
+    return F.regexp_extract(as_col(path), rf"([^/]*{RESULT_SUFFIX})(?:\.csv)?(?:/[^/]*)?\z", 1)
 
 
 def config_id(stem: ColumnOrName, numbered: bool = False) -> Column:
@@ -104,13 +104,14 @@ def read_judge_results(
 ) -> DataFrame:
     """All ``*_judge_results.csv`` of a folder as text columns plus ``test`` and ``Config``.
 
-    The files may differ in columns and column order.  CSV columns are
-    positional in Spark, so the cells are read as an array, each file's own
-    header line gives the positions, and a column the file lacks is null.
+    Each may be a file or a folder of part files, and they may differ in
+    columns and column order.  CSV columns are positional in Spark, so the
+    cells are read as an array, each file's own header line gives the
+    positions, and a column the file lacks is null.
     """
     cells = ", ".join(f"c{i} string" for i in range(_MAX_COLUMNS))
-    options = {**_CSV, "header": False, "pathGlobFilter": f"*{RESULT_SUFFIX}.csv"}
-    raw = spark.read.options(**options).schema(cells).csv(folder)
+    options = {**_CSV, "header": False}
+    raw = spark.read.options(**options).schema(cells).csv(f"{folder}/*{RESULT_SUFFIX}.csv")
     raw = raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.array(*[F.col(f"c{i}") for i in range(_MAX_COLUMNS)]).alias("cells"),
@@ -124,15 +125,30 @@ def read_judge_results(
         rows = rows.join(F.broadcast(names), "file")
     else:
         rows = lookup_join(rows, names, "file", how="inner")
-    placed = rows.select(
-        "file",
-        *[
-            F.get("cells", F.nullif(F.array_position("names", F.lit(c)), F.lit(0)).cast("int") - 1).alias(c)
-            for c in columns
-        ],
-    )
-    stem = file_stem(F.url_decode("file"))
-    return placed.withColumn("test", stem).withColumn("Config", config_id("test", numbered)).drop("file")
+    placed = rows.select("file", *[_cell(c).alias(c) for c in columns])
+    return _with_config(placed, numbered)
+
+
+def read_judge_tables(
+    spark: SparkSession,
+    folder: str,
+    columns: Sequence[str] = JUDGE_RESULT_COLUMNS,
+    numbered: bool = False,
+) -> DataFrame:
+    """The same for results kept as Parquet: columns are matched by name."""
+    raw = spark.read.option("mergeSchema", True).parquet(f"{folder}/*{RESULT_SUFFIX}")
+    found = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in columns]
+    return _with_config(raw.select(F.col("_metadata.file_path").alias("file"), *found), numbered)
+
+
+def _cell(name: str) -> Column:
+    place = F.nullif(F.array_position("names", F.lit(name)), F.lit(0))
+    return F.get("cells", place.cast("int") - 1)
+
+
+def _with_config(df: DataFrame, numbered: bool) -> DataFrame:
+    named = df.withColumn("test", result_stem(F.url_decode("file"))).drop("file")
+    return named.withColumn("Config", config_id("test", numbered))
 
 
 def experiments(spark: SparkSession, rows: Sequence[tuple[str, str, str]] = EXPERIMENTS) -> DataFrame:

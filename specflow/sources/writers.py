@@ -28,7 +28,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
             if f.dataType.typeName() in ("array", "map", "struct")
         }
         df.withColumns(nested).write.mode(mode).options(
-            header=True, quote='"', escape='"', emptyValue=""
+            header=True,
+            quote='"',
+            escape='"',
+            # the writer would otherwise strip the cells
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
         ).csv(path)
     elif fmt == "parquet":
         df.write.mode(mode).parquet(path)
