@@ -22,6 +22,8 @@ _LAX = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "true"}
 _END_KEY = "specflow-end"
 _WORD = r"[\p{L}\p{N}_]"
 _NEXT_KEY = rf'(?="{_WORD}+":)'
+# how a JSON value other than an object begins
+_OTHER_VALUE = r'^[ \t\n\r]*(?:[\["0-9-]|true|false|null|NaN|Infinity)'
 # control characters no repair covers: all but NUL, tab, newline and return
 _BAD_CONTROL = r"[\x01-\x08\x0b\x0c\x0e-\x1f]"
 # ----------------------------------------------------------------------------
@@ -79,13 +81,14 @@ def with_json_object(df: DataFrame, text: str, out: str, lax: bool = False) -> D
     return staged.withColumn(out, F.when(complete, F.get(value, F.lit(0)))).drop("__values")
 
 
-def with_json_check(
+def with_other_json(
     df: DataFrame, text: str, out: str, needed: Column, lax: bool = False
 ) -> DataFrame:
-    """Add whether ``text`` is one JSON value of any type; false where not ``needed``."""
+    """Add whether ``text`` is a JSON value other than an object; false where not ``needed``."""
     mode = _LAX if lax else _STRICT
     values = F.from_json(_with_end(text), "array<string>", mode)
-    staged = df.withColumn("__values", F.when(needed & _plain(text, lax), values))
+    candidate = needed & _plain(text, lax) & as_col(text).rlike(_OTHER_VALUE)
+    staged = df.withColumn("__values", F.when(candidate, values))
     value = F.col("__values")
     complete = (F.size(value) == 2) & (F.get(value, F.lit(1)) == f'{{"{_END_KEY}":"1"}}')
     return staged.withColumn(out, F.coalesce(complete, F.lit(False))).drop("__values")
@@ -94,6 +97,7 @@ def with_json_check(
 def nearest_key(key: ColumnOrName, expected: Sequence[str], threshold: int = 2) -> Column:
     """The expected key fewer than ``threshold`` edits away; ties go to the earlier one."""
     key = as_col(key)
+    expected = list(expected)
     scored = F.array(
         *[
             F.struct(
@@ -104,7 +108,8 @@ def nearest_key(key: ColumnOrName, expected: Sequence[str], threshold: int = 2)
             for place, name in enumerate(expected)
         ]
     )
-    return F.array_min(F.filter(scored, lambda s: s["edits"] >= 0))["name"]
+    nearest = F.array_min(F.filter(scored, lambda s: s["edits"] >= 0))["name"]
+    return F.when(key.isin(expected), key).otherwise(nearest)
 
 
 def named_entries(fields: ColumnOrName, expected: Sequence[str], threshold: int = 2) -> Column:

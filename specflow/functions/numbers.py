@@ -6,17 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from specflow.functions.common import ColumnOrName, as_col
-from specflow.functions.text import WS
+from specflow.functions.text import strip
 
-# the JVM also reads "7d" and "0x1p3" as numbers; these are not
-_DECIMAL = (
-    rf"\A{WS}*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?){WS}*\z"
-)
+# the JVM also reads "7d", "0x1p3" and "NaN" as numbers; a decimal has only these characters
+_NOT_DECIMAL = r"[^0-9eE+.\-]"
 
 
 def to_number(text: ColumnOrName) -> Column:
     """Double written in decimal digits, null for anything else."""
-    return F.regexp_extract(as_col(text).cast("string"), _DECIMAL, 1).try_cast("double")
+    text = strip(as_col(text).cast("string"))
+    return F.when(~text.rlike(_NOT_DECIMAL), text.try_cast("double"))
 
 
 def clamped_score(number: ColumnOrName) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import types as t
 from specflow.functions.common import ColumnOrName, as_col
 from specflow.operators.columns import check_settings
 from specflow.operators.joins import lookup_join
-from specflow.session import materialize, path_exists
+from specflow.session import materialize, paths_like
 
 # executors receive these functions with the task and need no installation
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -129,7 +129,7 @@ def generate_cached(
     spark = df.sparkSession
     keyed = df.withColumn("__prompt", as_col(prompt)).withColumn("key", reply_key("__prompt", call))
     wanted = keyed.filter(F.col("__prompt").isNotNull()).select("key", "__prompt").distinct()
-    if path_exists(spark, store):
+    if paths_like(spark, store):
         known = spark.read.schema(STORE_SCHEMA).parquet(store).select("key").distinct()
         wanted = wanted.join(known, "key", "left_anti")
     asked = ask_lazily(wanted, [Ask("__prompt", "reply", call, "seconds", True)], partitions)

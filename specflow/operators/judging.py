@@ -60,11 +60,16 @@ def parse_judgement(
     require_columns(df, [raw_column], "parse_judgement")
     parsed = parse_json(df, raw_column, "__fields", "__how")
     parsed = parsed.withColumn("__entries", J.named_entries("__fields", criteria))
-    points = {
-        f"__{c}": F.from_json(J.last_value("__entries", c), "puntuacion double")["puntuacion"]
-        for c in criteria
+    # all criteria in one parse: if one of them is not an object, none counts
+    listed = F.concat_ws(",", *[J.last_value("__entries", c) for c in criteria])
+    points = F.from_json(F.concat(F.lit("["), listed, F.lit("]")), "array<struct<puntuacion: double>>")
+    parsed = parsed.withColumn("__points", points)
+    whole = F.size("__points") == len(criteria)
+    each = {
+        f"__{c}": F.when(whole, F.get("__points", F.lit(i))["puntuacion"])
+        for i, c in enumerate(criteria)
     }
-    parsed = parsed.withColumns(points)
+    parsed = parsed.withColumns(each)
     total = F.lit(0.0)
     for c in criteria:
         total = total + F.col(f"__{c}")
@@ -104,7 +109,7 @@ def parse_judgement(
         .otherwise(F.lit("parse_failed")),
     }
     scored = parsed.withColumns(columns)
-    return settle(scored.drop("__fields", "__how", "__entries", "__total", *points), columns)
+    return settle(scored.drop("__fields", "__how", "__entries", "__points", "__total", *each), columns)
 
 
 def parse_pair_judgement(
@@ -132,7 +137,7 @@ def parse_pair_judgement(
     staged = df.withColumn("__whole", F.when(opens, raw))
     staged = J.with_json_object(staged, "__whole", "__direct")
     staged = staged.withColumn("__rest", F.when(F.col("__direct").isNull(), raw))
-    staged = J.with_json_check(staged, "__rest", "__other", ~opens)
+    staged = J.with_other_json(staged, "__rest", "__other", ~opens)
     staged = staged.withColumn("__cut", F.when(~F.col("__other"), J.from_braces("__rest")))
     staged = J.with_json_object(staged, "__cut", "__inner")
     staged = staged.withColumn("__fields", F.coalesce("__direct", "__inner"))

@@ -30,11 +30,11 @@ def parse_json(
         .withColumn("__clean", F.when(cut != "", cut).otherwise(text))
     )
     staged = J.with_json_object(staged, "__clean", "__direct")
-    staged = J.with_json_check(staged, "__clean", "__other", direct.isNull())
+    staged = J.with_other_json(staged, "__clean", "__other", direct.isNull())
     ok = direct.isNotNull() | other
     staged = staged.withColumn("__mended", F.when(~ok, J.repair_json(clean)))
     staged = J.with_json_object(staged, "__mended", "__lax", lax=True)
-    staged = J.with_json_check(staged, "__mended", "__lax_other", lax.isNull(), lax=True)
+    staged = J.with_other_json(staged, "__mended", "__lax_other", lax.isNull(), lax=True)
     how = (
         F.when(ok, F.lit("direct"))
         .when(lax.isNotNull() | lax_other, F.lit("repaired"))

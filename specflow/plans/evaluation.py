@@ -26,9 +26,13 @@ def evaluate_answers(df: DataFrame, raw_column: str, config: str = "Config") ->
 
 
 def evaluate_files(
-    spark: SparkSession, folder: str, threshold: float = judging.THRESHOLD, numbered: bool = False
+    spark: SparkSession,
+    folder: str,
+    threshold: float = judging.THRESHOLD,
+    numbered: bool = False,
+    fmt: str = "csv",
 ) -> Summaries:
     """Every result file of a folder -> the two summaries, two rows per file."""
-    results = read_judge_results(spark, folder, numbered=numbered)
+    results = read_judge_results(spark, folder, numbered=numbered, fmt=fmt)
     long = report.consolidate(results, threshold=threshold, by=["test"])
     return Summaries(report.criterion_summary(long), report.aggregate_summary(long))

@@ -45,9 +45,8 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return bool(target.getFileSystem(conf).exists(target))
+def paths_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders a glob pattern names, on whatever file system, sorted."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(str(status.getPath().toString()) for status in fs.globStatus(path) or [])

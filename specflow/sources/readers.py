@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from specflow.functions.common import ColumnOrName, as_col
 from specflow.operators.columns import CRITERIA
-from specflow.operators.joins import lookup_join
+from specflow.session import paths_like
 
 # --- fixed values -----------------------------------------------------------
 STORY_FIELDS = "project string, summary string, description string"
@@ -38,9 +39,6 @@ JUDGE_RESULT_COLUMNS = (
 # ----------------------------------------------------------------------------
 
 _CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
-_MAX_COLUMNS = 128
-# one header line per file: up to this many are sent to every task, beyond it joined
-_MAX_BROADCAST_FILES = 5_000
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
@@ -79,11 +77,6 @@ def build_structured_story(
     return df.withColumn(out, F.to_json(cell, {"ignoreNullFields": "false"}))
 
 
-def result_stem(path: ColumnOrName) -> Column:
-    """Name of the result file (or of the folder of part files) without its extension."""
-    return F.regexp_extract(as_col(path), rf"([^/]*{RESULT_SUFFIX})(?:\.csv)?(?:/[^/]*)?\z", 1)
-
-
 def config_id(stem: ColumnOrName, numbered: bool = False) -> Column:
     """``C`` + last character of the third ``_`` part, or the stem if it has no ``_``.
 
@@ -101,54 +94,30 @@ def read_judge_results(
     folder: str,
     columns: Sequence[str] = JUDGE_RESULT_COLUMNS,
     numbered: bool = False,
+    fmt: str = "csv",
 ) -> DataFrame:
-    """All ``*_judge_results.csv`` of a folder as text columns plus ``test`` and ``Config``.
+    """All ``*_judge_results`` of a folder, with ``test`` (the name) and ``Config``.
 
-    Each may be a file or a folder of part files, and they may differ in
-    columns and column order.  CSV columns are positional in Spark, so the
-    cells are read as an array, each file's own header line gives the
-    positions, and a column the file lacks is null.
+    A result is one experiment: a CSV file, a folder of CSV parts, or with
+    ``fmt="parquet"`` a folder of Parquet parts.  Results may differ in columns
+    and column order, and Spark takes CSV columns by position, so each is read
+    by its own header.  CSV values stay text; a missing column is null.
     """
-    cells = ", ".join(f"c{i} string" for i in range(_MAX_COLUMNS))
-    options = {**_CSV, "header": False}
-    raw = spark.read.options(**options).schema(cells).csv(f"{folder}/*{RESULT_SUFFIX}.csv")
-    raw = raw.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.array(*[F.col(f"c{i}") for i in range(_MAX_COLUMNS)]).alias("cells"),
-    )
-    # two known column names in one line: the header line of its file
-    known = F.array(*[F.lit(c) for c in columns])
-    header = F.size(F.array_intersect("cells", known)) >= 2
-    names = raw.filter(header).select("file", F.col("cells").alias("names"))
-    rows = raw.filter(~header)
-    if len(raw.inputFiles()) <= _MAX_BROADCAST_FILES:
-        rows = rows.join(F.broadcast(names), "file")
-    else:
-        rows = lookup_join(rows, names, "file", how="inner")
-    placed = rows.select("file", *[_cell(c).alias(c) for c in columns])
-    return _with_config(placed, numbered)
-
-
-def read_judge_tables(
-    spark: SparkSession,
-    folder: str,
-    columns: Sequence[str] = JUDGE_RESULT_COLUMNS,
-    numbered: bool = False,
-) -> DataFrame:
-    """The same for results kept as Parquet: columns are matched by name."""
-    raw = spark.read.option("mergeSchema", True).parquet(f"{folder}/*{RESULT_SUFFIX}")
-    found = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in columns]
-    return _with_config(raw.select(F.col("_metadata.file_path").alias("file"), *found), numbered)
-
-
-def _cell(name: str) -> Column:
-    place = F.nullif(F.array_position("names", F.lit(name)), F.lit(0))
-    return F.get("cells", place.cast("int") - 1)
-
-
-def _with_config(df: DataFrame, numbered: bool) -> DataFrame:
-    named = df.withColumn("test", result_stem(F.url_decode("file"))).drop("file")
-    return named.withColumn("Config", config_id("test", numbered))
+    suffix = ".csv" if fmt == "csv" else ""
+    paths = paths_like(spark, f"{folder}/*{RESULT_SUFFIX}{suffix}")
+    if not paths:
+        raise ValueError(f"no *{RESULT_SUFFIX}{suffix} in {folder}")
+    reader = spark.read.options(**_CSV) if fmt == "csv" else spark.read
+    results = []
+    for path in paths:
+        table = reader.format(fmt).load(path)
+        test = path.rsplit("/", 1)[1].removesuffix(suffix)
+        present = [
+            F.col(c) if c in table.columns else F.lit(None).cast("string").alias(c) for c in columns
+        ]
+        results.append(table.select(*present, F.lit(test).alias("test")))
+    merged = reduce(lambda a, b: a.unionByName(b), results)
+    return merged.withColumn("Config", config_id("test", numbered))
 
 
 def experiments(spark: SparkSession, rows: Sequence[tuple[str, str, str]] = EXPERIMENTS) -> DataFrame:
