@@ -42,20 +42,16 @@ def add_column(
         value = func(*[F.col(c) for c in inputs])
         return df.withColumn(name, value if isinstance(value, Column) else F.lit(value))
 
+    @F.pandas_udf(returns)
     def by_batch(*series: pd.Series) -> pd.Series:
         return pd.Series([func(*row) for row in zip(*series, strict=True)])
 
-    by_batch.__annotations__ = {}
-    batched = F.pandas_udf(by_batch, returnType=returns, functionType=F.PandasUDFType.SCALAR)
-    columns = [F.col(c) for c in inputs]
-    if not columns:
-        udf = F.pandas_udf(
-            lambda seed: pd.Series([func() for _ in range(len(seed))]),
-            returnType=returns,
-            functionType=F.PandasUDFType.SCALAR,
-        )
-        return df.withColumn(name, udf(F.lit(0)))
-    return df.withColumn(name, batched(*columns))
+    @F.pandas_udf(returns)
+    def without_input(seed: pd.Series) -> pd.Series:
+        return pd.Series([func() for _ in range(len(seed))])
+
+    value = by_batch(*[F.col(c) for c in inputs]) if inputs else without_input(F.lit(0))
+    return df.withColumn(name, value)
 
 
 def add_constant(df: DataFrame, name: str, value) -> DataFrame:

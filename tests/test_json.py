@@ -1,0 +1,133 @@
+import pytest
+from pyspark.sql import functions as F
+
+from specflow.functions import jsontext as J
+from specflow.functions.numbers import clamped_score, to_number
+from specflow.operators import parsing
+
+# text, status, fields
+PARSES = [
+    ('{"a": 1}', "direct", {"a": "1"}),
+    ('```json\n{"a": 1}\n```', "direct", {"a": "1"}),
+    ('Sure: {"a": {"b": 2}} bye', "direct", {"a": '{"b":2}'}),
+    ('{"a": 1, "a": 2}', "direct", {"a": "2"}),
+    ("[1, 2]", "direct", None),
+    ("5", "direct", None),
+    ('{"s": "two\nlines\tand\rmore"}', "repaired", {"s": "two\nlines\tand\rmore"}),
+    ('{"score": 42 "next": "v"}', "repaired", {"score": "42", "next": "v"}),
+    ('{"o": {"x": 1} "k": [1] "z": 2}', "repaired", {"o": '{"x":1}', "k": "[1]", "z": "2"}),
+    ('{"s": "v"\n"k": 1}', "repaired", {"s": "v", "k": "1"}),
+    ('{"a": 1, "b": [1, 2,],}', "repaired", {"a": "1", "b": "[1,2]"}),
+    ("[1, 2,]", "repaired", None),
+    ('{"t": "a\x00b"}', "repaired", {"t": "ab"}),
+    ('{"t": "a\x01b"}', "failed", None),
+    ('{"at": "10:30, then"}', "direct", {"at": "10:30, then"}),
+    ('{"at": "10:30 , x",}', "repaired", {"at": "10:30 , x"}),
+    # trailing data is no object, as a strict parser says
+    ('{"a": 1} {"b": 2}', "failed", None),
+    ('{"a": 1}}', "failed", None),
+    ('{"a": 1}, {"b": 2}', "failed", None),
+    ('{"a": 1', "failed", None),
+    ("{'a': 1}", "failed", None),
+    ("not json", "failed", None),
+    ("  ", "failed", None),
+    ("", "failed", None),
+    (None, "failed", None),
+]
+
+
+@pytest.fixture(scope="module")
+def parsed(spark):
+    df = spark.createDataFrame([(i, p[0]) for i, p in enumerate(PARSES)], "id int, raw string")
+    return parsing.parse_json(df, "raw").cache()
+
+
+def test_parse_table(parsed):
+    rows = {r.id: r for r in parsed.collect()}
+    for i, (text, status, fields) in enumerate(PARSES):
+        assert (rows[i].parse_status, rows[i].fields) == (status, fields), text
+
+
+def test_metrics_add_up(parsed):
+    m = parsing.parse_metrics(parsed).first()
+    assert m.total == m.success + m.repaired + m.failed == len(PARSES)
+    assert m.success_pct + m.repaired_pct + m.failed_pct == pytest.approx(100)
+
+
+def test_filter_on_status(parsed):
+    want = sum(p[1] == "failed" for p in PARSES)
+    assert parsed.filter("parse_status = 'failed'").count() == want
+
+
+CLEANED = [
+    ("a {x} b", "{x}"),
+    ("} no {", "} no {"),
+    ("no braces ", "no braces"),
+    ("```\n{a}{b}\n```", "{a}{b}"),
+    ("   ", "   "),
+    (None, ""),
+]
+
+
+def test_clean_json(spark):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CLEANED)], "i int, raw string")
+    rows = df.select("i", J.clean_json("raw").alias("c")).orderBy("i").collect()
+    assert [r.c for r in rows] == [c[1] for c in CLEANED]
+
+
+def test_truncation_flag(spark):
+    df = spark.createDataFrame([("{{}",), ("{}",), ("{}}",)], "c string")
+    assert [r[0] for r in df.select(J.is_truncated("c")).collect()] == [True, False, False]
+
+
+def test_nearest_key(spark):
+    keys = ["format", "granuylarity", "formats", "xgranularityx", "bat", "FORMAT", ""]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    names = [r[0] for r in df.select(J.nearest_key("k", ["granularity", "format", "cat", "bar"])).collect()]
+    # "bat" is one edit from "cat" and from "bar": the earlier one
+    assert names == ["format", "granularity", "format", None, "cat", None, None]
+
+
+def test_normalize_keys_later_duplicate_wins(spark):
+    df = spark.createDataFrame([({"formt": "1", "other": "x", "format": "2", "formats": "3"},)], "m map<string,string>")
+    assert parsing.normalize_keys(df, "m", ["format"]).first().m == {"other": "x", "format": "3"}
+    assert parsing.normalize_keys(df, "m", ["format"], threshold=1).first().m == {
+        "formt": "1",
+        "other": "x",
+        "format": "2",
+        "formats": "3",
+    }
+
+
+NUMBERS = [
+    ("7", 7.0, 7),
+    (" 7.9 ", 7.9, 7),
+    ("-3", -3.0, 0),
+    ("15", 15.0, 10),
+    ("1e1", 10.0, 10),
+    (".5", 0.5, 0),
+    ("5.", 5.0, 5),
+    ("7d", None, 0),
+    ("0x1p3", None, 0),
+    ("nan", None, 0),
+    ("Infinity", None, 0),
+    ("1e400", float("inf"), 0),
+    ("bad", None, 0),
+    ("", None, 0),
+    ("-", None, 0),
+    (None, None, 0),
+]
+
+
+def test_numbers(spark):
+    df = spark.createDataFrame([(i, n[0]) for i, n in enumerate(NUMBERS)], "i int, t string")
+    staged = df.withColumn("n", to_number("t")).withColumn("s", clamped_score("n")).orderBy("i")
+    assert [(r.n, r.s) for r in staged.collect()] == [n[1:] for n in NUMBERS]
+
+
+def test_long_texts_are_linear(spark):
+    # brace and blank runs that would make a backtracking pattern quadratic
+    texts = ["{" * 200_000, "}" + "{" * 200_000, "x" + " " * 200_000 + "y", "\n" * 200_000 + "z"]
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    rows = parsing.parse_json(df, "raw").select("parse_status", F.length("raw")).collect()
+    assert {r.parse_status for r in rows} == {"failed"}

@@ -1,0 +1,142 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from specflow.operators import judging
+from specflow.operators.columns import CRITERIA, chosen
+
+
+def answer(scores=(8, 7, 9, 6, 8), **more):
+    return json.dumps({c: {"puntuacion": s, "justificacion": ""} for c, s in zip(CRITERIA, scores)} | more)
+
+
+def single(spark, text, **options):
+    df = spark.createDataFrame([(text,)], "raw string")
+    return judging.parse_judgement(df, "raw", **options).first()
+
+
+def pair(spark, text, **options):
+    df = spark.createDataFrame([(text,)], "raw string")
+    return judging.parse_pair_judgement(df, "raw", **options).first()
+
+
+def test_total_is_summed_here(spark):
+    row = single(spark, answer(puntuacion_total=99, recomendaciones=["Good job"]))
+    assert (row.validacion_total, row.validacion_coherencia, row.validacion_aprobado) == (38.0, 8.0, True)
+    assert (row.validacion_problemas, row.validacion_recomendaciones) == ([], ["Good job"])
+
+
+@pytest.mark.parametrize(
+    "scores, approved", [((10,) * 5, True), ((1,) * 5, False), ((7,) * 5, True), ((7, 7, 7, 7, 6.5), False)]
+)
+def test_approval_by_threshold(spark, scores, approved):
+    assert single(spark, answer(scores)).validacion_aprobado is approved
+
+
+def test_own_approval_counts_unless_told_otherwise(spark):
+    text = answer((1,) * 5, aprobado=True)
+    assert single(spark, text).validacion_aprobado is True
+    assert single(spark, text, policy="threshold").validacion_aprobado is False
+    with pytest.raises(ValueError):
+        single(spark, text, policy="other")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "not json at all",
+        json.dumps({"coherence": {"puntuacion": 8}}),
+        answer((8, 7, 9, 6, "8")),
+        answer((8, 7, 9, 6, None)),
+        json.dumps({c: 5 for c in CRITERIA}),
+        json.dumps({c: [5] for c in CRITERIA}),
+        "[1, 2]",
+        "",
+    ],
+)
+def test_unusable_answers(spark, text):
+    row = single(spark, text)
+    assert (row.validacion_total, row.validacion_granularidad, row.validacion_aprobado) == (-5.0, -1.0, False)
+    assert row.judge_status == "parse_failed"
+    assert "Error en parsing" in row.validacion_problemas[0]
+
+
+def test_misspelt_criteria_and_repair(spark):
+    text = answer().replace("granularity", "granuylarity").replace('"coherence"', '"coherense"')
+    row = single(spark, "```json\n" + text[:-1] + ",}\n```")
+    assert (row.validacion_total, row.judge_status) == (38.0, "ok")
+
+
+def test_a_later_near_duplicate_wins(spark):
+    text = answer()[:-1] + ', "formats": {"puntuacion": 1}}'
+    assert single(spark, text).validacion_formato == 1.0
+
+
+def test_zero_detection(spark):
+    df = spark.createDataFrame([(answer((8, 0, 9, 6, 8)),), (answer(),), ("x",), (None,)], "raw string")
+    scored = judging.parse_judgement(df, "raw")
+    flags = scored.select(judging.has_zero(scored, judging.single_score_columns())).collect()
+    assert [r[0] for r in flags] == [True, False, False, False]
+
+
+PAIRS = [
+    # text, A total, B total, winner, status
+    ('{"coherence_a": 7, "format_b": 6, "winner": "B"}', 7, 6, "B", "ok"),
+    ('{"coherence_a": 15, "completeness_a": "7.9", "feasibility_a": "bad", "coherence_b": -3, "winner": "b."}', 17, 0, "B", "ok"),
+    ('{"coherence_a": true, "format_a": [1], "granularity_a": null}', 0, 0, "A", "ok"),
+    ('{"coherence_a": 1e999, "format_a": NaN, "granularity_a": 3}', 3, 0, "A", "ok"),
+    ('{"winner": "\\"B\\""}', 0, 0, "B", "empty"),
+    ('{"winner": " B"}', 0, 0, "A", "empty"),
+    ('{"winner": "C"}', 0, 0, "A", "empty"),
+    ("{}", 0, 0, "A", "empty"),
+    ('Answer: {"coherence_a": 5} done', 5, 0, "A", "ok"),
+    ('{"coherence_a": 5} done', 5, 0, "A", "ok"),
+    # valid JSON that is no object is not searched for one
+    ('[{"coherence_a": 5}]', 0, 0, "A", "parse_failed"),
+    ('"{\\"coherence_a\\": 5}"', 0, 0, "A", "parse_failed"),
+    ("5", 0, 0, "A", "parse_failed"),
+    ("not json", 0, 0, "A", "parse_failed"),
+    ('{"coherence_a": 5, "x": }', 0, 0, "A", "parse_failed"),
+    (None, -5, -5, "A", "call_failed"),
+]
+
+
+def test_pair_table(spark):
+    df = spark.createDataFrame([(i, p[0]) for i, p in enumerate(PAIRS)], "i int, raw string")
+    rows = judging.parse_pair_judgement(df, "raw").orderBy("i").collect()
+    for row, want in zip(rows, PAIRS):
+        got = (row.judge_score_a_total, row.judge_score_b_total, row.judge_winner, row.judge_status)
+        assert got == want[1:], want[0]
+        for side in "ab":
+            parts = [row[f"judge_score_{side}_{c}"] for c in CRITERIA]
+            assert sum(parts) == row[f"judge_score_{side}_total"]
+
+
+def test_swapping_sides_swaps_results(spark):
+    text = '{"coherence_a": 7, "format_a": 2, "granularity_b": 9, "winner": "A"}'
+    swapped = text.replace("_a", "_x").replace("_b", "_a").replace("_x", "_b").replace('"A"', '"B"')
+    one, two = pair(spark, text), pair(spark, swapped)
+    assert (one.judge_score_a_total, one.judge_score_b_total) == (two.judge_score_b_total, two.judge_score_a_total)
+    assert (one.judge_winner, two.judge_winner) == ("A", "B")
+
+
+def test_nested_scores_only_on_request(spark):
+    text = json.dumps({"breakdown_a": {c: 8 for c in CRITERIA}, "breakdown_b": {c: 6 for c in CRITERIA}, "winner": "A"})
+    assert pair(spark, text).judge_status == "empty"
+    row = pair(spark, text, accept_nested=True)
+    assert (row.judge_score_a_total, row.judge_score_b_total, row.judge_status) == (40, 30, "ok")
+
+
+def test_chosen_output(spark):
+    df = spark.createDataFrame([("A", "x", "y"), ("B", "x", "y"), (None, "x", "y")], "w string, a string, b string")
+    assert [r[0] for r in df.select(chosen("w", "a", "b")).collect()] == ["x", "y", "x"]
+
+
+def test_filter_on_scores_parses_once(spark):
+    df = spark.createDataFrame([(answer(),)], "raw string")
+    kept = judging.parse_judgement(df, "raw").filter(F.col("validacion_total") > 1)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    whole = judging.parse_judgement(df, "raw")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == whole.count("from_json")
+    assert kept.count() == 1
