@@ -526,9 +526,7 @@ def score_boxplot(spark, sf):
 
 @query
 def score_outliers(spark, sf):
-    scored = with_config(_pairs(spark, sf))
-    boxes = report.box_stats(scored, ["Config"])
-    return longs(report.outliers(scored, boxes, ["Config"]), ["value", "n"])
+    return longs(report.outliers(with_config(_pairs(spark, sf)), ["Config"]), ["value", "n"])
 
 
 # --- whole jobs -------------------------------------------------------------

@@ -8,10 +8,10 @@ Only one count per partition ever reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specflow.functions.common import ColumnOrName, as_col, as_list, require_columns
@@ -38,15 +38,16 @@ def order_rows(
     keys = [as_col(k) for k in as_list(keys)]
     order = list(keys)
     if not unique:
-        hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-        df = df.withColumns(
-            {_TIE: F.xxhash64(*[F.col(c) for c in hashable]), _FROM: F.spark_partition_id()}
-        )
+        df = df.withColumns({_TIE: F.xxhash64(*_hashable(df)), _FROM: F.spark_partition_id()})
         order += [F.col(_TIE), F.col(_FROM)]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *order).sortWithinPartitions(*order).drop(_TIE, _FROM)
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
 def number_rows(df: DataFrame, label: str) -> DataFrame:
     """Write rows with their partition (``__chunk``) and place in it (``__place``, from 0)."""
     mark = F.monotonically_increasing_id()
@@ -118,6 +119,7 @@ def running_total_before(
     amount: Column,
     name: str,
     partitions: int | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add, per group, the sum of ``amount`` over the rows before this one.
 
@@ -125,15 +127,18 @@ def running_total_before(
     the order cuts a group into chunks; the window runs inside (group, chunk)
     and a chunk starts from the sum of the group's earlier chunks.  A chunk
     border cuts at most one group, so there are fewer such starts than chunks.
+    ``prepare`` adds what ``amount`` needs; it runs once the rows are in place,
+    as finding the range borders reads the input an extra time.
     """
-    from pyspark.sql import Window
-
     require_columns(df, [group], "running_total_before")
     keys = [F.col(group), *as_list(order_by)]
-    chunked = order_rows(df, keys, partitions=partitions).withColumns(
-        {CHUNK: F.spark_partition_id(), "__amount": amount.cast("long")}
-    )
-    tie = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+    tie = F.xxhash64(*_hashable(df))
+    chunked = order_rows(df, keys, partitions=partitions).withColumn(CHUNK, F.spark_partition_id())
+    if prepare is not None:
+        chunked = prepare(chunked.withColumn(_TIE, tie))
+        tie = F.col(_TIE)
+    columns = [c for c in chunked.columns if c not in (name, CHUNK, _TIE)]
+    chunked = chunked.withColumn("__amount", amount.cast("long"))
     inside = (
         Window.partitionBy(group, CHUNK)
         .orderBy(*as_list(order_by), tie)
@@ -151,6 +156,5 @@ def running_total_before(
     )
     same = F.col(group).eqNullSafe(F.col("__g")) & (F.col(CHUNK) == F.col("__c"))
     joined = kept.join(F.broadcast(starts), same, "left")
-    columns = [c for c in df.columns if c != name]
     total = F.col(name) + F.coalesce(F.col("__start"), F.lit(0))
     return joined.select(*columns, total.alias(name))

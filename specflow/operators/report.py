@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specflow.functions.common import require_columns
@@ -201,59 +201,47 @@ def box_stats(
     A whisker ends at the outermost total within ``reach`` quartile ranges of
     the box, or at the box itself.
     """
-    counts = score_counts(df, by, prefix)
+    value, inside = F.col("value"), F.col("value").between(F.col("low"), F.col("high"))
     keys = [*by, "Gen"]
-    quartiles = counts.groupBy(*keys).agg(
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"),
+    boxes = _with_box(df, by, prefix, reach).groupBy(*keys, "q1", "median", "q3")
+    summed = boxes.agg(
         F.sum("n").alias("rows"),
+        F.min(F.when(value >= F.col("low"), value)).alias("lowest"),
+        F.max(F.when(value <= F.col("high"), value)).alias("highest"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
     )
-    boxes = quartiles.select(
+    return summed.select(
         *keys,
         "rows",
-        F.col("q")[0].alias("q1"),
-        F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("q3"),
-    )
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    joined = counts.alias("c").join(boxes.alias("b"), same)
-    low = F.col("q1") - reach * (F.col("q3") - F.col("q1"))
-    high = F.col("q3") + reach * (F.col("q3") - F.col("q1"))
-    value = F.col("value").cast("double")
-    return (
-        joined.select("b.*", value.alias("value"), "n", low.alias("low"), high.alias("high"))
-        .groupBy(*keys, "rows", "q1", "median", "q3")
-        .agg(
-            F.min(F.when(F.col("value") >= F.col("low"), F.col("value"))).alias("__low"),
-            F.max(F.when(F.col("value") <= F.col("high"), F.col("value"))).alias("__high"),
-            F.sum(
-                F.when(~F.col("value").between(F.col("low"), F.col("high")), F.col("n")).otherwise(0)
-            ).alias("outliers"),
-        )
-        .select(
-            *keys,
-            "rows",
-            "q1",
-            "median",
-            "q3",
-            F.least("__low", "q1").alias("whisker_low"),
-            F.greatest("__high", "q3").alias("whisker_high"),
-            "outliers",
-        )
+        "q1",
+        "median",
+        "q3",
+        F.least(F.col("lowest").cast("double"), "q1").alias("whisker_low"),
+        F.greatest(F.col("highest").cast("double"), "q3").alias("whisker_high"),
+        "outliers",
     )
 
 
-def outliers(df: DataFrame, boxes: DataFrame, by: Sequence[str] = (), prefix: str = "judge_") -> DataFrame:
+def outliers(
+    df: DataFrame, by: Sequence[str] = (), prefix: str = "judge_", reach: float = 1.5
+) -> DataFrame:
     """Totals outside the whiskers with their frequency."""
-    keys = [*by, "Gen"]
-    counts = score_counts(df, by, prefix)
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    outside = ~F.col("c.value").between(F.col("b.whisker_low"), F.col("b.whisker_high"))
-    return (
-        counts.alias("c")
-        .join(boxes.alias("b"), same)
-        .filter(outside)
-        .select("c.*")
-    )
+    outside = ~F.col("value").between(F.col("low"), F.col("high"))
+    return _with_box(df, by, prefix, reach).filter(outside).select(*by, "Gen", "value", "n")
+
+
+def _with_box(df: DataFrame, by: Sequence[str], prefix: str, reach: float) -> DataFrame:
+    """The counted totals with the quartiles of their group, in one pass over the rows.
+
+    The window sees counted totals only, so at most 56 rows per group.
+    """
+    group = Window.partitionBy(*by, "Gen")
+    shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    q = F.percentile("value", shares, F.col("n")).over(group)
+    boxed = score_counts(df, by, prefix).withColumn("q", q)
+    boxed = boxed.withColumns({name: F.col("q")[i] for i, name in enumerate(("q1", "median", "q3"))})
+    width = reach * (F.col("q3") - F.col("q1"))
+    return boxed.withColumns({"low": F.col("q1") - width, "high": F.col("q3") + width}).drop("q")
 
 
 def _grouped(df: DataFrame, by: Sequence[str], prefix: str, exclude_failed: bool):

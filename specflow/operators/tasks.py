@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specflow.functions import text as T
-from specflow.functions.common import ColumnOrName, as_list, require_columns, settle
+from specflow.functions.common import ColumnOrName, require_columns, settle
 from specflow.operators.ids import (
     CHUNK,
     PLACE,
@@ -77,7 +77,6 @@ def explode_tasks(
     the answer and nothing is shuffled.
     """
     require_columns(df, [tasks_column, *([group_by] if group_by else [])], "explode_tasks")
-    listed = _list_tasks(df, tasks_column, "__tasks")
     kept = [
         c
         for c in df.columns
@@ -87,19 +86,25 @@ def explode_tasks(
     if group_by is None:
         if not order_by:
             raise ValueError("explode_tasks: a number over the whole table needs order_by")
-        ordered = order_rows(listed, order_by, unique_order, partitions)
+        ordered = _list_tasks(order_rows(df, order_by, unique_order, partitions), tasks_column, "__tasks")
         exploded = ordered.select(*kept, F.explode_outer("__tasks").alias("__task"))
         numbered = number_rows(exploded, "tasks")
         source = numbered.join(F.broadcast(chunk_starts(numbered)), CHUNK)
         number = F.col("__start") + F.col(PLACE) + 1
     elif unique_group:
+        listed = _list_tasks(df, tasks_column, "__tasks")
         source = listed.select(*kept, F.posexplode_outer("__tasks").alias("__place", "__task"))
         number = F.col("__place").cast("long") + 1
     else:
         if not order_by:
             raise ValueError("explode_tasks: groups of several rows need order_by")
+
+        def listed_only(ordered: DataFrame) -> DataFrame:
+            listed = _list_tasks(ordered, tasks_column, "__tasks")
+            return listed if tasks_column in kept else listed.drop(tasks_column)
+
         before = running_total_before(
-            listed, group_by, as_list(order_by), F.size("__tasks"), "__before", partitions
+            df, group_by, order_by, F.size("__tasks"), "__before", partitions, listed_only
         )
         source = before.select(*kept, "__before", F.posexplode_outer("__tasks").alias("__place", "__task"))
         number = F.col("__before") + F.col("__place") + 1
