@@ -48,6 +48,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+def cores(spark) -> int:
+    """Calls are slow and a small table may be one partition: spread the prompts."""
+    return spark.sparkContext.defaultParallelism
+
+
 def with_config(df: DataFrame) -> DataFrame:
     return df.withColumn("Config", F.concat(F.lit("C"), F.left("config", F.lit(1))))
 
@@ -374,7 +379,9 @@ def numbers_coerced(spark, sf):
 @query
 def generated_rows(spark, sf):
     turns = table(spark, sf, "conversations")
-    replies = inference.generate(turns, "text", doubles.WRITER, details=True)
+    replies = inference.generate(
+        turns, "text", doubles.WRITER, details=True, partitions=cores(spark)
+    )
     return replies.select(
         "conv_id", "turn", "generation", F.col("generation_attempts").cast("long").alias("attempts")
     )
@@ -386,7 +393,7 @@ def generated_twice(spark, sf):
         inference.Ask("text", "generation_a", doubles.WRITER, "seconds_a"),
         inference.Ask("text", "generation_b", doubles.SHORT_WRITER, "seconds_b"),
     ]
-    replies = inference.generate_all(table(spark, sf, "conversations"), asks)
+    replies = inference.generate_all(table(spark, sf, "conversations"), asks, cores(spark))
     timed = columns.add_total_time(replies, ["seconds_a", "seconds_b"])
     return timed.select(
         "conv_id", "turn", "generation_a", "generation_b", (F.col("total_time") >= 0).alias("timed")
@@ -417,7 +424,14 @@ def generations_joined(spark, sf):
 @query
 def zero_reask(spark, sf):
     prompt = F.concat(F.lit("Judge: "), F.col("input"), F.lit(" / "), F.col("tasks"))
-    scored = judging.judge(task_texts(spark, sf), "input", "tasks", doubles.SINGLE_JUDGE, prompt=prompt)
+    scored = judging.judge(
+        task_texts(spark, sf),
+        "input",
+        "tasks",
+        doubles.SINGLE_JUDGE,
+        prompt=prompt,
+        partitions=cores(spark),
+    )
     return scored.select("us_id", "validacion_total", "validacion_aprobado", "judge_status")
 
 
@@ -431,6 +445,7 @@ def pair_reask(spark, sf):
         "tasks_generator_b",
         doubles.PAIR_JUDGE,
         prompt=prompt,
+        partitions=cores(spark),
     )
     return longs(
         scored.select(

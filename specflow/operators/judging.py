@@ -142,33 +142,33 @@ def parse_pair_judgement(
     staged = J.with_json_object(staged, "__cut", "__inner")
     staged = staged.withColumn("__fields", F.coalesce("__direct", "__inner"))
     fields = F.col("__fields")
-    if accept_nested:
-        staged = staged.withColumns(
-            {f"__nested_{s}": F.from_json(fields[f"breakdown_{s}"], "map<string,string>") for s in "ab"}
-        )
-
-    def text_of(c: str, side: str) -> Column:
-        flat = fields[f"{c}_{side}"]
-        return F.coalesce(flat, F.col(f"__nested_{side}")[c]) if accept_nested else flat
-
-    staged = staged.withColumns(
-        {f"__n_{side}_{c}": to_number(text_of(c, side)) for side in "ab" for c in criteria}
+    # one small expression over the ten keys, not ten copies of it: generated
+    # methods beyond the JVM's compile limit stay interpreted
+    keys = [(side, c) for side in "ab" for c in criteria]
+    texts = F.transform(
+        F.array(*[F.lit(f"{c}_{side}") for side, c in keys]), lambda k: F.try_element_at(fields, k)
     )
+    if accept_nested:
+        nested = {s: F.from_json(fields[f"breakdown_{s}"], "map<string,string>") for s in "ab"}
+        staged = staged.withColumns({f"__nested_{s}": nested[s] for s in "ab"})
+        deeper = F.array(*[F.col(f"__nested_{side}")[c] for side, c in keys])
+        texts = F.zip_with(texts, deeper, lambda flat, nested: F.coalesce(flat, nested))
+    staged = staged.withColumn("__texts", texts)
+    numbers = F.transform(F.transform("__texts", to_number), clamped_score)
     failed_call = raw.isNull()
-    scores, any_given = {}, F.lit(False)
-    for side in "ab":
-        for c in criteria:
-            score = clamped_score(f"__n_{side}_{c}")
-            scores[f"{prefix}score_{side}_{c}"] = F.when(failed_call, F.lit(FAILED_SCORE)).otherwise(score)
-            any_given = any_given | text_of(c, side).isNotNull()
+    failures = F.array_repeat(F.lit(FAILED_SCORE), len(keys))
+    staged = staged.withColumn("__scores", F.when(failed_call, failures).otherwise(numbers))
+    scores = {
+        f"{prefix}score_{side}_{c}": F.get("__scores", F.lit(i)) for i, (side, c) in enumerate(keys)
+    }
+    any_given = F.exists("__texts", lambda t: t.isNotNull())
     named = F.regexp_replace(F.upper(fields["winner"]), r"^[\"'.]+|[\"'.]+\z", "")
     cause = F.coalesce(F.col(error_column), F.lit("")) if error_column else F.lit("no answer")
     error = F.concat(F.lit("Judge evaluation failed: "), cause)
+    n = len(criteria)
     totals = {}
-    for side in "ab":
-        total = F.lit(0)
-        for c in criteria:
-            total = total + F.col(f"{prefix}score_{side}_{c}")
+    for at, side in ((1, "a"), (n + 1, "b")):
+        total = F.aggregate(F.slice("__scores", at, n), F.lit(0), lambda total, score: total + score)
         totals[f"{prefix}score_{side}_total"] = F.when(failed_call, F.lit(FAILED_TOTAL)).otherwise(total)
     how = (
         F.when(failed_call, F.lit("call_failed"))
@@ -184,10 +184,9 @@ def parse_pair_judgement(
         ),
         status: how,
     }
-    scored = staged.withColumns(scores).withColumns(rest)
-    steps = [f"__n_{side}_{c}" for side in "ab" for c in criteria]
-    steps += ["__whole", "__direct", "__rest", "__other", "__cut", "__inner", "__fields"]
-    steps += ["__nested_a", "__nested_b"]
+    scored = staged.withColumns({**scores, **rest})
+    steps = ["__whole", "__direct", "__rest", "__other", "__cut", "__inner", "__fields"]
+    steps += ["__texts", "__scores", "__nested_a", "__nested_b"]
     return settle(scored.drop(*steps), [*scores, *rest])
 
 
