@@ -346,7 +346,7 @@ ORACLE: dict[str, str] = {
     "'ok' AS judge_status, md5(CASE WHEN judge_winner = 'B' THEN tasks_generator_b ELSE tasks_generator_a END) AS selected_md5 FROM w",
     "pair_evaluation": f"{_LONG} SELECT * FROM long",
     "generator_metrics": f"{_LONG_ALL} SELECT \"Gen\", \"Mean\", \"Std\", \"Pass\", \"Win\" FROM long",
-    "generator_metrics_judged_only": f"{PAIRS}, long AS ({metric_rows('config,', 'WHERE us_id % 11 <> 0')}) SELECT config, \"Gen\", \"Mean\", \"Std\", \"Pass\", \"Win\" FROM long",
+    "generator_metrics_judged_only": f"{PAIRS}, long AS ({metric_rows('config,', "WHERE config <> '5-LOW'")}) SELECT config, \"Gen\", \"Mean\", \"Std\", \"Pass\", \"Win\" FROM long",
     "criterion_means": f"{_LONG_ALL} SELECT \"Gen\", {_CAPITAL} FROM long",
     "wins": f"{PAIRS} SELECT config, count(*) AS stories, count(*) FILTER (judge_winner = 'A') AS wins_a, count(*) FILTER (judge_winner = 'B') AS wins_b, "
     "round(count(*) FILTER (judge_winner = 'A') * 100.0::DOUBLE / count(*), 6) AS wins_a_pct, round(count(*) FILTER (judge_winner = 'B') * 100.0::DOUBLE / count(*), 6) AS wins_b_pct, "

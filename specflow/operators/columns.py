@@ -110,6 +110,13 @@ def clean_text_rows(
     return df.withColumn(column, text).filter(F.col(column) != "")
 
 
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """The table itself, or an error when it has no rows (looks at one row only)."""
+    if df.isEmpty():
+        raise ValueError(f"no {what}")
+    return df
+
+
 def coerce_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Score columns as doubles, unusable values null; other columns are left alone."""
     return df.withColumns({c: to_number(c) for c in columns if c in df.columns})

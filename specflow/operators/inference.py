@@ -119,17 +119,20 @@ def generate_cached(
     output_column: str = "generation",
     time_column: str | None = None,
     partitions: int | None = None,
+    refresh: bool = False,
 ) -> DataFrame:
     """As ``generate``, but reuse replies kept in the table at ``store``.
 
     Each distinct prompt is asked once, only when the store lacks it, and the
     reply is appended.  The key covers the prompt and the whole ``identity`` of
     the call, so other settings never see it.  Failed calls are not kept.
+    ``refresh`` forgets the whole store first.  ``df`` is read more than once;
+    write it first if it is costly or not the same each time.
     """
     spark = df.sparkSession
     keyed = df.withColumn("__prompt", as_col(prompt)).withColumn("key", reply_key("__prompt", call))
     wanted = keyed.filter(F.col("__prompt").isNotNull()).select("key", "__prompt").distinct()
-    if paths_like(spark, store):
+    if not refresh and paths_like(spark, store):
         known = spark.read.schema(STORE_SCHEMA).parquet(store).select("key").distinct()
         wanted = wanted.join(known, "key", "left_anti")
     asked = ask_lazily(wanted, [Ask("__prompt", "reply", call, "seconds", True)], partitions)
@@ -139,7 +142,7 @@ def generate_cached(
         "seconds",
         F.col("reply_attempts").alias("attempts"),
         F.current_timestamp().alias("asked_at"),
-    ).write.mode("append").parquet(store)
+    ).write.mode("overwrite" if refresh else "append").parquet(store)
     replies = (
         spark.read.schema(STORE_SCHEMA)
         .parquet(store)

@@ -20,11 +20,13 @@ class Step:
     rename_in: Mapping[str, str] = field(default_factory=dict)
     rename_out: Mapping[str, str] = field(default_factory=dict)
 
-    def __call__(self, df: DataFrame) -> DataFrame:
-        if self.rename_in:
+    def __call__(self, df: DataFrame | None = None) -> DataFrame:
+        if df is None:
+            df = self.run()
+        else:
             df = df.withColumnsRenamed(dict(self.rename_in))
-        require_columns(df, self.inputs, f"step '{self.name}'")
-        df = self.run(df)
+            require_columns(df, self.inputs, f"step '{self.name}'")
+            df = self.run(df)
         return df.withColumnsRenamed(dict(self.rename_out)) if self.rename_out else df
 
 
@@ -53,9 +55,9 @@ class Flow:
         if not self.steps:
             raise ValueError(f"flow '{self.name}' has no steps")
         self.outputs = {}
-        for place, step in enumerate(self.steps):
+        for step in self.steps:
             try:
-                df = step.run() if df is None and place == 0 else step(df)
+                df = step(df)
             except Exception as error:
                 error.add_note(f"in step '{step.name}' of flow '{self.name}'")
                 raise

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from specflow.functions.common import ColumnOrName, as_col
-from specflow.operators.columns import CRITERIA
+from specflow.operators.columns import CRITERIA, clean_text_rows, require_rows
 from specflow.session import paths_like
 
 # --- fixed values -----------------------------------------------------------
@@ -61,6 +61,22 @@ def load(spark: SparkSession, df: DataFrame | None = None, csv_path: str | None
     return read_csv(spark, csv_path)
 
 
+def load_stories(
+    spark: SparkSession,
+    path: str,
+    column: str = "input",
+    schema: str | StructType | None = None,
+    sample_size: int | None = None,
+    order_by: Sequence[ColumnOrName] = (),
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Stories of a CSV with null and blank texts dropped; an error when none is left."""
+    stories = clean_text_rows(
+        read_csv(spark, path, schema), column, sample_size, order_by, observation
+    )
+    return require_rows(stories, f"usable text in column '{column}' of {path}")
+
+
 def structured_story(df: DataFrame, column: str = "input") -> DataFrame:
     """Add project, summary and description from a JSON cell."""
     story = F.from_json(column, STORY_FIELDS)

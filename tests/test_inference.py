@@ -167,6 +167,19 @@ def test_replies_are_reused(spark, tmp_path):
     assert len(list(calls.iterdir())) == 5
 
 
+def test_refresh_forgets_the_store(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    call = ModelCall(counting(str(calls)), "m")
+    df = spark.createDataFrame([("a",), ("b",)], "prompt string")
+    store = str(tmp_path / "store")
+    inference.generate_cached(df, "prompt", call, store).collect()
+    again = inference.generate_cached(df.limit(1), "prompt", call, store, refresh=True)
+    assert again.count() == 1
+    assert len(list(calls.iterdir())) == 3
+    assert spark.read.parquet(store).count() == 1
+
+
 def test_failures_are_not_kept(spark, tmp_path):
     tries = tmp_path / "tries"
     tries.mkdir()

@@ -106,6 +106,17 @@ def test_csv_cells_survive(spark, tmp_path):
         readers.load(spark)
 
 
+def test_load_stories(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('input,id\n" a ",1\n,2\n"{""k"": ""v""}",3\n')
+    loaded = readers.load_stories(spark, f"{tmp_path}/s.csv")
+    assert sorted((r.id, r.input) for r in loaded.collect()) == [(1, "a"), (3, '{"k": "v"}')]
+    (tmp_path / "e.csv").write_text('input\n" "\n')
+    with pytest.raises(ValueError, match="no usable"):
+        readers.load_stories(spark, f"{tmp_path}/e.csv")
+    with pytest.raises(ValueError, match="missing"):
+        readers.load_stories(spark, f"{tmp_path}/s.csv", column="story")
+
+
 def test_structured_story(spark):
     text = '{"project": "P", "summary": "S", "description": "As a user, I want x so that y"}'
     df = readers.structured_story(spark.createDataFrame([(text,), ("no",)], "input string"))
