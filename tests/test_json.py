@@ -107,6 +107,10 @@ NUMBERS = [
     ("1e1", 10.0, 10),
     (".5", 0.5, 0),
     ("5.", 5.0, 5),
+    ("\xa07\u2003", 7.0, 7),
+    ("\t7\x1f", 7.0, 7),
+    ("7 8", None, 0),
+    ("7\xa08", None, 0),
     ("7d", None, 0),
     ("0x1p3", None, 0),
     ("nan", None, 0),
