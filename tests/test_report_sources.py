@@ -137,7 +137,7 @@ def test_nested_columns_become_json_in_csv(spark, tmp_path):
 
 
 def test_config_ids(spark):
-    names = ["salony_dual_test4_output_judge_results", "a_b_test10_judge_results", "plain", "a_b"]
+    names = ["run_dual_test4_output_judge_results", "a_b_test10_judge_results", "plain", "a_b"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     ids = [tuple(r) for r in df.select(readers.config_id("n"), readers.config_id("n", numbered=True)).collect()]
     assert ids == [("C4", "C4"), ("C0", "C10"), ("plain", "plain"), (None, None)]
