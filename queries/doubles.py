@@ -7,15 +7,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-import sys
-
-from pyspark import cloudpickle
 
 from specflow.operators.columns import CRITERIA
 from specflow.operators.inference import ModelCall
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def _digest(messages) -> str:
     return hashlib.md5(messages[-1]["content"].encode()).hexdigest()

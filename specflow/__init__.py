@@ -5,6 +5,13 @@ operators in ``operators.inference`` start Python workers; everything else is
 built from native Spark expressions.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from specflow.plans.flow import Flow, Step
 
+# executors receive our functions with the task and need no installation
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["Flow", "Step"]

@@ -10,7 +10,6 @@ written before it is used: a model asked twice may answer twice.
 from __future__ import annotations
 
 import json
-import sys
 import threading
 import time
 from collections.abc import Callable, Iterator, Mapping
@@ -19,7 +18,6 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
@@ -29,9 +27,6 @@ from specflow.operators.columns import check_settings
 from specflow.operators.joins import lookup_join
 from specflow.session import materialize, paths_like
 
-# executors receive these functions with the task and need no installation
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 STORE_SCHEMA = "key string, reply string, seconds double, attempts int, asked_at timestamp"
 
 
