@@ -167,44 +167,43 @@ def search(index: dict, texts: list[str]) -> list[tuple[int, int, int, int, int]
     return out + list(done.values())
 
 
-def find_passages(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    *,
-    q: int = 12,
-    rate: float = 0.05,
-    window: int = 120,
-    step: int = 60,
-    block: int = 20_000,
-) -> DataFrame:
-    """doc_id, item_id, begin_at, end_at, edits per document and benchmark item found in it.
-
-    Places count in the normalised text: first begin, last end and fewest edits of the item's passages.
-    """
-    spark = docs.sparkSession
+def benchmark_blocks(benchmark: DataFrame, *, q: int, rate: float, window: int, step: int, block: int):
+    """A broadcast index per block of the benchmark's passages."""
+    spark = benchmark.sparkSession
 
     def cut(batches):
         for batch in batches:
             rows = [
-                (item, at, passage)
+                (item, passage)
                 for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                for at, passage in passages_of(text, window, step)
+                for _, passage in passages_of(text, window, step)
             ]
-            columns = list(zip(*rows)) or [(), (), ()]
+            columns = list(zip(*rows)) or [(), ()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.string()))],
-                names=["item_id", "at", "passage"],
+                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string()))], names=["item_id", "passage"]
             )
 
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    passages = items.mapInArrow(cut, "item_id long, at int, passage string")
-    passages = materialize(passages.select("item_id", "passage").distinct(), "passages")
+    passages = materialize(items.mapInArrow(cut, "item_id long, passage string").distinct(), "passages")
     blocks = max(1, math.ceil(passages.count() / block))
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = None
     for k in range(blocks):
         some = passages.where(F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks)) == k).collect()
-        index = spark.sparkContext.broadcast(build_index([(r.item_id, r.passage) for r in sorted(some, key=repr)], q, rate))
+        some = sorted(((r.item_id, r.passage) for r in some), key=repr)  # about ``block`` passages of ``window`` letters
+        yield spark.sparkContext.broadcast(build_index(some, q, rate))
+
+
+SETTINGS = {"q": 12, "rate": 0.05, "window": 120, "step": 60, "block": 20_000}
+
+
+def find_passages(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """doc_id, item_id, begin_at, end_at, edits per document and benchmark item found in it.
+
+    Places count in the normalised text: first begin, last end and fewest edits of
+    the item's passages.  Settings: q, rate (edits per character), window, step, block.
+    """
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = None
+    for index in benchmark_blocks(benchmark, **SETTINGS | settings):
 
         def scan(batches, index=index):
             known = index.value
@@ -228,7 +227,16 @@ def find_passages(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage."""
-    found = find_passages(docs, benchmark, **settings).select(F.col("doc_id").alias("__found")).distinct()
-    found = materialize(found, "contaminated")
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__found")), "left_anti")
+    """``docs`` without the rows whose text holds a benchmark passage."""
+    at = docs.columns.index("text")
+    for index in benchmark_blocks(benchmark, **SETTINGS | settings):
+
+        def keep(batches, index=index):
+            for batch in batches:
+                for a, b in bounded_slices(batch.column(at)):
+                    clean = np.ones(b - a, bool)
+                    clean[[hit[0] for hit in search(index.value, [normal(t) for t in batch.column(at)[a:b].to_pylist()])]] = False
+                    yield batch[a:b].filter(pa.array(clean))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs

@@ -258,37 +258,41 @@ def train(labelled: DataFrame, *, per_language: int = 300, **settings) -> dict |
     return fit([(r.text, r.lang) for r in rows], **settings)
 
 
+def label_texts(texts: pa.Array, model: dict | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text; words met before are scored once per worker."""
+    langs, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+    if model is None:
+        return langs.tolist(), scores
+    memory = kept("language_words", dict)
+    if memory.get("of") != model["key"] or len(memory["place"]) > 500_000:
+        memory |= {"of": model["key"], "place": {}, "scores": np.empty((0, len(model["labels"])))}
+    place = memory["place"]
+    split = [words_of(t) for t in texts.to_pylist()]
+    lengths = np.array([len(s) for s in split], np.int64)
+    some = np.flatnonzero(lengths)
+    if len(some):
+        new = list({w for s in split for w in s if w not in place})
+        if new:
+            place.update(zip(new, range(len(place), len(place) + len(new))))
+            memory["scores"] = np.concatenate([memory["scores"], word_scores(new, model)])
+        which = np.fromiter((place[w] for s in split for w in s), np.int64, int(lengths.sum()))
+        p = marginals(memory["scores"][which], lengths[some], model["transition"], model["start"])
+        mean = np.add.reduceat(p, np.cumsum(lengths[some]) - lengths[some], axis=0) / lengths[some][:, None]
+        langs[some] = np.array(model["labels"], object)[mean.argmax(axis=1)]
+        scores[some] = np.clip(mean.max(axis=1), 0, 1)
+    return langs.tolist(), scores
+
+
 def predict(docs: DataFrame, model: dict | None) -> DataFrame:
     """doc_id, lang_pred, score per row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed number of weights and a bounded lexicon
 
     def label(batches):
-        known = shared.value
-        memory = kept("language_words", dict)
-        key = known["key"] if known else 0
-        if memory.get("of") != key or len(memory.get("place", ())) > 500_000:
-            memory |= {"of": key, "place": {}, "scores": np.empty((0, len(known["labels"]) if known else 1))}
-        place = memory["place"]
         for batch in batches:
             for a, b in bounded_slices(batch.column(1), 2_000_000):
-                texts = batch.column(1)[a:b].to_pylist()
-                langs, scores = np.full(b - a, UNKNOWN, object), np.zeros(b - a)
-                split = [words_of(t) for t in texts] if known else []
-                lengths = np.array([len(s) for s in split], np.int64)
-                some = np.flatnonzero(lengths)
-                if len(some):
-                    new = list({w for s in split for w in s if w not in place})
-                    if new:
-                        place.update(zip(new, range(len(place), len(place) + len(new))))
-                        memory["scores"] = np.concatenate([memory["scores"], word_scores(new, known)])
-                    which = np.fromiter((place[w] for s in split for w in s), np.int64, int(lengths.sum()))
-                    p = marginals(memory["scores"][which], lengths[some], known["transition"], known["start"])
-                    ends = np.cumsum(lengths[some])
-                    mean = np.add.reduceat(p, ends - lengths[some], axis=0) / lengths[some][:, None]
-                    langs[some] = np.array(known["labels"], object)[mean.argmax(axis=1)]
-                    scores[some] = np.clip(mean.max(axis=1), 0, 1)
+                langs, scores = label_texts(batch.column(1)[a:b], shared.value)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[a:b], pa.array(langs.tolist(), pa.string()), pa.array(scores)],
+                    [batch.column(0)[a:b], pa.array(langs, pa.string()), pa.array(scores)],
                     names=["doc_id", "lang_pred", "score"],
                 )
 
@@ -309,6 +313,13 @@ def identify(docs: DataFrame, *, per_language: int = 300) -> DataFrame:
 def keep_known(docs: DataFrame, *, per_language: int = 300, least: float = 0.3) -> DataFrame:
     """``docs`` without the documents whose language is unknown or has less than ``least`` of the words."""
     model = train(docs.where(~held_out("doc_id")), per_language=per_language)
-    known = predict(docs, model).where(f"lang_pred != '{UNKNOWN}' AND score >= {least}")
-    known = known.select(F.col("doc_id").alias("__known")).distinct()
-    return docs.join(known, F.col("doc_id").cast("long").eqNullSafe(F.col("__known")), "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = docs.columns.index("text")
+
+    def keep(batches):
+        for batch in batches:
+            for a, b in bounded_slices(batch.column(text), 2_000_000):
+                langs, scores = label_texts(batch.column(text)[a:b], shared.value)
+                yield batch[a:b].filter(pa.array([lang != UNKNOWN and s >= least for lang, s in zip(langs, scores)]))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -58,13 +58,14 @@ def drop_repeated_windows(docs: DataFrame, *, lines: int = 3, counts: bool = Fal
     place = F.struct("__doc", "__tie", "__pos")
     repeated = windows.groupBy("__h1", "__h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = materialize(repeated.where("n > 1").select("__h1", "__h2", "first"), "repeated-windows")
-    later = windows.join(repeated, ["__h1", "__h2"]).where(~place.eqNullSafe(F.col("first")))
+    # sort-merge joins at every size: a hot window or document is split by the adaptive planner
+    later = windows.join(repeated.hint("merge"), ["__h1", "__h2"]).where(~place.eqNullSafe(F.col("first")))
     marks = later.groupBy(*_KEY).agg(F.collect_set("__pos").alias("__at"))
     marks = materialize(marks.select(F.col("__doc").alias("__d"), F.col("__tie").alias("__t"), "__at"), "covered-lines")
 
     names = docs.columns
     keyed = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__tie": F.xxhash64("text")})
-    found = keyed.join(marks, keyed["__doc"].eqNullSafe(marks["__d"]) & (keyed["__tie"] == marks["__t"]), "left")
+    found = keyed.join(marks.hint("merge"), keyed["__doc"].eqNullSafe(marks["__d"]) & (keyed["__tie"] == marks["__t"]), "left")
     # the split happens once per row: a one-row generator keeps it out of the lambdas below
     split = F.explode(F.array(F.struct(F.when(F.col("__at").isNotNull(), _split("text")).alias("lines"))))
     held = found.select(*names, "__at", split.alias("__x"))

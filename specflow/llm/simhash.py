@@ -105,7 +105,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, max_bits: int = 3, chunk
     named = distinct.join(component, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     named = materialize(named, "fingerprint-components")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return prints.join(named, "fp").select("doc_id", hexed, "component_id")
+    return prints.join(named.hint("merge"), "fp").select("doc_id", hexed, "component_id")
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
@@ -113,4 +113,4 @@ def keep_first(docs: DataFrame, **settings) -> DataFrame:
     groups = near_duplicates(docs, **settings)
     gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
     gone = materialize(gone, "near-duplicates")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

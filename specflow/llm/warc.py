@@ -155,7 +155,7 @@ def write_archives(pages: DataFrame, path: str, *, archive_bytes: int = 16 << 20
     digests = chosen.select("page_id", F.sha2(F.encode("html", "utf-8"), 256).alias("sha"), F.octet_length("html").alias("n"))
     latest = digests.where(F.col("n") >= least_bytes).groupBy("sha").agg(F.max("page_id").alias("latest"), F.count(F.lit(1)).alias("rows"))
     latest = materialize(latest.where("rows > 1 AND latest IS NOT NULL").select("sha", "latest"), "repeated-payloads")
-    joined = chosen.withColumn("sha", F.sha2(F.encode("html", "utf-8"), 256)).join(latest, "sha", "left")
+    joined = chosen.withColumn("sha", F.sha2(F.encode("html", "utf-8"), 256)).join(latest.hint("merge"), "sha", "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("latest")), F.col("latest"))
 
     def write(batches):
