@@ -1,0 +1,52 @@
+"""The pipeline against plain versions of its stages."""
+
+from collections import Counter
+
+import corpus_pipeline
+import __spark_entry__ as driver
+from specflow.llm import decontaminate, langid
+from tests.llm.test_near_copies import groups, plain_simhash, plain_windows
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = docs.limit(1).selectExpr("900000L AS doc_id", "'12 34' AS text", "lang", "source", "5L AS n_chars")
+    docs = docs.unionByName(extra)
+    items = [decontaminate.normal(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        before = {r.doc_id: r for r in docs.collect()}
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        after = {r.doc_id: r.text for r in docs.collect()}
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        if name == "language":
+            want = {d: r.text for d, r in before.items() if langid.words_of(r.text)}
+            assert 900000 not in after
+        elif name == "lines":
+            left = plain_windows(sorted((d, r.text) for d, r in before.items()))
+            want = {d: t for d, t in left.items() if t and t.strip()}
+        elif name == "near_duplicates":
+            ids = sorted(before)
+            prints = [plain_simhash(before[d].text) for d in ids]
+            near = [(i, j) for i, x in enumerate(prints) for j, y in enumerate(prints) if (x ^ y).bit_count() <= 3]
+            root = groups(len(ids), near)
+            want = {d: before[d].text for k, d in enumerate(ids) if root[k] == k}
+        else:
+            texts = {d: decontaminate.normal(r.text) for d, r in before.items()}
+            want = {d: r.text for d, r in before.items() if not any(i in texts[d] for i in items)}
+        assert after == want, name
+
+
+def test_run_packs_what_is_left(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    held = Counter()
+    for r in rows:
+        held[r.sequence_id] += r.length
+    assert rows and max(held.values()) <= 1024
+
+
+def test_registered():
+    names = set(driver.queries())
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
