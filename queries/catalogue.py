@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -291,6 +292,28 @@ def json_fuzzy_keys(spark, sf):
     )
 
 
+@query
+def json_duplicate_keys(spark, sf):
+    parsed = parsing.parse_json(derive(spark, sf, inputs.DUPLICATE_KEYS, "events").select("event_id", "raw"), "raw")
+    named = parsing.normalize_keys(parsed, "fields", columns.CRITERIA)
+    keys = F.array_join(F.array_sort(F.map_keys("fields")), ",")
+    return named.select("event_id", keys.alias("keys"), F.col("fields")["format"].alias("format"), F.col("fields")["k"].alias("k"))
+
+
+@query
+def pair_duplicate_keys(spark, sf):
+    raw = derive(spark, sf, inputs.PAIR_DUPLICATES, "orders").select("us_id", "raw")
+    scored = judging.parse_pair_judgement(raw, "raw")
+    return longs(scored.select("us_id", "judge_score_a_coherence", "judge_winner", "judge_reason"), ["judge_score_a_coherence"])
+
+
+@query
+def single_duplicate_keys(spark, sf):
+    raw = derive(spark, sf, inputs.SINGLE_DUPLICATES, "orders").select("us_id", "raw")
+    scored = judging.parse_judgement(raw, "raw", parse_status="parse_status")
+    return scored.select("us_id", "validacion_coherencia", "validacion_total", "validacion_aprobado", "parse_status")
+
+
 @query
 def page_braces(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", jsontext.clean_json("html").alias("cut"))
@@ -413,6 +436,57 @@ def generated_cached(spark, sf):
     )
 
 
+@query
+def generated_partly_cached(spark, sf):
+    # a third of the orders share one prompt, the others have their own; some replies are known
+    store = table_path(spark, "replies-partly-known")
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    number = F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_orderkey"))
+    prompt = F.concat(F.lit("Order "), number.cast("string"))
+    inference.generate_cached(orders.filter("o_orderkey % 5 = 0"), prompt, doubles.WRITER, store)
+    reply = inference.generate_cached(orders, prompt, doubles.WRITER, store)
+    asked = spark.read.parquet(store).agg(F.count(F.lit(1)).alias("asked"))
+    return reply.select("o_orderkey", F.md5("generation").alias("md5")).crossJoin(F.broadcast(asked))  # one row
+
+
+@query
+def requests_shown(spark, sf):
+    # what the model was sent: system text, format, sampling, through every way a call can end
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    shown = inference.generate(turns, "text", doubles.SHOWER, details=True)
+    return shown.select(
+        "conv_id", "turn", "generation", "generation_error", F.col("generation_attempts").cast("long").alias("attempts")
+    )
+
+
+@query
+def pair_call_failures(spark, sf):
+    pairs = task_pairs(spark, sf)
+    pairs = pairs.withColumn("tasks_generator_b", F.when(F.col("us_id") % 11 != 0, F.col("tasks_generator_b")))
+    scored = judging.judge_pairs(
+        pairs, "input", "tasks_generator_a", "tasks_generator_b", doubles.FAILING_PAIR_JUDGE, prompt=F.concat(F.lit("p "), F.col("us_id").cast("string")), zero_retries=0
+    )
+    return longs(
+        scored.select("us_id", "judge_score_a_coherence", "judge_score_b_total", "judge_winner", "judge_reason", "judge_status"),
+        ["judge_score_a_coherence", "judge_score_b_total"],
+    )
+
+
+@query
+def single_call_failures(spark, sf):
+    prompt = F.concat(F.lit("p "), F.col("us_id").cast("string"))
+    scored = judging.judge(task_texts(spark, sf), "input", "tasks", doubles.FAILING_JUDGE, prompt=prompt, zero_retries=0)
+    return scored.select(
+        "us_id",
+        "validacion_coherencia",
+        "validacion_total",
+        "validacion_aprobado",
+        F.array_join("validacion_problemas", "|").alias("problems"),
+        F.array_join("validacion_recomendaciones", "|").alias("advice"),
+        "judge_status",
+    )
+
+
 @query
 def generations_joined(spark, sf):
     turns = table(spark, sf, "conversations")
@@ -512,6 +586,8 @@ def _result_files(spark, sf) -> str:
             kept = kept.drop("judge_score_b_format")
         if priority.p.startswith("3"):
             kept = kept.select(*reversed(kept.columns))
+        if priority.p.startswith("4"):
+            kept = kept.drop("judge_score_b_total", "judge_winner")
         name = f"run_dual_test{priority.p[0]}_judge_results.csv"
         writers.write_table(kept, f"{folder}/{name}", "csv")
     return folder
@@ -527,10 +603,30 @@ def consolidated_metrics(spark, sf):
     return rounded(evaluation.evaluate_files(spark, _result_files(spark, sf)).metrics)
 
 
+@query
+def consolidated_totals(spark, sf):
+    results = readers.read_judge_results(spark, _result_files(spark, sf), multi_line=False)
+    return rounded(report.consolidate(results, by=["test"]).select("test", "Config", "Gen", "Criteria_Total"))
+
+
+@query
+def boxplot_from_files(spark, sf):
+    boxes = evaluation.evaluate_files(spark, _result_files(spark, sf)).boxes
+    return longs(boxes, ["rows", "outliers"])
+
+
+@query
+def summary_files(spark, sf):
+    folder = table_path(spark, "summaries")
+    evaluation.evaluate_files(spark, _result_files(spark, sf)).write(folder)
+    back = spark.read.option("header", True).csv(f"{folder}/aggregate_summary.csv")
+    return back.select("Config", "Gen", *[F.col(c).cast("double").alias(c) for c in ("Mean", "Pass", "Win")])
+
+
 @query
 def criteria_pivot(spark, sf):
     long = evaluation.evaluate_answers(with_config(pair_raw(spark, sf)), "raw")
-    pivoted = report.pivot_generators(report.criterion_summary(long), ["Coherence", "Granularity"])
+    pivoted = report.pivot_generators(report.criterion_summary(long), [c.capitalize() for c in columns.CRITERIA])
     return rounded(pivoted)
 
 
@@ -559,7 +655,7 @@ def flow_chain(spark, sf):
         )
         >> Step(
             "shout",
-            lambda df: columns.add_column(df, "loud", lambda s: s.upper() + "!", ["segment"], "string"),
+            lambda df: columns.add_column(df, "loud", lambda s: s.str.upper() + "!", ["segment"], "string", vectorized=True),
             inputs=["segment"],
             rename_in={"c_mktsegment": "segment"},
             rename_out={"loud": "shout"},
@@ -571,12 +667,43 @@ def flow_chain(spark, sf):
     return flow.run()
 
 
+@query
+def written_tables(spark, sf):
+    """Tasks and valid stories written as CSV and read again, side by side as line counts and digests."""
+    folder = table_path(spark, "written")
+    exploded = tasks.explode_tasks(task_texts(spark, sf), group_by="us_id", order_by=["us_id"], unique_order=True)
+    kept = writers.write_tasks(exploded.select("us_id", "task_id", "task"), writers.run_path(folder, "tasks", timestamp="t"), "csv")
+    valid = writers.write_valid(stories(spark, sf), "input", folder, "valid.csv")
+    first = readers.load(spark, csv_path=kept).select(F.col("us_id").cast("long").alias("id"), "task")
+    second = readers.load_stories(spark, valid).select(F.col("story_id").cast("long").alias("id"), F.col("input").alias("task"))
+    both = first.withColumn("kind", F.lit("task")).unionByName(second.withColumn("kind", F.lit("story")))
+    return both.select("kind", "id", F.md5("task").alias("md5"))
+
+
+@query
+def run_stamps(spark, sf):
+    start, end = datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 5, 5)
+    stamped = columns.add_run_times(table(spark, sf, "nation").select("n_nationkey"), start, end)
+    seconds = F.unix_timestamp("end_timestamp") - F.unix_timestamp("start_timestamp")
+    return stamped.select("n_nationkey", seconds.alias("seconds"))
+
+
 @query
 def single_run(spark, sf):
     result = single.run_single(
         stories(spark, sf), doubles.WRITER, ["story_id"], judge_call=doubles.SINGLE_JUDGE
     )
-    return result.select("us_id", "story_id", "task_id", "task", "generator_model_name", "judge_model_name")
+    return result.select(
+        "us_id",
+        "story_id",
+        "task_id",
+        "task",
+        "generator_model_name",
+        "judge_model_name",
+        "validacion_total",
+        "validacion_aprobado",
+        "judge_status",
+    )
 
 
 @query
@@ -592,6 +719,11 @@ def dual_run_scores(spark, sf):
         stories(spark, sf), doubles.WRITER, doubles.SHORT_WRITER, doubles.PAIR_JUDGE, ["story_id"]
     ).judge_results()
     return longs(
-        judged.select("us_id", "input", "judge_score_a_total", "judge_score_b_total", "judge_winner"),
-        ["judge_score_a_total", "judge_score_b_total"],
+        judged.select(
+            "us_id", "input", "judge_score_a_total", "judge_score_b_total", "judge_winner",
+            "judge_score_a_coherence", "judge_score_b_granularity", "judge_reason",
+            (F.col("end_timestamp") >= F.col("start_timestamp")).alias("stamped"),
+            (F.col("total_time") >= F.col("judge_time")).alias("timed"),
+        ),
+        ["judge_score_a_total", "judge_score_b_total", "judge_score_a_coherence", "judge_score_b_granularity"],
     )

@@ -64,6 +64,45 @@ def pair_judge():
     return chat
 
 
+def shower():
+    """Repeats the request; fails always, or at first, for some prompts.
+
+    The digest decides, and how often this worker was asked is counted here.
+    """
+    asked: dict[str, int] = {}
+
+    def chat(model, messages, options, format):
+        d = _digest(messages)
+        asked[d] = asked.get(d, 0) + 1
+        if d[0] == "0":
+            raise RuntimeError("never " + d[1:5])
+        if d[0] == "1" and asked[d] % 2:
+            raise RuntimeError("not yet")
+        system = messages[0]["content"] if messages[0]["role"] == "system" else "none"
+        return f"{model}|{system}|{options['temperature']}|{format}|{d[:6]}"
+
+    return chat
+
+
+def failing_judge():
+    """No answer for prompts whose digest begins with 0 to 3, no JSON for 4 and 5."""
+
+    def chat(model, messages, options, format):
+        d = _digest(messages)
+        if d[0] in "0123":
+            raise RuntimeError("down " + d[1:4])
+        if d[0] in "45":
+            return "no idea"
+        if model == "pair":
+            return json.dumps({"coherence_a": 5, "granularity_b": 4, "winner": "B", "reason": f"{format}{options['num_predict']}"})
+        return json.dumps({c: {"puntuacion": 8} for c in CRITERIA})
+
+    return chat
+
+
+SHOWER = ModelCall(shower, "m", system="be brief", options={"temperature": 0.5}, response_format="json", max_retries=1, backoff=0.0)
+FAILING_JUDGE = ModelCall(failing_judge, "single", workers=4, max_retries=0)
+FAILING_PAIR_JUDGE = ModelCall(failing_judge, "pair", workers=4)
 WRITER = ModelCall(writer, "double-writer", workers=4, backoff=0.0)
 SHORT_WRITER = ModelCall(short_writer, "double-short", workers=4, backoff=0.0)
 SINGLE_JUDGE = ModelCall(single_judge, "double-judge", workers=4, backoff=0.0)

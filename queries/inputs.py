@@ -65,6 +65,26 @@ SELECT event_id, CASE event_id % 4
 FROM events
 """
 
+# keys given more than once: the last value counts
+DUPLICATE_KEYS = """
+SELECT event_id, CASE event_id % 4
+  WHEN 0 THEN '{"zz": 1, "k": ' || CAST(event_id AS STRING) || ', "zz": 2}'
+  WHEN 1 THEN '{"format": 1, "formt": 2, "format": 3}'
+  WHEN 2 THEN '{"formt": ' || CAST(user_id AS STRING) || ', "x": 0, "formt": 5, "format": 6}'
+  ELSE '{"format": 7, "k": 1, "k": ' || CAST(user_id AS STRING) || '}' END AS raw,
+  CASE event_id % 4 WHEN 0 THEN 'k,zz' WHEN 1 THEN 'format' WHEN 2 THEN 'format,x' ELSE 'format,k' END AS keys,
+  CASE event_id % 4 WHEN 1 THEN '2' WHEN 2 THEN '6' WHEN 3 THEN '7' END AS format,
+  CASE event_id % 4 WHEN 0 THEN CAST(event_id AS STRING) WHEN 3 THEN CAST(user_id AS STRING) END AS k
+FROM events
+"""
+
+PAIR_DUPLICATES = """
+SELECT o_orderkey AS us_id, '{"coherence_a": 3, "coherence_b": 1, "coherence_a": ' || CAST(o_custkey % 11 AS STRING)
+  || ', "winner": "A", "reason": "first", "winner": "' || CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END || '", "reason": "last"}' AS raw,
+  o_custkey % 11 AS score, CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS winner
+FROM orders
+"""
+
 PAIR_RAW = """
 SELECT o_orderkey AS us_id, o_orderpriority AS config, CASE o_orderkey % 6
   WHEN 3 THEN 'not json'
@@ -105,6 +125,12 @@ SELECT o_orderkey AS us_id, o_orderpriority AS config, CASE o_orderkey % 7
 FROM orders
 """
 
+SINGLE_DUPLICATES = f"""
+SELECT o_orderkey AS us_id, {_single(_criterion("coherence", "'1'"), *_REST, _criterion("granularity", _CUST), _criterion("coherence", _KEY), end=', "aprobado": false, "aprobado": true')} AS raw,
+  CAST(1 + o_orderkey % 10 AS DOUBLE) AS coherence, CAST(1 + o_orderkey % 10 + 24.5 + 1 + o_custkey % 10 AS DOUBLE) AS total
+FROM orders
+"""
+
 TIMINGS = """
 SELECT o_orderkey AS us_id, o_orderpriority AS config, o_totalprice / 1000 AS generation_time_a,
   CASE WHEN o_orderkey % 9 = 0 THEN CAST(NULL AS DOUBLE) ELSE o_totalprice / 2000 END AS generation_time_b,

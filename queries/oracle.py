@@ -217,9 +217,12 @@ _CLEAN_NUMBERED = (
     "row_number() OVER (ORDER BY story_id) AS us_id FROM valid)"
 )
 _TASK_PROMPT = fill(TASK_TEMPLATE, user_story=strip("input"))
-_SINGLE_RUN = f"""{_CLEAN_NUMBERED}, answered AS (SELECT *, {writer(_TASK_PROMPT)} AS tasks FROM numbered), {exploded_ctes('answered')}
+_SINGLE_PROMPT = fill(JUDGE_TEMPLATE, story="input", tasks="task", threshold="'35.0'")
+_SINGLE_RUN = f"""{_CLEAN_NUMBERED}, answered AS (SELECT *, {writer(_TASK_PROMPT)} AS tasks FROM numbered), {exploded_ctes('answered')},
+judged AS (SELECT *, {reasked(f'({_SINGLE_PROMPT})', 5)} AS h FROM exploded)
 SELECT us_id, story_id, row_number() OVER (ORDER BY us_id, pos) AS task_id, task, 'double-writer' AS generator_model_name,
-  'double-judge' AS judge_model_name FROM exploded"""
+  'double-judge' AS judge_model_name, CAST({digits_sum('h', 1)} AS DOUBLE) AS validacion_total, ({digits_sum('h', 1)}) >= 35 AS validacion_aprobado,
+  'ok' AS judge_status FROM judged"""
 _DUAL = f"""{_CLEAN_NUMBERED}, answered AS (SELECT us_id, input, {writer(_TASK_PROMPT)} AS a, {short_writer(_TASK_PROMPT)} AS b FROM numbered)"""
 _PAIR_PROMPT = fill(PAIR_TEMPLATE, user_story="input", tasks_a="a", tasks_b="b")
 
@@ -244,6 +247,16 @@ def metric_rows(by: str, extra: str = "") -> str:
     return " UNION ALL ".join(rows)
 
 
+# result 4 has no total of side B and no winner
+_NO_TOTAL = "CASE WHEN NOT (\"Config\" = 'C4' AND \"Gen\" = 'G2') THEN"
+_PARTIAL_METRICS = (
+    ", ".join(f'{_NO_TOTAL} "{c}" END AS "{c}"' for c in ("Mean", "Std", "Pass"))
+    + ", CASE WHEN \"Config\" <> 'C4' THEN \"Win\" END AS \"Win\""
+)
+_ROUNDED_METRICS = (
+    ", ".join(f'round_even({_NO_TOTAL} "{c}" END, 2) AS "{c}"' for c in ("Mean", "Pass"))
+    + ", round_even(CASE WHEN \"Config\" <> 'C4' THEN \"Win\" END, 2) AS \"Win\""
+)
 _CAPITAL = ", ".join(f'"{c.capitalize()}"' for c in CRITERIA)
 _LONG = f"{PAIRS}, long0 AS ({metric_rows('cfg,')}), long AS (SELECT * RENAME (cfg AS \"Config\") FROM long0)"
 _LONG_ALL = f"{PAIRS}, long AS ({metric_rows('')})"
@@ -325,6 +338,26 @@ ORACLE: dict[str, str] = {
     "arg_max(v, i) FILTER (name = 'format') AS format FROM n GROUP BY event_id",
     "page_braces": "WITH c AS (SELECT page_id, regexp_extract(html, '(?s)\\{.*\\}') AS cut FROM pages) SELECT page_id, md5(cut) AS md5, "
     "len(cut) - len(replace(cut, '{', '')) > len(cut) - len(replace(cut, '}', '')) AS truncated FROM c",
+    "json_duplicate_keys": f"SELECT event_id, keys, format, k FROM ({inputs.DUPLICATE_KEYS}) t",
+    "pair_duplicate_keys": f"SELECT us_id, CASE WHEN score > 10 THEN 10 ELSE score END AS judge_score_a_coherence, winner AS judge_winner, 'last' AS judge_reason FROM ({inputs.PAIR_DUPLICATES}) t",
+    "single_duplicate_keys": f"SELECT us_id, coherence AS validacion_coherencia, total AS validacion_total, true AS validacion_aprobado, 'direct' AS parse_status FROM ({inputs.SINGLE_DUPLICATES}) t",
+    "generated_partly_cached": f"WITH p AS (SELECT o_orderkey, 'Order ' || CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey END AS VARCHAR) AS prompt FROM orders) "
+    f"SELECT o_orderkey, md5({writer('prompt')}) AS md5, (SELECT count(DISTINCT prompt) FROM p) AS asked FROM p",
+    "requests_shown": "WITH h AS (SELECT conv_id, turn, text, md5(text) AS h FROM conversations) SELECT conv_id, turn, "
+    "CASE WHEN text IS NOT NULL AND h[1] <> '0' THEN 'm|be brief|0.5|json|' || substr(h, 1, 6) END AS generation, "
+    "CASE WHEN text IS NULL THEN 'missing prompt' WHEN h[1] = '0' THEN 'never ' || substr(h, 2, 4) END AS generation_error, "
+    "CAST(CASE WHEN text IS NULL THEN 0 WHEN h[1] IN ('0', '1') THEN 2 ELSE 1 END AS BIGINT) AS attempts FROM h",
+    "pair_call_failures": f"WITH h AS (SELECT us_id, md5('p ' || CAST(us_id AS VARCHAR)) AS h, us_id % 11 = 0 AS gone FROM ({inputs.TASK_PAIRS}) t), "
+    "s AS (SELECT *, CASE WHEN gone THEN 'missing_input' WHEN h[1] IN ('0','1','2','3') THEN 'call_failed' WHEN h[1] IN ('4','5') THEN 'parse_failed' ELSE 'ok' END AS judge_status FROM h) "
+    "SELECT us_id, CAST(CASE WHEN judge_status IN ('missing_input', 'call_failed') THEN -1 WHEN judge_status = 'ok' THEN 5 ELSE 0 END AS BIGINT) AS judge_score_a_coherence, "
+    "CAST(CASE WHEN judge_status IN ('missing_input', 'call_failed') THEN -5 WHEN judge_status = 'ok' THEN 4 ELSE 0 END AS BIGINT) AS judge_score_b_total, "
+    "CASE WHEN judge_status = 'ok' THEN 'B' ELSE 'A' END AS judge_winner, "
+    "CASE judge_status WHEN 'missing_input' THEN 'Judge evaluation failed: missing prompt' WHEN 'call_failed' THEN 'Judge evaluation failed: down ' || substr(h, 2, 3) WHEN 'ok' THEN 'json1000' ELSE '' END AS judge_reason, judge_status FROM s",
+    "single_call_failures": f"WITH h AS (SELECT us_id, md5('p ' || CAST(us_id AS VARCHAR)) AS h FROM ({inputs.TASK_TEXTS}) t), "
+    "s AS (SELECT *, CASE WHEN h[1] IN ('0','1','2','3') THEN 'call_failed' WHEN h[1] IN ('4','5') THEN 'parse_failed' ELSE 'ok' END AS judge_status FROM h) "
+    "SELECT us_id, CASE WHEN judge_status = 'ok' THEN 8.0::DOUBLE ELSE -1.0::DOUBLE END AS validacion_coherencia, CASE WHEN judge_status = 'ok' THEN 40.0::DOUBLE ELSE -5.0::DOUBLE END AS validacion_total, "
+    "judge_status = 'ok' AS validacion_aprobado, CASE judge_status WHEN 'ok' THEN '' WHEN 'call_failed' THEN 'Error de conexión con modelo' ELSE 'Error en parsing de respuesta del juez' END AS problems, "
+    "CASE judge_status WHEN 'ok' THEN '' WHEN 'call_failed' THEN 'Reintentar validación' ELSE 'Revisar manualmente' END AS advice, judge_status FROM s",
     "single_judge_scores": f"{SINGLES} SELECT * EXCLUDE (config) FROM singles",
     "single_judge_by_threshold": f"WITH base AS ({inputs.SINGLE_RAW}), {single_ctes(30, own=False)} SELECT us_id, validacion_total, validacion_aprobado FROM singles",
     "approval_report": f"{SINGLES} SELECT config, count(*) FILTER (validacion_aprobado) AS approved, count(*) AS total, "
@@ -354,10 +387,15 @@ ORACLE: dict[str, str] = {
     "run_timings": f"WITH t AS ({inputs.TIMINGS}) SELECT config, round(avg(generation_time_a), 6) AS mean_generation_time_a, round(avg(generation_time_b), 6) AS mean_generation_time_b, "
     "round(avg(judge_time), 6) AS mean_judge_time, round(avg(generation_time_a + generation_time_b + judge_time), 6) AS mean_total_time FROM t GROUP BY config",
     "consolidated_criteria": f"{_LONG} SELECT \"Config\", \"Gen\", {_CAPITAL.replace('"Format"', """CASE WHEN "Config" = 'C2' AND "Gen" = 'G2' THEN NULL ELSE "Format" END AS "Format" """)} FROM long",
-    "consolidated_metrics": f"{_LONG} SELECT \"Config\", \"Gen\", \"Mean\", \"Std\", \"Pass\", \"Win\" FROM long",
+    "consolidated_metrics": f"{_LONG} SELECT \"Config\", \"Gen\", {_PARTIAL_METRICS} FROM long",
+    "summary_files": f"{_LONG} SELECT \"Config\", \"Gen\", {_ROUNDED_METRICS} FROM long",
+    "consolidated_totals": f"{_LONG} SELECT 'run_dual_test' || right(\"Config\", 1) || '_judge_results' AS test, \"Config\", \"Gen\", "
+    "round(CASE WHEN \"Config\" = 'C2' AND \"Gen\" = 'G2' THEN \"Criteria_Total\" - \"Format\" ELSE \"Criteria_Total\" END, 6) AS \"Criteria_Total\" FROM long",
+    "boxplot_from_files": f"{_TOTALS} SELECT cfg AS \"Config\", gen AS \"Gen\", n_rows AS rows, q1, med AS median, q3, w_lo AS whisker_low, w_hi AS whisker_high, n_out AS outliers "
+    "FROM boxes WHERE NOT (cfg = 'C4' AND gen = 'G2')",
     "criteria_pivot": f"{_LONG} SELECT \"Config\", "
     + ", ".join(
-        f"max(\"{c}\") FILTER (\"Gen\" = '{g}') AS \"{g}_{c}\"" for c in ("Coherence", "Granularity") for g in ("G1", "G2")
+        f"max(\"{c}\") FILTER (\"Gen\" = '{g}') AS \"{g}_{c}\"" for c in (x.capitalize() for x in CRITERIA) for g in ("G1", "G2")
     )
     + " FROM long GROUP BY \"Config\"",
     "score_boxplot": f"{_TOTALS}, names AS (SELECT * FROM (VALUES ('C1', 'Llama 3.1', 'Mistral'), ('C2', 'Qwen 3', 'Gemma 4'), "
@@ -373,5 +411,10 @@ SELECT x.us_id, x.pos AS task_id, x.input, x.task AS task_generator_a, y.task AS
 FROM ea x LEFT JOIN eb y ON x.us_id = y.us_id AND x.pos = y.pos""",
     "dual_run_scores": f"""{_DUAL}, h AS (SELECT us_id, input, {reasked(f'({_PAIR_PROMPT})', 10)} AS h FROM answered)
 SELECT us_id, input, {digits_sum('h', 1)} AS judge_score_a_total, {digits_sum('h', 6)} AS judge_score_b_total,
-  CASE WHEN (strpos('0123456789abcdef', substr(h, 11, 1)) - 1) % 2 = 1 THEN 'B' ELSE 'A' END AS judge_winner FROM h""",
+  CASE WHEN (strpos('0123456789abcdef', substr(h, 11, 1)) - 1) % 2 = 1 THEN 'B' ELSE 'A' END AS judge_winner,
+  {digit('h', 1)} AS judge_score_a_coherence, {digit('h', 10)} AS judge_score_b_granularity, substr(h, 12, 5) AS judge_reason,
+  true AS stamped, true AS timed FROM h""",
+    "written_tables": f"{TASKS}, {_STORIES.removeprefix('WITH ')} SELECT 'task' AS kind, us_id AS id, md5(task) AS md5 FROM exploded "
+    f"UNION ALL SELECT 'story', story_id, md5({strip('input')}) FROM stories WHERE {is_story('input')}",
+    "run_stamps": "SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, CAST(60 AS BIGINT) AS seconds FROM nation",
 }

@@ -78,7 +78,24 @@ def with_json_object(df: DataFrame, text: str, out: str, lax: bool = False) -> D
     staged = df.withColumn("__values", F.when(_plain(text, lax), values))
     value = F.col("__values")
     complete = (F.size(value) == 2) & (F.get(value, F.lit(1))[_END_KEY] == "1")
-    return staged.withColumn(out, F.when(complete, F.get(value, F.lit(0)))).drop("__values")
+    staged = staged.withColumn("__first", F.when(complete, F.get(value, F.lit(0)))).drop("__values")
+    return staged.withColumn(out, last_wins("__first")).drop("__first")
+
+
+def last_wins(fields: ColumnOrName) -> Column:
+    """The map with every key once, where it first stood, with the value it was given last.
+
+    ``from_json`` keeps repeated keys in a map; a lookup would take the first.
+    """
+    fields = as_col(fields)
+    keys = F.map_keys(fields)
+    once = F.array_distinct(keys)
+
+    def last(key: Column) -> Column:
+        same = F.filter(F.map_entries(fields), lambda e: e["key"] == key)
+        return F.element_at(same, F.lit(-1))["value"]
+
+    return F.when(F.size(keys) == F.size(once), fields).otherwise(F.map_from_arrays(once, F.transform(once, last)))
 
 
 def with_other_json(

@@ -28,12 +28,14 @@ def add_column(
     func: Callable | Column,
     inputs: Sequence[str] = (),
     returns: str | None = None,
+    vectorized: bool = False,
 ) -> DataFrame:
     """Add (or overwrite) one column.
 
     ``func`` is a Column, or a function of Columns, and stays inside the JVM.
     Only with ``returns`` is it a Python function of plain values; it then runs
-    over Arrow batches and needs its result type named.
+    over Arrow batches and needs its result type named.  With ``vectorized`` it
+    takes and gives a pandas Series per batch.
     """
     require_columns(df, inputs, f"add_column({name})")
     if isinstance(func, Column):
@@ -44,7 +46,7 @@ def add_column(
 
     @F.pandas_udf(returns)
     def by_batch(*series: pd.Series) -> pd.Series:
-        return pd.Series([func(*row) for row in zip(*series, strict=True)])
+        return func(*series) if vectorized else pd.Series([func(*row) for row in zip(*series, strict=True)])
 
     @F.pandas_udf(returns)
     def without_input(seed: pd.Series) -> pd.Series:

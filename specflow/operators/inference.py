@@ -12,9 +12,10 @@ from __future__ import annotations
 import json
 import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 import pyarrow as pa
@@ -24,9 +25,14 @@ from pyspark.sql import types as t
 
 from specflow.functions.common import ColumnOrName, as_col
 from specflow.operators.columns import check_settings
-from specflow.operators.joins import lookup_join
 from specflow.session import materialize, paths_like
 
+# --- fixed values -----------------------------------------------------------
+GENERATOR_OPTIONS = {"temperature": 0.3, "num_predict": 1000}
+# ----------------------------------------------------------------------------
+AHEAD = 4  # calls handed out per worker
+HELD_BATCHES = 4  # batches that may wait for a slow call while later ones go on
+
 STORE_SCHEMA = "key string, reply string, seconds double, attempts int, asked_at timestamp"
 
 
@@ -37,26 +43,28 @@ class ModelCall:
     client: Callable[[], Callable[..., str]]
     model: str
     system: str | None = None
-    options: Mapping[str, Any] = field(
-        default_factory=lambda: {"temperature": 0.3, "num_predict": 1000}
-    )
+    options: Mapping[str, Any] | None = None  # None: the default of the operator that asks
     response_format: str | None = None
     max_retries: int = 3
     backoff: float = 1.0
     workers: int = 1
 
     def __post_init__(self):
+        options = self.options or {}
         check_settings(
-            temperature=self.options.get("temperature"),
-            max_tokens=self.options.get("num_predict"),
+            temperature=options.get("temperature"),
+            max_tokens=options.get("num_predict"),
             workers=self.workers,
         )
         if self.max_retries < 0:
             raise ValueError("max_retries must not be negative")
 
+    def sampling(self) -> dict[str, Any]:
+        return dict(GENERATOR_OPTIONS if self.options is None else self.options)
+
     def identity(self) -> str:
         """Everything besides the prompt that decides the reply."""
-        parts = [self.model, self.system, dict(self.options), self.response_format]
+        parts = [self.model, self.system, self.sampling(), self.response_format]
         return json.dumps(parts, sort_keys=True)
 
 
@@ -100,8 +108,8 @@ def generate_all(
 ) -> DataFrame:
     """Several generators over the same rows in one pass, their calls side by side.
 
-    ``partitions`` spreads the rows evenly first; running tasks x ``workers`` is
-    the load on the endpoint.
+    The rows are spread evenly over ``partitions`` tasks first, by default one
+    per core; running tasks x ``workers`` is the load on the endpoint.
     """
     return materialize(ask_lazily(df, asks, partitions), "replies", path)
 
@@ -121,34 +129,42 @@ def generate_cached(
     Each distinct prompt is asked once, only when the store lacks it, and the
     reply is appended.  The key covers the prompt and the whole ``identity`` of
     the call, so other settings never see it.  Failed calls are not kept.
+    The store is read once, and only replies to wanted prompts leave that scan.
     ``refresh`` forgets the whole store first.  ``df`` is read more than once;
     write it first if it is costly or not the same each time.
     """
     spark = df.sparkSession
+    if any(c in store for c in "[]{}*?\\"):
+        raise ValueError(f"store must be a plain path, without pattern characters: {store!r}")
     keyed = df.withColumn("__prompt", as_col(prompt)).withColumn("key", reply_key("__prompt", call))
     wanted = keyed.filter(F.col("__prompt").isNotNull()).select("key", "__prompt").distinct()
+    wanted = materialize(wanted, "wanted-prompts")
+    ready = None
     if not refresh and paths_like(spark, store):
-        known = spark.read.schema(STORE_SCHEMA).parquet(store).select("key").distinct()
-        wanted = wanted.join(known, "key", "left_anti")
+        # only replies to wanted prompts leave the one scan of the store
+        kept = spark.read.schema(STORE_SCHEMA).parquet(store).join(wanted.select("key"), "key", "left_semi")
+        # two runs at the same time may both have asked: the first reply counts
+        first = F.min(F.struct("asked_at", "reply", "seconds", "attempts")).alias("r")
+        ready = kept.groupBy("key").agg(first).select("key", "r.reply", "r.seconds", "r.attempts", "r.asked_at")
+        ready = materialize(ready, "known-replies")
+        wanted = wanted.join(ready.select("key"), "key", "left_anti")
     asked = ask_lazily(wanted, [Ask("__prompt", "reply", call, "seconds", True)], partitions)
-    asked.filter(F.col("reply").isNotNull()).select(
+    asked = asked.filter(F.col("reply").isNotNull()).select(
         "key",
         "reply",
         "seconds",
         F.col("reply_attempts").alias("attempts"),
         F.current_timestamp().alias("asked_at"),
-    ).write.mode("overwrite" if refresh else "append").parquet(store)
-    replies = (
-        spark.read.schema(STORE_SCHEMA)
-        .parquet(store)
-        .groupBy("key")
-        # two runs at the same time may both have asked: the first reply counts
-        .agg(F.min(F.struct("asked_at", "reply", "seconds")).alias("__kept"))
     )
-    joined = lookup_join(keyed.drop("__prompt"), replies, "key", how="left")
-    added = [F.col("__kept.reply").alias(output_column)]
+    asked = materialize(asked, "new-replies")
+    asked.write.mode("overwrite" if refresh else "append").parquet(store)
+    replies = asked if ready is None else ready.unionByName(asked)
+    replies = materialize(replies.select("key", F.col("reply").alias("__reply"), F.col("seconds").alias("__seconds")), "replies")
+    # one row per key against the rows as they are: the adaptive planner splits a frequent prompt
+    joined = keyed.drop("__prompt").join(replies, "key", "left")
+    added = [F.col("__reply").alias(output_column)]
     if time_column:
-        added.append(F.col("__kept.seconds").alias(time_column))
+        added.append(F.col("__seconds").alias(time_column))
     kept = [c for c in df.columns if c not in (output_column, time_column)]
     return joined.select(*kept, *added)
 
@@ -164,8 +180,8 @@ def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None) ->
     ready = df.select(
         *kept, *[as_col(a.prompt).cast("string").alias(p) for a, p in zip(asks, prompts)]
     )
-    if partitions:
-        ready = ready.repartition(partitions)
+    # calls are slow and a small table may be one partition: spread the rows over all cores
+    ready = ready.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
     schema = t.StructType(
         [f for f in ready.schema.fields if f.name in kept]
         + [f for a in asks for f in a.fields()]
@@ -176,25 +192,33 @@ def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None) ->
 def _task(asks: list[Ask], kept: int, names: list[str]):
     shapes = [(a.call, a.time_column is not None, a.details) for a in asks]
 
+    def finished(batch: pa.RecordBatch, pending: list[list]) -> pa.RecordBatch:
+        columns = batch.columns[:kept]
+        for (_, timed, details), futures in zip(shapes, pending):
+            replies = [f.result() for f in futures]
+            columns.append(pa.array([r[0] for r in replies], pa.string()))
+            if timed:
+                columns.append(pa.array([r[1] for r in replies], pa.float64()))
+            if details:
+                columns.append(pa.array([r[3] for r in replies], pa.string()))
+                columns.append(pa.array([r[2] for r in replies], pa.int32()))
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pools = [_pool(call) for call, _, _ in shapes]
+        held: deque = deque()
         try:
             for batch in batches:
-                # all generators start before the first is waited for
-                pending = [
-                    [ask_one(prompt) for prompt in batch.column(kept + i).to_pylist()]
-                    for i, ask_one in enumerate(pools)
-                ]
-                columns = batch.columns[:kept]
-                for (_, timed, details), futures in zip(shapes, pending):
-                    replies = [f.result() for f in futures]
-                    columns.append(pa.array([r[0] for r in replies], pa.string()))
-                    if timed:
-                        columns.append(pa.array([r[1] for r in replies], pa.float64()))
-                    if details:
-                        columns.append(pa.array([r[3] for r in replies], pa.string()))
-                        columns.append(pa.array([r[2] for r in replies], pa.int32()))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                prompts = [batch.column(kept + i).to_pylist() for i in range(len(pools))]
+                pending: list[list] = [[] for _ in pools]
+                for row in zip(*prompts):  # all generators of a row start side by side
+                    for ask_one, prompt, futures in zip(pools, row, pending):
+                        futures.append(ask_one(prompt))
+                held.append((batch, pending))
+                while held and (len(held) > HELD_BATCHES or all(f.done() for fs in held[0][1] for f in fs)):
+                    yield finished(*held.popleft())
+            while held:
+                yield finished(*held.popleft())
         finally:
             for ask_one in pools:
                 ask_one.pool.shutdown(cancel_futures=True)
@@ -203,15 +227,23 @@ def _task(asks: list[Ask], kept: int, names: list[str]):
 
 
 def _pool(call: ModelCall):
-    """Submit function of a thread pool whose threads each own a client."""
+    """Submit function of a thread pool whose threads each own a client.
+
+    It waits while ``AHEAD`` calls per worker are unfinished, so a slow call holds
+    up one slot and no later row, and the queue stays short.
+    """
     own = threading.local()
     pool = ThreadPoolExecutor(max_workers=call.workers)
+    slots = threading.Semaphore(AHEAD * call.workers)
 
     def work(prompt: str | None):
         return _ask_with_retry(call, own, prompt)
 
     def submit(prompt: str | None):
-        return pool.submit(work, prompt)
+        slots.acquire()
+        future = pool.submit(work, prompt)
+        future.add_done_callback(lambda _: slots.release())
+        return future
 
     submit.pool = pool
     return submit
@@ -233,7 +265,7 @@ def _ask_with_retry(call: ModelCall, own, prompt: str | None):
             reply = own.chat(
                 model=call.model,
                 messages=messages,
-                options=dict(call.options),
+                options=call.sampling(),
                 format=call.response_format,
             )
             return reply, time.perf_counter() - start, attempt + 1, None

@@ -1,4 +1,4 @@
-"""Joins on keys that may be very uneven."""
+"""Joins of generations, tasks and model names."""
 
 from __future__ import annotations
 
@@ -9,42 +9,6 @@ from pyspark.sql import functions as F
 
 from specflow.functions.common import as_list, require_columns
 
-# A key outside the HOT_KEYS most frequent ones holds less than 1/HOT_KEYS of
-# the rows, so this many hints are enough at any size and small enough to send
-# to every task.
-HOT_KEYS = 10_000
-
-
-def lookup_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "left", hot_rows: int = 1_000_000
-) -> DataFrame:
-    """Join ``left`` with ``right``, whose ``key`` is unique.
-
-    Keys with more than ``hot_rows`` rows on the left are spread: their rows
-    are numbered by the input partition they come from and the single right row
-    is repeated once per number.  The result is the same as of a plain join.
-    """
-    require_columns(left, [key], "lookup_join")
-    require_columns(right, [key], "lookup_join")
-    hot = (
-        left.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > hot_rows)
-        .orderBy(F.desc("__n"))
-        .limit(HOT_KEYS)
-        .select(key, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__parts"))
-    )
-    salt = F.coalesce(F.pmod(F.spark_partition_id(), F.col("__parts")), F.lit(0))
-    salted = left.join(F.broadcast(hot), key, "left").withColumn("__salt", salt).drop("__parts")
-    last = F.coalesce(F.col("__parts"), F.lit(1)) - 1
-    spread = (
-        right.join(F.broadcast(hot), key, "left")
-        .withColumn("__salt", F.explode_outer(F.sequence(F.lit(0), last)))
-        .drop("__parts")
-    )
-    return salted.join(spread, [key, "__salt"], how).drop("__salt")
-
-
 def join_generations(
     a: DataFrame, b: DataFrame, key: str | Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

@@ -46,6 +46,7 @@ def parse_judgement(
     criteria: Sequence[str] = CRITERIA,
     prefix: str = "validacion_",
     status: str = "judge_status",
+    parse_status: str | None = None,
 ) -> DataFrame:
     """Score columns, total, approval, problems and advice from a single judge's answer.
 
@@ -53,7 +54,8 @@ def parse_judgement(
     ``parse_failed``: -1 per criterion, total -5, not approved.  A null answer
     is ``call_failed``.  The total is always summed here.  With policy
     ``model`` the judge's own approval counts if it gave one, with
-    ``threshold`` only the total does.
+    ``threshold`` only the total does.  ``parse_status`` names a column for
+    how the answer parsed (see ``parse_metrics``).
     """
     if policy not in ("model", "threshold"):
         raise ValueError(f"policy must be 'model' or 'threshold', got {policy!r}")
@@ -108,6 +110,8 @@ def parse_judgement(
         .when(failed_call, F.lit("call_failed"))
         .otherwise(F.lit("parse_failed")),
     }
+    if parse_status:
+        columns[parse_status] = F.col("__how")
     scored = parsed.withColumns(columns)
     return settle(scored.drop("__fields", "__how", "__entries", "__points", "__total", *each), columns)
 
@@ -149,7 +153,7 @@ def parse_pair_judgement(
         F.array(*[F.lit(f"{c}_{side}") for side, c in keys]), lambda k: F.try_element_at(fields, k)
     )
     if accept_nested:
-        nested = {s: F.from_json(fields[f"breakdown_{s}"], "map<string,string>") for s in "ab"}
+        nested = {s: J.last_wins(F.from_json(fields[f"breakdown_{s}"], "map<string,string>")) for s in "ab"}
         staged = staged.withColumns({f"__nested_{s}": nested[s] for s in "ab"})
         deeper = F.array(*[F.col(f"__nested_{side}")[c] for side, c in keys])
         texts = F.zip_with(texts, deeper, lambda flat, nested: F.coalesce(flat, nested))
@@ -224,14 +228,14 @@ def ask_until_scored(
     into the next one.  The last answer is kept, and seconds add up.
     """
     raw, spent = "__raw", "__spent"
-    extra = [raw, f"{raw}_error", f"{raw}_attempts", "__seconds", "__prompt"]
+    extra = [raw, f"{raw}_error", f"{raw}_attempts", "__seconds"]
     pending = df.withColumn("__prompt", as_col(prompt)).withColumn(spent, F.lit(0.0))
     finished: list[DataFrame] = []
     for attempt in range(zero_retries + 1):
         ask = Ask(prompts.stricter("__prompt", attempt), raw, call, "__seconds", details=True)
-        scored = parse(ask_lazily(pending, [ask], partitions), raw).withColumn(
-            spent, F.col(spent) + F.coalesce(F.col("__seconds"), F.lit(0.0))
-        )
+        # the prompt is built again each round and never written
+        asked = ask_lazily(pending, [ask], partitions).drop("__prompt")
+        scored = parse(asked, raw).withColumn(spent, F.col(spent) + F.coalesce(F.col("__seconds"), F.lit(0.0)))
         scored = materialize(scored, "judged")
         if attempt == zero_retries:
             finished.append(scored)
@@ -241,7 +245,7 @@ def ask_until_scored(
         again = scored.filter(zero)
         if again.isEmpty():
             break
-        pending = again.select(*df.columns, "__prompt", spent)
+        pending = again.select(*df.columns, spent).withColumn("__prompt", as_col(prompt))
     result = finished[0]
     for part in finished[1:]:
         result = result.unionByName(part)
@@ -261,6 +265,7 @@ def judge(
     zero_retries: int = ZERO_RETRIES,
     partitions: int | None = None,
     observation: Observation | None = None,
+    parse_status: str | None = None,
 ) -> DataFrame:
     """Score each row's tasks against its story with a judge model.
 
@@ -273,12 +278,12 @@ def judge(
         prompt = prompts.judge_prompt(story_column, tasks_column, threshold)
 
     def parse(asked: DataFrame, raw: str) -> DataFrame:
-        return parse_judgement(asked, raw, threshold, policy, criteria, prefix)
+        return parse_judgement(asked, raw, threshold, policy, criteria, prefix, parse_status=parse_status)
 
     return ask_until_scored(
         usable,
         prompt,
-        replace(call, response_format="json"),
+        replace(call, response_format="json", options=JUDGE_OPTIONS if call.options is None else call.options),
         parse,
         single_score_columns(prefix, criteria),
         "judge_time",
@@ -321,7 +326,12 @@ def judge_pairs(
     scored = ask_until_scored(
         flagged,
         F.when(~missing, as_col(prompt)),
-        replace(call, response_format="json", max_retries=retries),
+        replace(
+            call,
+            response_format="json",
+            max_retries=retries,
+            options=PAIR_OPTIONS if call.options is None else call.options,
+        ),
         parse,
         pair_score_columns(prefix, criteria),
         f"{prefix}time",

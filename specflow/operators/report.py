@@ -21,9 +21,10 @@ SIDES = {"G1": "a", "G2": "b"}
 WINNERS = {"G1": "A", "G2": "B"}
 
 
-def _percent(condition: Column) -> Column:
-    """Share of rows, null counting as no."""
-    return F.avg(F.coalesce(condition, F.lit(False)).cast("double")) * 100
+def _percent(condition: Column, present: Column | None = None) -> Column:
+    """Share of the rows where the column is ``present``, null counting as no; null without such rows."""
+    share = F.coalesce(condition, F.lit(False)).cast("double")
+    return F.avg(share if present is None else F.when(present, share)) * 100
 
 
 def to_long(wide: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -82,6 +83,8 @@ def consolidate(
 
     Text scores are read as numbers, unusable ones as null; the winner column
     is left as it is.  ``by`` adds grouping columns, such as the result file.
+    A column named in a row's ``missing_columns`` (see ``read_judge_results``)
+    gives no rate, and the sum is that of the criteria there are.
     """
     scores = [f"{prefix}score_{s}_{c}" for s in "ab" for c in (*criteria, "total")]
     require_columns(df, [config, *by, *scores, f"{prefix}winner"], "consolidate")
@@ -89,13 +92,13 @@ def consolidate(
     wide = (
         coerce_numbers(df, scores)
         .groupBy(*keys)
-        .agg(*_means(prefix, criteria), *_metrics(threshold, prefix))
+        .agg(*_means(prefix, criteria), *_metrics(threshold, prefix, "missing_columns" in df.columns))
     )
     names = [c.capitalize() for c in criteria]
     long = to_long(wide, keys, [*names, "Mean", "Std", "Pass", "Win"])
     total = F.lit(0.0)
     for name in names:
-        total = total + F.col(name)
+        total = total + F.coalesce(F.col(name), F.lit(0.0))
     return long.withColumn("Criteria_Total", total)
 
 
@@ -174,6 +177,7 @@ def score_counts(df: DataFrame, by: Sequence[str] = (), prefix: str = "judge_")
 
     Totals are whole numbers from -5 to 50, so this is at most 56 rows per group
     and generator however many rows were judged; distributions are read off it.
+    Totals read as text (from result files) are taken as numbers first.
     """
     sides = F.array(
         *[
@@ -181,8 +185,11 @@ def score_counts(df: DataFrame, by: Sequence[str] = (), prefix: str = "judge_")
             for gen, side in SIDES.items()
         ]
     )
+    totals = [f"{prefix}score_a_total", f"{prefix}score_b_total"]
+    texts = [f.name for f in df.schema.fields if f.name in totals and f.dataType.typeName() == "string"]
     counted = (
-        df.groupBy(*by, f"{prefix}score_a_total", f"{prefix}score_b_total")
+        coerce_numbers(df, texts)
+        .groupBy(*by, *totals)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(*by, "n", F.inline(sides))
     )
@@ -250,15 +257,18 @@ def _grouped(df: DataFrame, by: Sequence[str], prefix: str, exclude_failed: bool
     return df.groupBy(*by)
 
 
-def _metrics(threshold: float, prefix: str) -> list[Column]:
+def _metrics(threshold: float, prefix: str, partial: bool = False) -> list[Column]:
+    def present(name: str) -> Column | None:
+        return ~F.array_contains("missing_columns", name) if partial else None
+
     columns = []
     for gen, side in SIDES.items():
         total = F.col(f"{prefix}score_{side}_total")
         columns += [
             F.avg(total).alias(f"{gen}_Mean"),
             F.stddev_samp(total).alias(f"{gen}_Std"),
-            _percent(total >= threshold).alias(f"{gen}_Pass"),
-            _percent(F.col(f"{prefix}winner") == WINNERS[gen]).alias(f"{gen}_Win"),
+            _percent(total >= threshold, present(f"{prefix}score_{side}_total")).alias(f"{gen}_Pass"),
+            _percent(F.col(f"{prefix}winner") == WINNERS[gen], present(f"{prefix}winner")).alias(f"{gen}_Win"),
         ]
     return columns
 

@@ -41,7 +41,7 @@ def run_dual(
     start = datetime.now()
     cleaned = columns.clean_text_rows(df, story, sample_size, order_by)
     valid = stories.valid_stories(cleaned, story)
-    numbered = ids.dense_id(valid, order_by, "us_id")
+    numbered = ids.dense_id(valid, order_by, "us_id", partitions=partitions)
     prompt = task_prompt(story)
     answered = inference.generate_all(
         numbered,

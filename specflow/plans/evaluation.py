@@ -14,6 +14,8 @@ from specflow.sources.writers import write_summary
 class Summaries(NamedTuple):
     criteria: DataFrame
     metrics: DataFrame
+    boxes: DataFrame
+    outliers: DataFrame
 
     def write(self, folder: str, mode: str = "error") -> None:
         write_summary(self.criteria, f"{folder}/criterion_summary.csv", mode)
@@ -31,8 +33,14 @@ def evaluate_files(
     threshold: float = judging.THRESHOLD,
     numbered: bool = False,
     fmt: str = "csv",
+    multi_line: bool = True,
 ) -> Summaries:
-    """Every result file of a folder -> the two summaries, two rows per file."""
-    results = read_judge_results(spark, folder, numbered=numbered, fmt=fmt)
+    """Every result file of a folder -> the two summaries, two rows per file, and the spread of the totals."""
+    results = read_judge_results(spark, folder, numbered=numbered, fmt=fmt, multi_line=multi_line)
     long = report.consolidate(results, threshold=threshold, by=["test"])
-    return Summaries(report.criterion_summary(long), report.aggregate_summary(long))
+    return Summaries(
+        report.criterion_summary(long),
+        report.aggregate_summary(long),
+        report.box_stats(results, ["Config"]),
+        report.outliers(results, ["Config"]),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
@@ -32,9 +33,11 @@ def run_single(
     is scored against its story.
     """
     columns.check_settings(threshold=threshold)
+    if call.system is None:
+        call = replace(call, system=SYSTEM)
     cleaned = columns.clean_text_rows(df, story, sample_size, order_by)
     valid = stories.valid_stories(cleaned, story)
-    numbered = ids.dense_id(valid, order_by, "us_id")
+    numbered = ids.dense_id(valid, order_by, "us_id", partitions=partitions)
     named = columns.add_constant(numbered, "generator_model_name", call.model)
     answered = inference.generate(named, task_prompt(story), call, "tasks", partitions=partitions)
     exploded = tasks.explode_tasks(answered, order_by=["us_id"], unique_order=True)

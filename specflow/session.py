@@ -3,13 +3,15 @@
 Model replies must not be computed twice, and running ids need a fixed row
 placement, so both are written to the shared folder the cluster names in
 ``spark.checkpoint.dir`` and read back.  That survives the loss of executors,
-unlike cached blocks.
+unlike cached blocks.  Where it is unset, a folder below the warehouse serves.
+``scratch`` deletes what a job wrote when its results are no longer needed.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,17 +26,35 @@ def shared_dir(spark: SparkSession) -> str:
     active = spark.sparkContext.getCheckpointDir()
     if active:
         return active.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    one_machine = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+    if not one_machine and (warehouse.startswith("file:") or ":" not in warehouse):
         raise ValueError(f"set {_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="specflow-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return f"{warehouse}/specflow-tables"
+
+
+_runs: list[str] = []
 
 
 def table_path(spark: SparkSession, label: str) -> str:
-    """A new, unused location below the shared folder for this application."""
+    """A new, unused location below the shared folder for this application, and for the ``scratch`` run in progress."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/specflow-{app}/{label}-{uuid.uuid4().hex}"
+    run = f"/{_runs[-1]}" if _runs else ""
+    return f"{shared_dir(spark)}/specflow-{app}{run}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables written inside are deleted at the end: use or write the results before."""
+    run = f"run-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/specflow-{spark.sparkContext.applicationId}/{run}"
+    _runs.append(run)
+    try:
+        yield folder
+    finally:
+        _runs.remove(run)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from specflow.functions.common import ColumnOrName, as_col
 from specflow.operators.columns import CRITERIA, clean_text_rows, require_rows
@@ -111,31 +113,61 @@ def read_judge_results(
     columns: Sequence[str] = JUDGE_RESULT_COLUMNS,
     numbered: bool = False,
     fmt: str = "csv",
+    multi_line: bool = True,
 ) -> DataFrame:
     """All ``*_judge_results`` of a folder, with ``test`` (the name) and ``Config``.
 
     A result is one experiment: a CSV file, a folder of CSV parts, or with
     ``fmt="parquet"`` a folder of Parquet parts.  Results may differ in columns
-    and column order, and Spark takes CSV columns by position, so each is read
-    by its own header.  CSV values stay text; a missing column is null.
+    and column order, and Spark takes CSV columns by position, so the headers of
+    all files are read first, in one job, and all files of one header in one scan.
+    CSV values stay text; a missing column is null and named in
+    ``missing_columns``.  Without ``multi_line`` cells may not hold line breaks,
+    and large files are split over tasks.
     """
     suffix = ".csv" if fmt == "csv" else ""
     paths = paths_like(spark, f"{folder}/*{RESULT_SUFFIX}{suffix}")
     if not paths:
         raise ValueError(f"no *{RESULT_SUFFIX}{suffix} in {folder}")
-    reader = spark.read.options(**_CSV) if fmt == "csv" else spark.read
+    if fmt == "csv":
+        groups = _by_header(spark, paths)
+        options = _CSV | {"multiLine": multi_line, "enforceSchema": True}
+    else:
+        groups = {}
+        for path in paths:
+            groups.setdefault(tuple(spark.read.format(fmt).load(path).columns), []).append(path)
+        options = {}
+    place = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]*{RESULT_SUFFIX}){suffix.replace('.', '[.]')}(?:/|$)", 1)
     results = []
-    for path in paths:
-        table = reader.format(fmt).load(path)
-        test = path.rsplit("/", 1)[1].removesuffix(suffix)
-        present = [
-            F.col(c) if c in table.columns else F.lit(None).cast("string").alias(c) for c in columns
-        ]
-        results.append(table.select(*present, F.lit(test).alias("test")))
+    for header, files in sorted(groups.items()):
+        reader = spark.read.options(**options)
+        if fmt == "csv":
+            reader = reader.schema(StructType([StructField(name, StringType()) for name in header]))
+        table = reader.format(fmt).load(files)
+        present = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns]
+        missing = F.array(*[F.lit(c) for c in columns if c not in header]).cast("array<string>")
+        results.append(
+            table.select(*present, missing.alias("missing_columns"), F.url_decode(place).alias("test"))
+        )
     merged = reduce(lambda a, b: a.unionByName(b), results)
     return merged.withColumn("Config", config_id("test", numbered))
 
 
+def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> CSV files; one row per file comes back."""
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    first = lines.groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in first.collect():
+        names = next(csv.reader([row.header.removeprefix("\ufeff")]))
+        groups.setdefault(tuple(names), []).append(unquote(row.path))
+    return groups
+
+
 def experiments(spark: SparkSession, rows: Sequence[tuple[str, str, str]] = EXPERIMENTS) -> DataFrame:
     """Configuration -> names of the two generator models."""
     return spark.createDataFrame(list(rows), "Config string, G1 string, G2 string")

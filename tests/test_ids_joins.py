@@ -50,27 +50,6 @@ def test_batches_and_splits(spark):
             call()
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_join_with_hot_keys(spark, how):
-    # one key holds a third of the rows, another a sixth, some match nothing
-    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 6 == 1, 1).otherwise(F.col("id"))
-    left = spark.range(3000, numPartitions=8).select(key.alias("k"), F.col("id").alias("v"))
-    left = left.unionByName(spark.createDataFrame([(None, -1)], "k long, v long"))
-    right = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    salted = joins.lookup_join(left, right, "k", how, hot_rows=100)
-    plain = left.join(right, "k", how)
-    assert salted.columns == plain.columns
-    assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
-
-
-def test_lookup_join_spreads_the_hot_key(spark):
-    left = spark.range(4000, numPartitions=8).select(F.lit(1).alias("k"))
-    right = spark.createDataFrame([(1, "w")], "k int, w string")
-    joined = joins.lookup_join(left, right, "k", hot_rows=500)
-    assert "__salt" in joined._jdf.queryExecution().optimizedPlan().toString()
-    assert joined.count() == 4000
-
-
 def test_join_generations_and_tasks(spark):
     a = spark.createDataFrame([(1, "x")], "id int, a string")
     b = spark.createDataFrame([(1, "y"), (2, "z")], "id int, b string")

@@ -245,3 +245,65 @@ def test_pair_judge_statuses(spark, tmp_path):
     assert (failed.judge_score_b_total, failed.judge_status) == (-5, "call_failed")
     assert failed.judge_reason == "Judge evaluation failed: down"
     assert failed.selected_output == "A"
+
+
+def slow_first():
+    import time
+
+    def chat(model, messages, options, format):
+        if messages[-1]["content"] == "p0":
+            time.sleep(1.5)
+        else:
+            time.sleep(0.01)
+        return messages[-1]["content"]
+
+    return chat
+
+
+def test_a_slow_call_holds_up_no_others(spark):
+    # 60 rows in batches of 10: with a barrier per batch the slow call would idle the pool
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        df = spark.range(60).selectExpr("id AS n", "concat('p', id) AS prompt").coalesce(1)
+        rows = inference.generate(df, "prompt", ModelCall(slow_first, "m", workers=2), time_column="s", partitions=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [(r.n, r.generation) for r in sorted(rows)] == [(i, f"p{i}") for i in range(60)]
+
+
+def test_calls_are_spread_by_default(spark):
+    df = spark.range(100).selectExpr("concat('p', id) AS prompt").coalesce(1)
+    plan = inference.ask_lazily(df, [Ask("prompt", "g", ModelCall(echo, "m"))])
+    assert plan.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_store_paths_with_patterns_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([("a",)], "prompt string")
+    with pytest.raises(ValueError):
+        inference.generate_cached(df, "prompt", ModelCall(echo, "m"), f"{tmp_path}/st[o]re")
+
+
+def test_cached_replies_and_a_hot_prompt(spark, tmp_path):
+    # a third of the rows share a prompt: the join is one the planner may split, without limits
+    df = spark.range(3000, numPartitions=8).selectExpr("sha2(string(id), 512) AS pad", "concat('p', if(id % 3 = 0, 0, id)) AS prompt")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = inference.generate_cached(df, "prompt", ModelCall(echo, "m", workers=8), str(tmp_path / "store"))
+        assert got.count() == 3000
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert all(r.generation == f"m:{r.prompt}" for r in rows)
+    assert "skew=true" in plan and "Limit" not in plan
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 2001

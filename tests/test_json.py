@@ -135,3 +135,12 @@ def test_long_texts_are_linear(spark):
     df = spark.createDataFrame([(t,) for t in texts], "raw string")
     rows = parsing.parse_json(df, "raw").select("parse_status", F.length("raw")).collect()
     assert {r.parse_status for r in rows} == {"failed"}
+
+
+def test_repeated_keys_take_the_last_value(spark):
+    rows = [('{"zz": 1, "zz": 2}',), ('{"format": 1, "formt": 2, "format": 3}',), ('{"a": null, "b": 1, "a": "x"}',)]
+    df = spark.createDataFrame(rows, "raw string")
+    parsed = parsing.parse_json(df, "raw")
+    assert [r.fields for r in parsed.collect()] == [{"zz": "2"}, {"format": "3", "formt": "2"}, {"a": "x", "b": "1"}]
+    named = parsing.normalize_keys(parsed, "fields", ["format"])
+    assert [r.fields for r in named.collect()] == [{"zz": "2"}, {"format": "2"}, {"a": "x", "b": "1"}]

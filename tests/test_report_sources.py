@@ -204,3 +204,32 @@ def test_results_as_parquet(spark, tmp_path):
     assert {(r.Config, r.judge_score_b_total) for r in results.collect()} == {("C1", 8)}
     with pytest.raises(ValueError, match="no "):
         readers.read_judge_results(spark, f"{tmp_path}/none")
+
+
+def test_many_files_take_one_scan_per_header(spark, tmp_path):
+    for k in range(40):
+        header = "us_id,judge_score_a_total" if k % 2 else "judge_score_a_total,us_id,judge_winner"
+        (tmp_path / f"x_y_test{k}_judge_results.csv").write_text(header + "\n" + ("7,9\n" if k % 2 else "9,7,B\n"))
+    results = readers.read_judge_results(spark, str(tmp_path), multi_line=False, numbered=True)
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    rows = results.select("test", "Config", "us_id", "judge_score_a_total", "judge_winner").collect()
+    assert {tuple(r) for r in rows} == {
+        (f"x_y_test{k}_judge_results", f"C{k}", "7", "9", None if k % 2 else "B") for k in range(40)
+    }
+
+
+def test_text_totals_are_numbers_in_boxes(spark):
+    totals = ["9", "9", "10", "10", "11", "12", "30"]
+    df = spark.createDataFrame([(t, t) for t in totals], "judge_score_a_total string, judge_score_b_total string")
+    box = report.box_stats(df).where("Gen = 'G1'").first()
+    assert (box.whisker_low, box.whisker_high, box.outliers) == (9.0, 12.0, 1)
+
+
+def test_scratch_deletes_its_tables(spark):
+    from specflow.session import materialize, paths_like, scratch
+
+    with scratch(spark) as folder:
+        kept = materialize(spark.range(3), "numbers")
+        assert kept.count() == 3 and paths_like(spark, folder)
+    assert not paths_like(spark, folder)
