@@ -706,6 +706,90 @@ def single_run(spark, sf):
     )
 
 
+@query
+def single_run_report(spark, sf):
+    run = single.run_single(stories(spark, sf), doubles.WRITER, ["story_id"], judge_call=doubles.SINGLE_JUDGE)
+    counts, approval, parsed = single.report_single(materialize(run, "single-run"))
+    return rounded(counts.crossJoin(approval).crossJoin(parsed.select("success", "repaired", "failed")))  # one row each
+
+
+@query
+def single_run_file(spark, sf):
+    run = single.run_single(
+        stories(spark, sf), doubles.WRITER, ["story_id"], prompt=F.concat(F.lit("Split: "), "input"), case_sensitive=True
+    )
+    path = single.write_single(run, table_path(spark, "single-file"), "t")
+    back = readers.read_csv(spark, path)
+    return back.select(F.col("us_id").cast("long"), F.col("task_id").cast("long"), F.md5("task").alias("md5"))
+
+
+def _dual(spark, sf):
+    result = dual.run_dual(
+        stories(spark, sf), doubles.WRITER, doubles.SHORT_WRITER, doubles.PAIR_JUDGE, ["story_id"], zero_retries=0,
+        judge_prompt=F.concat("input", F.lit(" / "), F.col("tasks_generator_a")),
+    )
+    return result
+
+
+@query
+def dual_run_report(spark, sf):
+    counts, wins_, criteria, timings = _dual(spark, sf).report()
+    seconds = timings.select((F.col("mean_total_time") >= F.col("mean_judge_time")).alias("timed"))
+    return rounded(criteria.crossJoin(counts).crossJoin(wins_.select("wins_a", "wins_b", "mean_a", "mean_b")).crossJoin(seconds))
+
+
+@query
+def dual_run_files(spark, sf):
+    _, judged = _dual(spark, sf).write(table_path(spark, "dual-files"), "t")
+    back = readers.read_judge_results(spark, judged.rsplit("/", 1)[0])
+    return back.select(
+        F.col("us_id").cast("long").alias("us_id"),
+        "judge_score_a_total",
+        "judge_winner",
+        F.size("missing_columns").cast("long").alias("missing"),
+        "test",
+    )
+
+
+@query
+def settings_refused(spark, sf):
+    """Wrong settings, missing columns and failing steps are refused before any row is read."""
+
+    def message(call) -> str:
+        try:
+            call()
+        except (ValueError, RuntimeError) as error:
+            return str(error) + "".join(getattr(error, "__notes__", []))
+        return "accepted"
+
+    def fail(df):
+        raise RuntimeError("no")
+
+    nation = table(spark, sf, "nation")
+    refused = {
+        "batch": message(lambda: columns.check_settings(batch_size=0)),
+        "temperature": message(lambda: columns.check_settings(temperature=3)),
+        "threshold": message(lambda: columns.check_settings(threshold=51)),
+        "column": message(lambda: columns.keep_columns(nation, ["n_name", "nothing"])),
+        "step": message(lambda: (Flow("f") >> Step("bad", fail)).run(nation)),
+    }
+    flags = {k: F.lit(v != "accepted" and (k != "step" or "bad" in v)) for k, v in refused.items()}
+    return nation.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), *[v.alias(k) for k, v in flags.items()])
+
+
+@query
+def flow_outputs(spark, sf):
+    # an intermediate result by name
+    flow = (
+        Flow("nations")
+        >> Step("load", lambda: table(spark, sf, "nation"))
+        >> Step("few", lambda df: df.filter("n_regionkey = 1"))
+        >> Step("none", lambda df: df.filter("false"))
+    )
+    flow.run()
+    return flow.outputs["few"].select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name")
+
+
 @query
 def dual_run_tasks(spark, sf):
     return dual.run_dual(

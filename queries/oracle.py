@@ -223,9 +223,17 @@ judged AS (SELECT *, {reasked(f'({_SINGLE_PROMPT})', 5)} AS h FROM exploded)
 SELECT us_id, story_id, row_number() OVER (ORDER BY us_id, pos) AS task_id, task, 'double-writer' AS generator_model_name,
   'double-judge' AS judge_model_name, CAST({digits_sum('h', 1)} AS DOUBLE) AS validacion_total, ({digits_sum('h', 1)}) >= 35 AS validacion_aprobado,
   'ok' AS judge_status FROM judged"""
+_SINGLE_FILE = f"""{_CLEAN_NUMBERED.replace(is_story('input'), is_story('input', 'c'))},
+answered AS (SELECT *, {writer("'Split: ' || input")} AS tasks FROM numbered), {exploded_ctes('answered')}
+SELECT us_id, row_number() OVER (ORDER BY us_id, pos) AS task_id, md5(task) AS md5 FROM exploded"""
 _DUAL = f"""{_CLEAN_NUMBERED}, answered AS (SELECT us_id, input, {writer(_TASK_PROMPT)} AS a, {short_writer(_TASK_PROMPT)} AS b FROM numbered)"""
 _PAIR_PROMPT = fill(PAIR_TEMPLATE, user_story="input", tasks_a="a", tasks_b="b")
 
+_DUAL_ONCE = f"""{_DUAL}, once0 AS (SELECT us_id, md5(input || ' / ' || a) AS h FROM answered),
+once AS (SELECT us_id, h, {digits_sum('h', 1)} AS ta, {digits_sum('h', 6)} AS tb,
+  CASE WHEN (strpos('0123456789abcdef', substr(h, 11, 1)) - 1) % 2 = 1 THEN 'B' ELSE 'A' END AS winner FROM once0)"""
+_DUAL_TASKS = f"""{_DUAL}, {exploded_ctes('answered', 'a', 'ea')}, {exploded_ctes('answered', 'b', 'eb')}
+SELECT x.us_id, x.pos FROM ea x LEFT JOIN eb y ON x.us_id = y.us_id AND x.pos = y.pos"""
 
 # --- reports ----------------------------------------------------------------
 
@@ -414,6 +422,19 @@ SELECT us_id, input, {digits_sum('h', 1)} AS judge_score_a_total, {digits_sum('h
   CASE WHEN (strpos('0123456789abcdef', substr(h, 11, 1)) - 1) % 2 = 1 THEN 'B' ELSE 'A' END AS judge_winner,
   {digit('h', 1)} AS judge_score_a_coherence, {digit('h', 10)} AS judge_score_b_granularity, substr(h, 12, 5) AS judge_reason,
   true AS stamped, true AS timed FROM h""",
+    "single_run_report": f"WITH r AS ({_SINGLE_RUN}) SELECT count(*) AS tasks, count(DISTINCT us_id) AS stories, count(*) FILTER (validacion_aprobado) AS approved, "
+    "count(*) AS total, round(avg(CAST(validacion_aprobado AS INT)) * 100, 6) AS approved_pct, round(avg(validacion_total), 6) AS mean_total, "
+    "count(*) AS success, CAST(0 AS BIGINT) AS repaired, CAST(0 AS BIGINT) AS failed FROM r",
+    "single_run_file": _SINGLE_FILE,
+    "dual_run_report": f"{_DUAL_ONCE}, c AS (SELECT count(*) AS tasks, count(DISTINCT us_id) AS stories FROM ({_DUAL_TASKS}) t), "
+    "w AS (SELECT count(*) FILTER (winner = 'A') AS wins_a, count(*) FILTER (winner = 'B') AS wins_b, round(avg(ta), 6) AS mean_a, round(avg(tb), 6) AS mean_b FROM once), "
+    "m AS (" + " UNION ALL ".join(
+        f"SELECT '{g}' AS \"Gen\", " + ", ".join(f'round(avg({digit("h", at + i)}), 6) AS "{c.capitalize()}"' for i, c in enumerate(CRITERIA)) + " FROM once"
+        for g, at in (("G1", 1), ("G2", 6))
+    ) + ") SELECT m.*, c.*, w.*, true AS timed FROM m, c, w",
+    "dual_run_files": f"{_DUAL_ONCE} SELECT us_id, CAST(ta AS VARCHAR) AS judge_score_a_total, winner AS judge_winner, CAST(0 AS BIGINT) AS missing, 'dual_tasks_t_judge_results' AS test FROM once",
+    "settings_refused": 'SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, true AS batch, true AS temperature, true AS threshold, true AS "column", true AS step FROM nation',
+    "flow_outputs": "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation WHERE n_regionkey = 1",
     "written_tables": f"{TASKS}, {_STORIES.removeprefix('WITH ')} SELECT 'task' AS kind, us_id AS id, md5(task) AS md5 FROM exploded "
     f"UNION ALL SELECT 'story', story_id, md5({strip('input')}) FROM stories WHERE {is_story('input')}",
     "run_stamps": "SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, CAST(60 AS BIGINT) AS seconds FROM nation",
