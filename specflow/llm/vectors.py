@@ -71,8 +71,26 @@ def bucket_keys(vectors: np.ndarray, tables: int, seed: int = 11) -> np.ndarray:
     return out
 
 
+def packed(x: np.ndarray) -> bytes:
+    """A vector as bytes: in single precision where that loses nothing."""
+    with np.errstate(over="ignore"):
+        single = x.astype("<f4")
+    return b"f" + single.tobytes() if (single == x).all() else b"d" + x.astype("<f8").tobytes()
+
+
+def unpacked(raw: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, vectors in double precision) for each kind and length of vector."""
+    kinds = np.array([len(r) * 2 + (r[:1] == b"d") for r in raw])
+    out = []
+    for kind in np.unique(kinds):
+        at = np.flatnonzero(kinds == kind)
+        body = b"".join(raw[i][1:] for i in at)
+        out.append((at, np.frombuffer(body, "<f8" if kind % 2 else "<f4").reshape(len(at), -1).astype(float)))
+    return out
+
+
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
-    """vec_id, digest (null for vectors that link with nothing), vector (doubles as bytes)."""
+    """vec_id, digest (null for vectors that link with nothing), vector (see ``packed``)."""
 
     def read(batches):
         for batch in batches:
@@ -80,7 +98,7 @@ def distinct_vectors(vectors: DataFrame) -> DataFrame:
             for vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1)):
                 x = np.array(v.values.to_numpy(zero_copy_only=False), float) + 0.0 if v.is_valid else np.zeros(0)
                 fine = vec_id is not None and len(x) and np.isfinite(x).all() and x.any()
-                raw.append(x.tobytes() if fine else None)
+                raw.append(packed(x) if fine else None)
                 digests.append(blake2b(raw[-1], digest_size=16).digest() if fine else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array(raw, pa.binary())],
@@ -106,15 +124,13 @@ def near_vectors(vectors: DataFrame, *, least: float = 0.95, tables: int = 8, ch
 
     def post(batches):
         for batch in batches:
-            raw = batch.column("vector").to_pylist()
-            sizes = np.array([len(r) for r in raw])
-            for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                for some in np.array_split(at, -(-len(at) // 2000)):
-                    x = np.frombuffer(b"".join(raw[i] for i in some), float).reshape(len(some), -1)
-                    keys = bucket_keys(_unit(x), tables).reshape(len(some), -1)
+            for at, x in unpacked(batch.column("vector").to_pylist()):
+                for part in np.array_split(np.arange(len(at)), -(-len(at) // 2000)):
+                    some = at[part]
+                    keys = bucket_keys(_unit(x[part]), tables).reshape(len(some), -1)
                     each = np.repeat(some, keys.shape[1])
-                    marks = [k.tobytes() for k in keys]
+                    # length and table are known from the place, the axes fit four bytes
+                    marks = [k.tobytes() for k in keys.astype("<u4")]
                     repeated = pa.array(each)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(keys.reshape(-1)), batch.column("node").take(repeated), batch.column("copies").take(repeated),
@@ -132,23 +148,24 @@ def near_vectors(vectors: DataFrame, *, least: float = 0.95, tables: int = 8, ch
             n = len(node)
             node, copies, bucket = node.to_numpy(), copies.to_numpy(), bucket.to_numpy()
             side = side.to_numpy(zero_copy_only=False)
-            width = len(raw[0].as_buffer()) // 8
-            sizes = np.array([len(r.as_buffer()) // 8 for r in raw])
-            width = int(sizes.max())
-            unit = np.zeros((n, width))
-            for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                x = np.frombuffer(b"".join(raw[int(i)].as_py() for i in at), float).reshape(len(at), -1)
-                unit[at, :size] = _unit(x)
-            sign = np.frombuffer(b"".join(keys.to_pylist()), np.int64).reshape(n, tables, PROBES)
+            groups = unpacked(raw.to_pylist())
+            unit = np.zeros((n, max(x.shape[1] for _, x in groups)))
+            for at, x in groups:
+                unit[at, : x.shape[1]] = _unit(x)
+            sign = np.frombuffer(b"".join(keys.to_pylist()), "<u4").astype(np.int64).reshape(n, tables, PROBES)
+            low = bucket & 0xFFFFFFFF
+            table = (bucket >> 32) & 63
 
             def linked(a, b):
                 hit = np.einsum("ij,ij->i", unit[a], unit[b]) >= least
                 at = np.flatnonzero(hit)
                 for some in np.array_split(at, -(-len(at) // 20_000)) if len(at) else ():
                     x, y = sign[a[some]], sign[b[some]]
-                    common = np.where((x[:, :, :, None] == y[:, :, None, :]).any(axis=3), x, np.iinfo(np.int64).max)
-                    hit[some] = common.reshape(len(some), -1).min(axis=1) == bucket[a[some]]
+                    none = np.int64(1) << 40
+                    common = np.where((x[:, :, :, None] == y[:, :, None, :]).any(axis=3), x, none).min(axis=2)
+                    first = (common < none).argmax(axis=1)
+                    lowest = common[np.arange(len(some)), first]
+                    hit[some] = (first == table[a[some]]) & (lowest == low[a[some]])
                 return hit
 
             forest, links = buckets.Forest(n), np.zeros(n, np.int64)
