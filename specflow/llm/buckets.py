@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 from specflow.session import materialize
 
 SMALL = 48
+ROWS = 64
 AT_ONCE = 200_000
 
 
-def cells(postings: DataFrame, node: str, *, chunk: int = 1024) -> DataFrame:
+def cells(postings: DataFrame, node: str, *, payload: DataFrame | None = None, chunk: int = 1024) -> DataFrame:
     """postings (bucket long, node, ...) -> rows of (bucket, i, j, side), sorted so that a cell is one run.
 
-    Members of buckets of one are left out.  ``postings`` is evaluated twice and
-    must give the same rows, so pass something derived from a stored table.
+    Members of buckets of one are left out.  Columns of ``payload`` (one row per
+    node) join only then, so wide values travel once and not for single members.
+    ``postings`` is evaluated twice and must give the same rows, so pass something
+    derived from a stored table.
     """
     sizes = postings.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = materialize(sizes.select("bucket", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")), "bucket-sizes")
@@ -37,6 +40,8 @@ def cells(postings: DataFrame, node: str, *, chunk: int = 1024) -> DataFrame:
         F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).alias("side"),
     )
+    if payload is not None:
+        spread = spread.join(payload, node)
     return spread.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
 
@@ -72,9 +77,17 @@ def runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tupl
 
 
 def pairs(
-    starts: np.ndarray, crossed: np.ndarray, side: np.ndarray, n: int, test: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    starts: np.ndarray,
+    crossed: np.ndarray,
+    side: np.ndarray,
+    n: int,
+    test: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    grid: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs of the cells that pass ``test``, in portions.  A crossed cell compares its two chunks only."""
+    """Row pairs of the cells that pass ``test``, in portions.  A crossed cell compares its two chunks only.
+
+    In large cells ``grid`` may rule out pairs of some rows with others as a whole before ``test``.
+    """
     ends = np.append(starts[1:], n)
     sizes = ends - starts
     small = sizes <= SMALL
@@ -91,14 +104,14 @@ def pairs(
             yield a[hit], b[hit]
     for k in np.flatnonzero(~small):
         members = np.arange(starts[k], ends[k])
-        for at, row in enumerate(members):
-            if crossed[k]:
-                if side[row]:
-                    continue
-                b = members[side[members]]
-            else:
-                b = members[at + 1 :]
-            a = np.full(len(b), row)
+        left, right = (members[~side[members]], members[side[members]]) if crossed[k] else (members, members)
+        for at in range(0, len(left), ROWS):
+            some = left[at : at + ROWS]
+            open_ = np.ones((len(some), len(right)), bool) if grid is None else grid(some, right)
+            if not crossed[k]:
+                open_ &= some[:, None] < right[None, :]
+            x, y = np.nonzero(open_)
+            a, b = some[x], right[y]
             hit = test(a, b)
             if hit.any():
                 yield a[hit], b[hit]
@@ -117,8 +130,16 @@ class Forest:
             x = up[x]
         return x
 
+    def _roots(self, x: np.ndarray) -> np.ndarray:
+        x = self.up[x]
+        while ((above := self.up[x]) != x).any():
+            x = above
+        return x
+
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        for x, y in zip(a.tolist(), b.tolist()):
+        a, b = self._roots(a), self._roots(b)
+        apart = a != b
+        for x, y in np.unique(np.stack([a[apart], b[apart]], axis=1), axis=0).tolist():
             x, y = self._root(x), self._root(y)
             if x != y:
                 self.up[max(x, y)] = min(x, y)

@@ -125,6 +125,11 @@ def test_vectors(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, bucket int")
     check_vectors(table.where("vec_id IS NULL OR vec_id NOT IN (69, 70)"), tables=12)
     check_vectors(table.where("vec_id < 40"), tables=12, chunk=8)
+    check_vectors(table.where("vec_id < 40"), functions=3, tables=40)
+    crowd = [(i, (base[0] + 0.05 * chance.normal(size=10)).tolist()) for i in range(150)]
+    crowd = spark.createDataFrame(crowd, "vec_id long, embedding array<double>")
+    check_vectors(crowd)  # one bucket of many, in one cell and in several
+    check_vectors(crowd, chunk=60)
     huge = {r.vec_id: r for r in vectors.near_vectors(table).collect()}
     assert huge[69].n_links == huge[70].n_links >= 1 and huge[70].component_id == huge[69].component_id
     assert vectors.near_vectors(table.where("false")).collect() == []
@@ -140,6 +145,18 @@ def test_vectors_recall(spark):
     assert 0.999 * want <= got <= want
 
 
+def test_hashes_grow_with_the_logarithm_of_the_table():
+    assert [vectors.functions_for(n, 64) for n in (0, 10**4, 10**6, 10**9, 10**11, 10**14)] == [2, 2, 3, 4, 5, 5]
+    unit = np.random.default_rng(3).normal(size=(1500, 64))
+    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    aside = np.random.default_rng(4).normal(size=unit.shape)
+    aside -= (aside * unit).sum(axis=1, keepdims=True) * unit
+    other = 0.95 * unit + np.sqrt(1 - 0.95**2) * aside / np.sqrt((aside * aside).sum(axis=1, keepdims=True))
+    for functions, tables in vectors.TABLES.items():
+        x, y = (vectors.bucket_keys(v, functions, tables) for v in (unit, other))
+        assert (x[:, :, :, None] == y[:, :, None, :]).any(axis=(1, 2, 3)).mean() > 0.998
+
+
 def test_cells_cover_every_pair_once(spark):
     table = spark.range(50).selectExpr("id AS node", "id % 3 AS bucket").where("bucket < 2")
 
