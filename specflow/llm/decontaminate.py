@@ -33,6 +33,9 @@ from specflow.session import materialize
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 BITS = 22
+SPAN = 1 << 40  # more than bands of a text
+BEFORE = 1 << 20  # keeps diagonals positive
+AT_ONCE = 1_000_000
 HITS = "doc_id long, item_id long, begin_at long, end_at long, edits int"
 
 
@@ -116,6 +119,33 @@ def banded_edits(passage: np.ndarray, place: np.ndarray, width: int) -> tuple[in
     return (int(row[best]), min(best + n, len(place))) if n else (far, 0)
 
 
+def full_bands(index: dict, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """passage * SPAN + band of the bands that reach their bound, from q-grams ``key`` at ascending places ``at``.
+
+    Places are taken in stretches of about ``AT_ONCE`` shared q-grams, so a phrase common to many passages and
+    texts needs no more memory.  The q-grams of a band lie within ``reach`` places; stretches overlap by as
+    much and are at least twice as long, so every band is whole in one of them.
+    """
+    count = index["count"][key]
+    reach = int((index["lengths"] + 2 * (index["budget"] + 1)).max())
+    total = np.cumsum(count)
+    begin, out = 0, [np.empty(0, np.int64)]
+    while begin < len(at):
+        enough = np.searchsorted(total, total[begin] + AT_ONCE, side="right")
+        end = max(int(enough), int(np.searchsorted(at, at[begin] + 2 * reach, side="right")))
+        some = count[begin:end]
+        ends = np.cumsum(some)
+        posting = np.arange(ends[-1]) - np.repeat(ends - some - index["first"][key[begin:end]], some)
+        owner = index["owner"][posting].astype(np.int64)
+        diagonal = np.repeat(at[begin:end], some) - index["offset"][posting] + BEFORE
+        band = diagonal // (index["budget"][owner] + 1)
+        bands = np.concatenate([owner * SPAN + band, owner * SPAN + band - 1])
+        bands, shared = np.unique(bands, return_counts=True)
+        out.append(bands[shared >= index["least"][bands // SPAN]])
+        begin = len(at) if end >= len(at) else int(np.searchsorted(at, at[end] - reach))
+    return np.unique(np.concatenate(out))
+
+
 def search(index: dict, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text, passage, begin, end, edits) of every place found in normalised ``texts``."""
     q = index["q"]
@@ -136,22 +166,11 @@ def search(index: dict, texts: list[str]) -> list[tuple[int, int, int, int, int]
     key = np.minimum(np.searchsorted(index["keys"], found), len(index["keys"]) - 1)
     same = index["keys"][key] == found
     at, key = at[same], key[same]
-    count = index["count"][key]
-    ends = np.cumsum(count)
-    posting = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count - index["first"][key], count)
-    owner = index["owner"][posting].astype(np.int64)
-    diagonal = np.repeat(at, count) - index["offset"][posting] + (1 << 20)  # never negative
-    half = index["budget"][owner] + 1
-    band = diagonal // half
-    span = np.int64(1) << 40
-    bands = np.concatenate([owner * span + band, owner * span + band - 1])
-    bands, shared = np.unique(bands, return_counts=True)
-    reached = shared >= index["least"][bands // span]
     done: dict[tuple[int, int], tuple] = {}
-    for code in bands[reached].tolist():
-        k, b = divmod(code, int(span))
+    for code in full_bands(index, at, key).tolist():
+        k, b = divmod(code, SPAN)
         n, half = int(index["lengths"][k]), int(index["budget"][k]) + 1
-        low = max(0, b * half - (1 << 20))
+        low = max(0, b * half - BEFORE)
         place = codes[low : low + n + 2 * half]
         passage = index["texts"][k]
         exact = place.astype("<u4").tobytes().decode("utf-32-le").find(passage)
