@@ -1,9 +1,9 @@
 """Language of documents by a linear-chain conditional random field over their words.
 
-Words are runs of letters.  The features of a word are its prefixes and suffixes
-of up to three letters, its letter bigrams and trigrams with word ends, and the
-share of each language among the training occurrences of the word if it is in the
-lexicon.  Weights of (feature, language) and transitions between neighbouring
+Words are runs of letters; a run of more than 40 is several words.  The features
+of a word are its prefixes and suffixes of up to three letters, its letter bigrams
+and trigrams with word ends, and the share of each language among the training
+occurrences of the word if it is in the lexicon.  Weights of (feature, language) and transitions between neighbouring
 words' languages are learned together by stochastic gradient on the likelihood of
 whole word sequences, so a text that switches language is labelled word by word
 by forward-backward.  A document's language is the one with the largest mean
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from specflow.llm.worker import bounded_slices, kept
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]{1,40}")
 UNKNOWN = "und"
 BITS = 16
 BLOCK = 64
@@ -44,12 +44,13 @@ PREDICTED = "doc_id long, lang_pred string, score double"
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    found = WORD.findall(text.lower()) if text else []
+    return [w for w in found if w.isalpha() or any(map(str.isalpha, w))]  # not fractions and raised digits alone
 
 
 def features_of(word: str) -> list[int]:
     """Hashed affix and n-gram features."""
-    ends = f"^{word[:40]}$"
+    ends = f"^{word}$"
     n = len(ends)
     names = [f"p{ends[1 : k + 1]}" for k in range(1, min(4, n - 1))]
     names += [f"s{ends[-k - 1 : -1]}" for k in range(1, min(4, n - 1))]
