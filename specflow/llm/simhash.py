@@ -32,6 +32,7 @@ from specflow.session import materialize
 POSITIONS = 8
 TRIPLES = [(0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3), (4, 5, 6), (4, 5, 7), (4, 6, 7), (5, 6, 7)]
 SEED = 42
+SHINGLES = 50_000  # hashed at once
 
 
 def simhash(text: str | None, width: int = 3) -> int:
@@ -41,13 +42,14 @@ def simhash(text: str | None, width: int = 3) -> int:
     words = (text or "").encode().lower().split()  # bytes: only A-Z and ASCII blanks
     if not words:
         return 0
-    if len(words) <= width:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = [b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)]
-    hashes = np.array([xxh64_intdigest(s, SEED) for s in shingles], "<u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
+    n = max(1, len(words) - width + 1)
+    counts = np.zeros(64, np.int64)
+    for at in range(0, n, SHINGLES):
+        some = range(at, min(n, at + SHINGLES))
+        hashes = np.array([xxh64_intdigest(b" ".join(words[i : i + width]), SEED) for i in some], "<u8")
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.int64)
+    ones = counts * 2 > n
     return int(np.packbits(ones, bitorder="little").view("<u8")[0])
 
 
