@@ -178,6 +178,31 @@ def test_passage_search_finds_every_place_within_budget(data):
         assert min(f[4] for f in found) == least
 
 
+def test_passage_search_in_stretches(monkeypatch):
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcd "))
+    phrase = "".join(rng.choice(letters, 60))
+    passages = [(k, decontaminate.normal(phrase + "".join(rng.choice(letters, 60)))) for k in range(40)]
+    texts = []
+    for k in range(10):
+        p = list(passages[k][1])
+        for _ in range(k % 5):
+            p[int(rng.integers(len(p)))] = "x"
+        texts.append("".join(rng.choice(letters, 200)) + (phrase * 3) + "".join(p) + "".join(rng.choice(letters, 90)))
+    index = decontaminate.build_index(passages, 12, 0.05)
+    whole = sorted(decontaminate.search(index, texts))
+    assert {(t, t) for t in range(10)} <= {(t, k) for t, k, *_ in whole}
+    for at_once in (1, 3_000):
+        monkeypatch.setattr(decontaminate, "AT_ONCE", at_once)
+        assert sorted(decontaminate.search(index, texts)) == whole
+
+
+def test_words_cover_the_whole_text():
+    assert "".join(langid.words_of("a" * 70 + "bc")) == "a" * 70 + "bc"
+    assert langid.words_of("\u00bd \u00b2 12 _ !") == []
+    assert langid.words_of("5 m\u00b2") == ["m\u00b2"]
+
+
 def test_decontamination(spark, odd_documents, no_documents):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     plain_docs = [(r.doc_id, decontaminate.normal(r.text)) for r in docs.collect()]

@@ -63,6 +63,13 @@ def test_simhash_agrees_with_the_engine_hash(spark):
     assert row.h % 2**64 == xxhash.xxh64(b"a b c", seed=42).intdigest()
 
 
+def test_simhash_of_long_texts_in_portions(monkeypatch):
+    texts = [" ".join(f"w{(i * k) % 97}" for i in range(k)) for k in (1, 2, 3, 9, 10, 11, 100)]
+    whole = [simhash.simhash(t) for t in texts]
+    monkeypatch.setattr(simhash, "SHINGLES", 4)
+    assert [simhash.simhash(t) for t in texts] == whole
+
+
 def test_near_links_of_a_large_crowded_list(spark):
     # all fingerprints share their upper half, so they meet in four lists of all members
     chance = np.random.default_rng(3)
