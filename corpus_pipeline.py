@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.llm import decontaminate, langid, linededup, packing, simhash
+from specflow.llm import decontaminate, langid, linededup, packing, shingles, simhash
 from specflow.session import materialize
 
 
@@ -26,7 +26,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
+    """Of documents whose SimHash differs in at most three bits the one with the smallest doc_id stays."""
     return simhash.keep_first(docs)
 
 
@@ -35,6 +35,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share 80 % of their five-word shingles the one with the smallest doc_id stays."""
+    return shingles.keep_first(docs)
+
+
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
@@ -44,6 +49,7 @@ STAGES = [
     ("lines", lines),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("near_copies", near_copies),
     ("sequences", sequences),
 ]
 

@@ -1,0 +1,199 @@
+"""Near copies by the Jaccard similarity of their word shingles: MinHash buckets, every pair verified.
+
+A text is the set of its runs of ``WIDTH`` = 5 words (lower-cased, split at white
+space; a shorter text is one run).  Two texts are near copies from a similarity of
+``least`` = 0.8 on.  Candidates share one of ``BANDS`` = 36 bands of ``ROWS`` = 5
+minima, which a pair at 0.8 misses with a probability of (1 - 0.8 ** 5) ** 36, about
+6 in 10 million, and a nearer pair less.  Every candidate is compared by its whole
+sets, so nothing below ``least`` is linked.
+
+Equal sets are one node.  Buckets of the same members are one bucket.  In each
+bucket all members are first compared with one of them, in ``TURNS`` turns with
+another one each; only buckets whose members are then not all in one group go
+through all their pairs, in cells of bounded size.
+
+Null or empty text, or text without words: the empty set, equal to any other.  Rows
+of one doc_id are one document.  Rows without doc_id link nothing and stay.  Empty
+table: empty result.  Other columns are ignored.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from specflow.llm import buckets
+from specflow.llm.components import connected_components
+from specflow.llm.worker import bounded_slices, kept
+from specflow.session import materialize
+
+WIDTH = 5
+BANDS, ROWS = 36, 5
+TURNS = 3
+AT_ONCE = 1024  # shingles hashed at once
+_CHANCE = np.random.default_rng(5)
+_FACTOR = _CHANCE.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
+_SHIFT = _CHANCE.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
+_PLACE = _CHANCE.integers(0, 1 << 64, WIDTH, np.uint64) | np.uint64(1)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_set(text: str | None, places: dict[str, int]) -> np.ndarray:
+    """Sorted distinct hashes of the shingles; ``places`` keeps the hashes of words."""
+    from xxhash import xxh64_intdigest
+
+    words = text.lower().split() if text else []
+    for w in words:
+        if w not in places:
+            places[w] = xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+    hashes = np.fromiter(map(places.__getitem__, words), np.uint64, len(words))
+    width = min(WIDTH, len(words))
+    n = len(words) - width + 1 if words else 0
+    out = np.full(n, width, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            out += _mixed(hashes[k : k + n] + _PLACE[k])
+    return np.unique(_mixed(out))
+
+
+def bands_of(shingles: np.ndarray) -> np.ndarray:
+    """A bucket number per band."""
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    with np.errstate(over="ignore"):
+        for at in range(0, len(shingles), AT_ONCE):
+            some = shingles[at : at + AT_ONCE, None] * _FACTOR + _SHIFT
+            least = np.minimum(least, some.min(axis=0))
+        bands = np.arange(BANDS, dtype=np.uint64)
+        for row in least.reshape(BANDS, ROWS).T:
+            bands = _mixed(bands * np.uint64(3) + row)
+    return bands.view(np.int64)
+
+
+def alike(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Whether two sets of distinct hashes have at least this Jaccard similarity."""
+    if min(len(x), len(y)) < least * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared >= least * (len(x) + len(y) - shared)
+
+
+def _sets(batch: pa.RecordBatch):
+    """(from, to, sets, their numbers) of rows doc_id, text."""
+    from xxhash import xxh64_intdigest
+
+    places = kept("shingle_words", dict)
+    for a, b in bounded_slices(batch.column(1)):
+        if len(places) > 100_000:
+            places.clear()
+        sets = [shingle_set(t.as_py(), places) for t in batch.column(1)[a:b]]
+        yield a, b, sets, pa.array(np.array([xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64))
+
+
+def _signatures(batches):
+    for batch in batches:
+        for a, b, sets, node in _sets(batch):
+            bands = pa.array([bands_of(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], node, bands], names=["doc_id", "node", "bands"])
+
+
+def _contents(batches):
+    for batch in batches:
+        for _, _, sets, node in _sets(batch):
+            yield pa.RecordBatch.from_arrays([node, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+
+
+def _open(members: DataFrame, links: DataFrame | None) -> DataFrame:
+    """bucket, node, component of the buckets whose members are not all in one component."""
+    known = members.select("bucket", "node")
+    if links is None:
+        return known.withColumn("component", F.col("node"))
+    component = materialize(connected_components(links, "a", "b"), "near-copy-components")
+    known = known.join(component.hint("merge"), "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    known = materialize(known, "bucket-components")
+    mixed = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
+    mixed = mixed.where("low != high AND n > 2").select("bucket")  # two members have been compared
+    return materialize(known.join(mixed.hint("merge"), "bucket", "left_semi"), "open-buckets")
+
+
+def near_links(prints: DataFrame, docs: DataFrame, *, least: float = 0.8, chunk: int = 512) -> DataFrame:
+    """prints (doc_id, node, bands) of docs (doc_id, text) -> links (a, b) that connect nodes from ``least`` on."""
+    nodes = prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    postings = materialize(nodes.select("node", "doc_id", F.explode("bands").alias("bucket")), "shingle-bands")
+    shared = postings.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")
+    )
+    shared = shared.where("n > 1").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    shared = materialize(shared, "shared-buckets")
+    members = materialize(postings.join(shared.hint("merge"), "bucket"), "bucket-members")
+    wanted = materialize(members.select("node", "doc_id").distinct(), "bucket-nodes")
+    texts = docs.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
+    sets = texts.mapInArrow(_contents, "node long, shingles array<long>").join(wanted.select("node").hint("merge"), "node", "left_semi")
+    sets = materialize(sets.dropDuplicates(["node"]), "shingle-sets")
+
+    n, m = F.size("x"), F.size("y")
+    shared_ = F.size(F.array_intersect("x", "y"))
+    near = (F.least(n, m) >= least * F.greatest(n, m)) & (shared_ >= least * (n + m - shared_))
+
+    def verify(batches):
+        for starts, crossed, (node, component, shingles, side) in buckets.runs(batches, ["node", "component", "shingles", "side"]):
+            node, component, side = node.to_numpy(), component.to_numpy(), side.to_numpy(zero_copy_only=False)
+            held = [s.values.to_numpy() for s in shingles]
+
+            def linked(a, b):
+                hit = component[a] != component[b]
+                for k in np.flatnonzero(hit):
+                    hit[k] = alike(held[a[k]], held[b[k]], least)
+                return hit
+
+            forest = buckets.Forest(len(node))
+            for a, b in buckets.pairs(starts, crossed, side, len(node), linked):
+                forest.join(a, b)
+            a, b = forest.links()
+            yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+
+    links, open_ = None, _open(members, None)
+    for turn in range(TURNS):
+        hubs = open_.groupBy("bucket").agg(F.min_by(F.struct("node", "component"), F.xxhash64(F.lit(turn), "node")).alias("hub"))
+        hubs = materialize(hubs.select("bucket", F.col("hub.node").alias("b"), F.col("hub.component").alias("of")), "hubs")
+        pairs = open_.join(hubs.hint("merge"), "bucket").where("component != of").select(F.col("node").alias("a"), "b").distinct()
+        pairs = materialize(pairs, "hub-pairs")
+        left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")).hint("merge"), "a")
+        both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")).hint("merge"), "b")
+        new = materialize(both.where(near).select("a", "b"), "hub-links")
+        links = new if links is None else links.unionByName(new)
+        open_ = _open(members if turn == 0 else open_, links)
+        if open_.isEmpty():
+            return links
+    rest = buckets.cells(open_, "node", payload=sets, chunk=chunk).mapInArrow(verify, "a long, b long")
+    return links.unionByName(materialize(rest, "cell-links"))
+
+
+def near_copies(docs: DataFrame, **settings) -> DataFrame:
+    """doc_id, component_id (smallest doc_id of the group) per doc_id of ``docs``."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
+    prints = materialize(rows.mapInArrow(_signatures, "doc_id long, node long, bands array<long>"), "shingle-signatures")
+    links = near_links(prints, rows, **settings)
+    owners = prints.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z"))
+    several = owners.where("a != z").select("doc_id", "a")  # rows of one doc_id with several texts
+    same = prints.join(several.hint("merge"), "doc_id").select("a", F.col("node").alias("b"))
+    component = materialize(connected_components(links.select("a", "b").unionByName(same), "a", "b"), "near-copy-components")
+    named = prints.select("doc_id", "node").join(component.hint("merge"), "node", "left")
+    named = materialize(named.select("doc_id", F.coalesce("component", "node").alias("component")).distinct(), "copy-groups")
+    first = materialize(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "first-copies")
+    return named.join(first.hint("merge"), "component").select("doc_id", "component_id")
+
+
+def keep_first(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` without the rows whose group has a smaller doc_id.  Rows without doc_id stay."""
+    gone = near_copies(docs, **settings).where("doc_id != component_id").select(F.col("doc_id").alias("__gone"))
+    gone = materialize(gone, "near-copies")
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

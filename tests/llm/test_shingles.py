@@ -1,0 +1,58 @@
+"""Near copies by word shingles against all pairs."""
+
+import random
+from collections import Counter
+
+import corpus_pipeline
+from specflow.llm import shingles
+from tests.llm.test_near_copies import groups
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_groups(rows):
+    """First doc_id of the group of each doc_id, by all pairs."""
+    known = sorted({d for d, _ in rows})
+    sets = [(known.index(d), plain_set(t)) for d, t in rows]
+    near = [(i, j) for i, x in sets for j, y in sets if x == y or len(x & y) >= 0.8 * len(x | y)]
+    return {d: known[r] for d, r in zip(known, groups(len(known), near))}
+
+
+def check_copies(docs, **settings):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.doc_id is not None]
+    got = {r.doc_id: r.component_id for r in shingles.near_copies(docs, **settings).collect()}
+    assert got == plain_groups(rows)
+
+
+def test_near_copies(spark, odd_documents, no_documents):
+    check_copies(odd_documents)
+    check_copies(no_documents)
+    check_copies(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+def test_a_crowded_group_goes_through_all_pairs(spark):
+    # a chain: neighbours are near, ends are not, so no single member is near to all
+    chance = random.Random(4)
+    words = [f"w{chance.randrange(10**6)}" for _ in range(400)]
+    rows = [(k, " ".join(words[4 * k : 4 * k + 120])) for k in range(70)]
+    check_copies(spark.createDataFrame(rows, "doc_id long, text string"), chunk=16)
+
+
+def test_keep_first(odd_documents):
+    kept = shingles.keep_first(odd_documents)
+    assert kept.columns == odd_documents.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert ids[1] == 1 and ids[7] == 0 and ids[None] == 2 and ids[3] == 1 and ids[4] == 0
+
+
+def test_pipeline_leaves_no_near_copies(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+    left = plain_groups([(r.doc_id, r.text) for r in docs.collect()])
+    assert all(d == first for d, first in left.items())
