@@ -9,13 +9,16 @@ is no hot spot.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specflow.functions.common import require_columns
 from specflow.operators.columns import CRITERIA, coerce_numbers
 from specflow.operators.judging import FAILED_TOTAL, THRESHOLD
+from specflow.session import materialize
 
 SIDES = {"G1": "a", "G2": "b"}
 WINNERS = {"G1": "A", "G2": "B"}
@@ -175,8 +178,8 @@ def task_counts(df: DataFrame, key: str = "us_id", by: Sequence[str] = ()) -> Da
 def score_counts(df: DataFrame, by: Sequence[str] = (), prefix: str = "judge_") -> DataFrame:
     """How often each total occurs per group and generator (columns ``value``, ``n``).
 
-    Totals are whole numbers from -5 to 50, so this is at most 56 rows per group
-    and generator however many rows were judged; distributions are read off it.
+    Whole totals from -5 to 50 give at most 56 rows per group and generator however
+    many rows were judged, fractional ones a row each; distributions are read off it.
     Totals read as text (from result files) are taken as numbers first.
     """
     sides = F.array(
@@ -240,12 +243,15 @@ def outliers(
 def _with_box(df: DataFrame, by: Sequence[str], prefix: str, reach: float) -> DataFrame:
     """The counted totals with the quartiles of their group, in one pass over the rows.
 
-    The window sees counted totals only, so at most 56 rows per group.
+    Counted totals are stored, quartiles aggregated from them and joined back, so
+    no task gathers a group however many distinct totals it has.
     """
-    group = Window.partitionBy(*by, "Gen")
+    keys = [*by, "Gen"]
+    counted = materialize(score_counts(df, by, prefix), "score-counts")
     shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile("value", shares, F.col("n")).over(group)
-    boxed = score_counts(df, by, prefix).withColumn("q", q)
+    quartiles = counted.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.percentile("value", shares, F.col("n")).alias("q"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    boxed = counted.join(quartiles, reduce(and_, same)).select(*counted.columns, "q")
     boxed = boxed.withColumns({name: F.col("q")[i] for i, name in enumerate(("q1", "median", "q3"))})
     width = reach * (F.col("q3") - F.col("q1"))
     return boxed.withColumns({"low": F.col("q1") - width, "high": F.col("q3") + width}).drop("q")
