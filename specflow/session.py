@@ -16,6 +16,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_UNKNOWN_SIZE = 1 << 60  # Spark's estimate for a table it knows nothing about is larger
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -65,6 +66,25 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def partitions_for(df: DataFrame) -> int:
+    """How many tasks the bytes behind ``df`` ask for, by the plan's size statistics.
+
+    One task per ``spark.sql.files.maxPartitionBytes``, as a scan would have, and at
+    least one per core.  A join's estimate is the product of its sides, so the size
+    is never taken as more than that of all tables read.  Where Spark knows no size,
+    the session's number of shuffle partitions is used.
+    """
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = min(int(str(plan.stats().sizeInBytes())), sum(read))
+    if size >= _UNKNOWN_SIZE:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    each = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return max(spark.sparkContext.defaultParallelism, -(-size // each))
+
+
 def paths_like(spark: SparkSession, pattern: str) -> list[str]:
     """Files and folders a glob pattern names, on whatever file system, sorted."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
