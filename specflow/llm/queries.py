@@ -6,11 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from specflow.llm import cotraining, decontaminate, langid, linededup, packing, pfor, simhash, unigram, vectors, warc
+from specflow.llm import (
+    cotraining,
+    decontaminate,
+    fingerprints,
+    langid,
+    linededup,
+    negatives,
+    packing,
+    pfor,
+    resampling,
+    simhash,
+    unigram,
+    vectors,
+    warc,
+)
 from specflow.session import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op5_line_windows": linededup.ORACLE}
+ORACLE: dict[str, str] = {
+    "op5_line_windows": linededup.ORACLE,
+    "op12_resampling": resampling.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
+}
 
 
 def query(func):
@@ -76,3 +94,18 @@ def op10_warc(spark, sf_dir):
     path = table_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path)
+
+
+@query
+def op11_fingerprints(spark, sf_dir):
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
