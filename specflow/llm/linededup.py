@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from specflow.llm.worker import unused
 from specflow.session import materialize
 
 _KEY = ["__doc", "__tie"]
@@ -64,19 +65,22 @@ def drop_repeated_windows(docs: DataFrame, *, lines: int = 3, counts: bool = Fal
     marks = materialize(marks.select(F.col("__doc").alias("__d"), F.col("__tie").alias("__t"), "__at"), "covered-lines")
 
     names = docs.columns
-    keyed = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__tie": F.xxhash64("text")})
-    found = keyed.join(marks.hint("merge"), keyed["__doc"].eqNullSafe(marks["__d"]) & (keyed["__tie"] == marks["__t"]), "left")
+    # the documents' own columns may be called anything
+    doc, tie, d, t, at, x = unused(docs, "__doc", "__tie", "__d", "__t", "__at", "__x")
+    marks = marks.withColumnsRenamed({"__d": d, "__t": t, "__at": at})
+    keyed = docs.withColumns({doc: F.col("doc_id").cast("long"), tie: F.xxhash64("text")})
+    found = keyed.join(marks.hint("merge"), F.col(doc).eqNullSafe(F.col(d)) & (F.col(tie) == F.col(t)), "left")
     # the split happens once per row: a one-row generator keeps it out of the lambdas below
-    split = F.explode(F.array(F.struct(F.when(F.col("__at").isNotNull(), _split("text")).alias("lines"))))
-    held = found.select(*names, "__at", split.alias("__x"))
-    covered = F.flatten(F.transform("__at", lambda p: F.sequence(p, p + (lines - 1))))
-    left = F.array_except(F.sequence(F.lit(0), F.size("__x.lines") - 1), covered)
-    cut = F.array_join(F.transform(left, lambda i: F.col("__x.lines")[i]), "\n")
-    text = F.when(F.col("__at").isNull(), F.col("text")).otherwise(cut)
+    split = F.explode(F.array(F.struct(F.when(F.col(at).isNotNull(), _split("text")).alias("lines"))))
+    held = found.select(*names, at, split.alias(x))
+    covered = F.flatten(F.transform(at, lambda p: F.sequence(p, p + (lines - 1))))
+    left = F.array_except(F.sequence(F.lit(0), F.size(f"{x}.lines") - 1), covered)
+    cut = F.array_join(F.transform(left, lambda i: F.col(f"{x}.lines")[i]), "\n")
+    text = F.when(F.col(at).isNull(), F.col("text")).otherwise(cut)
     result = [text.alias("text") if n == "text" else F.col(n) for n in names]
     if counts:
         n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-        n_removed = F.when(F.col("__at").isNull(), 0).otherwise(F.size(F.array_distinct(covered)))
+        n_removed = F.when(F.col(at).isNull(), 0).otherwise(F.size(F.array_distinct(covered)))
         result += [n_lines.cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed")]
     return held.select(*result)
 

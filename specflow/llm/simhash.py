@@ -12,10 +12,11 @@ Exact copies are one fingerprint, and a list hands on only a spanning forest of
 its links, so groups of copies cost rows in proportion to their size.
 
 Null or empty text, or text without words: fingerprint zero, linked like any
-other.  Rows of one doc_id are one document.  Rows without doc_id link nothing
-and get the component of their fingerprint's other rows, else null.  Ties cannot
-occur: a component is named by its smallest doc_id.  Empty table: empty result.
-Other columns are ignored.
+other.  Rows of one doc_id are one document: their fingerprints are linked, however
+far apart.  Rows without doc_id link nothing and get the component of their
+fingerprint's other rows, else null.  Ties cannot occur: a component is named by its
+smallest doc_id.  Empty table: empty result.  Other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from specflow.llm import buckets
 from specflow.llm.components import connected_components
+from specflow.llm.worker import unused
 from specflow.session import materialize
 
 POSITIONS = 8
@@ -54,15 +56,16 @@ def simhash(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, *, width: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) per row."""
+    """doc_id, fp (the 64 bits as a long), tie (a hash of the text) per row."""
 
     def fold(batches):
         for batch in batches:
             prints = [simhash(t.as_py(), width) for t in batch.column(1)]
             fp = pa.array(np.array(prints, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), fp, batch.column(2)], names=["doc_id", "fp", "tie"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(fold, "doc_id long, fp long")
+    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("tie"))
+    return chosen.mapInArrow(fold, "doc_id long, fp long, tie long")
 
 
 def near_links(prints: DataFrame, *, max_bits: int = 3, chunk: int = 1024) -> DataFrame:
@@ -98,21 +101,42 @@ def near_links(prints: DataFrame, *, max_bits: int = 3, chunk: int = 1024) -> Da
     return buckets.cells(postings, "node", chunk=chunk).mapInArrow(verify, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, width: int = 3, max_bits: int = 3, chunk: int = 1024) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id per row of ``docs``."""
+def _same_document(prints: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Links (a, b) between the fingerprints of each doc_id that has several."""
+    several = prints.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
+    several = materialize(several.where("least <> most").select("doc_id"), "repeated-documents")
+    own = prints.select("doc_id", "fp").join(several.hint("merge"), "doc_id").distinct()
+    return own.join(distinct.hint("merge"), "fp").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+
+
+def _components(docs: DataFrame, width: int, max_bits: int, chunk: int, by_document: bool) -> DataFrame:
+    """doc_id, fp, tie, component_id per row; with ``by_document`` all rows of a doc_id are in one component."""
     prints = materialize(fingerprints(docs, width=width), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
     links = near_links(distinct.where("node IS NOT NULL"), max_bits=max_bits, chunk=chunk)
+    if by_document:
+        links = links.unionByName(_same_document(prints, distinct))
     component = connected_components(links, "a", "b")
     named = distinct.join(component, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     named = materialize(named, "fingerprint-components")
+    return prints.join(named.hint("merge"), "fp")
+
+
+def near_duplicates(docs: DataFrame, *, width: int = 3, max_bits: int = 3, chunk: int = 1024) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id per row of ``docs``."""
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return prints.join(named.hint("merge"), "fp").select("doc_id", hexed, "component_id")
+    return _components(docs, width, max_bits, chunk, True).select("doc_id", hexed, "component_id")
+
 
+def keep_first(docs: DataFrame, *, width: int = 3, max_bits: int = 3, chunk: int = 1024) -> DataFrame:
+    """``docs`` without the rows that are near a row of a smaller doc_id, directly or through others.
 
-def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller doc_id.  Rows without doc_id stay."""
-    groups = near_duplicates(docs, **settings)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    Rows go one by one: of a doc_id with several texts each stays or goes with the
+    texts near it, so every group of near texts keeps a row.  Rows without doc_id stay.
+    """
+    groups = _components(docs, width, max_bits, chunk, False)
+    doc, tie = unused(docs, "__gone", "__tie")
+    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias(doc), F.col("tie").alias(tie)).distinct()
     gone = materialize(gone, "near-duplicates")
-    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    same = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64("text") == F.col(tie))
+    return docs.join(gone.hint("merge"), same, "left_anti")

@@ -18,7 +18,7 @@ and no list of pairs exists; a bucket hands on link counts and a spanning forest
 Vectors that are null, zero, or hold null or non-finite components, and rows
 without vec_id, link with nothing: n_links 0, their own component, kept.
 Vectors of different lengths never link.  Rows that repeat a vec_id count as
-vectors of their own but share a component.  Ties cannot occur: components are
+vectors of their own, but those that can link share a component.  Ties cannot occur: components are
 named by the smallest vec_id.  Empty table: empty result.  Other columns are
 ignored.
 """
@@ -221,7 +221,11 @@ def near_vectors(
     met = buckets.cells(postings, "node", payload=hashed.drop("length"), chunk=chunk)
     found = met.mapInArrow(verify, "a long, b long, links long")
     found = materialize(found, "vector-links")
-    component = connected_components(found.where("a != b"), "a", "b")
+    several = rows.where("digest IS NOT NULL").groupBy("vec_id").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+    several = materialize(several.where("least <> most").select("vec_id"), "repeated-vectors")
+    own = rows.select("vec_id", "digest").join(several.hint("merge"), "vec_id").distinct()
+    own = own.join(members.select("digest", "node"), "digest").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))
+    component = connected_components(found.where("a != b").select("a", "b").unionByName(own), "a", "b")
     counted = materialize(found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links")), "link-counts")
     named = members.select("digest", "node", "copies").join(counted, "node", "left").join(component, "node", "left")
     named = named.select(

@@ -1,4 +1,4 @@
-"""Small helpers for code that runs inside Python workers."""
+"""Small helpers of the operators, most for code that runs inside Python workers."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import sys
 import types
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 
 def kept(name: str, make):
@@ -30,3 +31,15 @@ def bounded_slices(texts: pa.Array, limit: int = 1_000_000):
         size += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until ``df`` has no column called so, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -41,8 +41,9 @@ def check_simhash(docs, **settings):
     rows = [(r.doc_id, plain_simhash(r.text)) for r in docs.select("doc_id", "text").collect()]
     known = sorted({d for d, _ in rows if d is not None})
     place = {d: i for i, d in enumerate(known)}
-    real = [(place[d], fp) for d, fp in rows if d is not None]
+    real = [(place[d], fp) for d, fp in rows if d is not None]  # places repeat with their doc_id, which links them
     links = [(a, b) for a, x in real for b, y in real if (x ^ y).bit_count() <= 3]
+    # a row without doc_id takes the component of its fingerprint
     root = groups(len(known), links)
     by_print = {}
     for i, fp in real:
@@ -58,6 +59,45 @@ def test_simhash(spark, odd_documents, no_documents):
     check_simhash(spark.read.parquet(f"{SF}/documents.parquet"))
 
 
+A = "one text of some length about a certain thing that stays as it is"
+B = "quite another sentence that has nothing at all in common with the first"
+
+
+def repeated(spark):
+    rows = [(0, A), (1, A), (1, B), (2, B), (5, None), (5, A), (7, "words only here and nowhere else")]
+    names = ["__at", "__x", "__doc", "__tie", "__gone", "__d", "__t", "__AT"]
+    return spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *[f"{k} AS `{n}`" for k, n in enumerate(names[:-1])])
+
+
+def test_repeated_ids_are_one_document(spark):
+    check_simhash(repeated(spark))
+    found = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(repeated(spark)).collect()}
+    assert found == {(0, 0), (1, 0), (2, 0), (5, 0), (7, 7)}
+
+
+def test_keep_first_keeps_a_row_of_every_group(spark):
+    docs = repeated(spark)
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    # text B stays once, with the smallest doc_id that has it
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(0, A), (1, B), (5, ""), (7, "words only here and nowhere else")]
+
+
+def test_lines_with_awkward_column_names(spark):
+    docs = repeated(spark)
+    cut = linededup.drop_repeated_windows(docs, counts=True)
+    assert cut.columns == [*docs.columns, "n_lines", "n_removed"]
+    assert sorted(map(repr, cut.select(*docs.columns).collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_repeated_vec_ids_share_a_component(spark):
+    chance = np.random.default_rng(8)
+    x, y, z = (v.tolist() for v in chance.normal(size=(3, 16)))
+    rows = [(0, x), (1, x), (1, y), (2, y), (3, z), (4, None), (4, z), (9, [0.0] * 16)]
+    got = {(r.vec_id, r.component_id, r.n_links) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {(0, 0, 1), (1, 0, 1), (2, 0, 1), (3, 3, 1), (4, 3, 1), (4, 4, 0), (9, 9, 0)}
+
+
 def test_simhash_agrees_with_the_engine_hash(spark):
     row = spark.sql("SELECT xxhash64('a b c') AS h").collect()[0]
     assert row.h % 2**64 == xxhash.xxh64(b"a b c", seed=42).intdigest()
