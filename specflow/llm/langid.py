@@ -10,7 +10,8 @@ by forward-backward.  A document's language is the one with the largest mean
 word probability, which is its score.
 
 Training sees at most about ``per_language`` documents of each language, chosen by
-a hash of the doc_id over all labelled rows.  Each training sequence joins runs of
+a hash of doc_id and text over all labelled rows, and of each its first ``ROW_WORDS``
+words.  Each training sequence joins runs of
 words of different documents, so that switches occur.  Text and lang of the
 training rows are the only things learned from.
 
@@ -40,6 +41,8 @@ WORD = re.compile(r"[^\W\d_]{1,40}")
 UNKNOWN = "und"
 BITS = 16
 BLOCK = 64
+SEEN = 0.9  # share of its trigrams that makes a word known
+ROW_WORDS = 2_000  # words of a training row that reach the driver
 PREDICTED = "doc_id long, lang_pred string, score double"
 
 
@@ -58,6 +61,20 @@ def features_of(word: str) -> list[int]:
     return [crc32(x.encode()) & ((1 << BITS) - 1) for x in names]
 
 
+def grams_of(word: str) -> list[str]:
+    """Letter trigrams with word ends."""
+    ends = f"^{word}$"
+    return [ends[i : i + 3] for i in range(len(ends) - 2)]
+
+
+def is_known(word: str, model: dict) -> bool:
+    """Whether training saw the word often, or nearly all of its trigrams."""
+    if word in model["lexicon"]:
+        return True
+    grams = grams_of(word)
+    return sum(g in model["grams"] for g in grams) >= SEEN * len(grams)
+
+
 def word_scores(words: list[str], model: dict, found: list[list[int]] | None = None) -> np.ndarray:
     """(words, languages) scores; a word's features share their weight, so long words count no more than short ones."""
     found = found or [features_of(w) for w in words]
@@ -180,9 +197,10 @@ def fit(rows: list[tuple[str, str]], *, words: int = 150_000, epochs: int = 3, r
         if c.sum() >= 5:
             rates = (c + 0.1) / share
             lexicon[w] = (rates / rates.sum()).astype(np.float32)
+    grams = frozenset(g for w in counts for g in grams_of(w))
     chance = np.random.default_rng(7)
     model = {
-        "labels": labels, "lexicon": lexicon, "weights": np.zeros((1 << BITS, k), np.float32),
+        "labels": labels, "lexicon": lexicon, "grams": grams, "weights": np.zeros((1 << BITS, k), np.float32),
         "lexicon_weights": np.ones(k), "transition": np.zeros((k, k)), "start": np.zeros(k),
     }
     squares = np.full((1 << BITS, k), 1e-3, np.float32)
@@ -245,8 +263,12 @@ def fit(rows: list[tuple[str, str]], *, words: int = 150_000, epochs: int = 3, r
     return model | {"key": crc32(model["weights"].tobytes())}
 
 
-def train(labelled: DataFrame, *, per_language: int = 300, **settings) -> dict | None:
-    """Fit on about ``per_language`` rows of each lang of ``labelled`` (doc_id, text, lang), chosen by hash."""
+def train(labelled: DataFrame, *, per_language: int = 300, row_words: int = ROW_WORDS, **settings) -> dict | None:
+    """Fit on about ``per_language`` rows of each lang of ``labelled`` (doc_id, text, lang), chosen by hash.
+
+    Of a chosen row the first ``row_words`` words reach the driver, of at most 40
+    letters each, so what it holds is bounded in bytes whatever the texts.
+    """
     usable = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     usable = usable.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
     counts = usable.groupBy("lang").count().collect()  # one row per language
@@ -254,19 +276,31 @@ def train(labelled: DataFrame, *, per_language: int = 300, **settings) -> dict |
         return None
     span = 1 << 30
     limit = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(span, span * per_language // r["count"])))])
-    drawn = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < limit[F.col("lang")])
-    rows = drawn.select("text", "lang").collect()  # about per_language rows of each language
+    # the text is part of the hash: rows that repeat a doc_id are drawn one by one
+    drawn = usable.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(span)) < limit[F.col("lang")])
+
+    def shorten(batches):
+        for batch in batches:
+            words = [" ".join(words_of(t.as_py())[:row_words]) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), batch.column(1)], names=["text", "lang"])
+
+    rows = drawn.select("text", "lang").mapInArrow(shorten, "text string, lang string").collect()  # about per_language of each language
     return fit([(r.text, r.lang) for r in rows], **settings)
 
 
 def label_texts(texts: pa.Array, model: dict | None) -> tuple[list[str], np.ndarray]:
     """Language and score of each text; words met before are scored once per worker."""
-    langs, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+    return _label(texts, model)[:2]
+
+
+def _label(texts: pa.Array, model: dict | None) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and share of known words of each text."""
+    langs, scores, known = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.zeros(len(texts))
     if model is None:
-        return langs.tolist(), scores
+        return langs.tolist(), scores, known
     memory = kept("language_words", dict)
     if memory.get("of") != model["key"] or len(memory["place"]) > 500_000:
-        memory |= {"of": model["key"], "place": {}, "scores": np.empty((0, len(model["labels"])))}
+        memory |= {"of": model["key"], "place": {}, "scores": np.empty((0, len(model["labels"]))), "known": np.empty(0, bool)}
     place = memory["place"]
     split = [words_of(t) for t in texts.to_pylist()]
     lengths = np.array([len(s) for s in split], np.int64)
@@ -276,12 +310,14 @@ def label_texts(texts: pa.Array, model: dict | None) -> tuple[list[str], np.ndar
         if new:
             place.update(zip(new, range(len(place), len(place) + len(new))))
             memory["scores"] = np.concatenate([memory["scores"], word_scores(new, model)])
+            memory["known"] = np.concatenate([memory["known"], [is_known(w, model) for w in new]]).astype(bool)
         which = np.fromiter((place[w] for s in split for w in s), np.int64, int(lengths.sum()))
         p = marginals(memory["scores"][which], lengths[some], model["transition"], model["start"])
         mean = np.add.reduceat(p, np.cumsum(lengths[some]) - lengths[some], axis=0) / lengths[some][:, None]
         langs[some] = np.array(model["labels"], object)[mean.argmax(axis=1)]
         scores[some] = np.clip(mean.max(axis=1), 0, 1)
-    return langs.tolist(), scores
+        known[some] = np.add.reduceat(memory["known"][which], np.cumsum(lengths[some]) - lengths[some]) / lengths[some]
+    return langs.tolist(), scores, known
 
 
 def predict(docs: DataFrame, model: dict | None) -> DataFrame:
@@ -312,15 +348,20 @@ def identify(docs: DataFrame, *, per_language: int = 300) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, *, per_language: int = 300, least: float = 0.3) -> DataFrame:
-    """``docs`` without the documents whose language is unknown or has less than ``least`` of the words."""
+    """``docs`` without the documents in no language the model has learned.
+
+    A document stays if it has a language and at least ``least`` of its words are known:
+    seen often in training, or made of trigrams nearly all of which were.  That does
+    not depend on how many languages there are, unlike the best one's probability.
+    """
     model = train(docs.where(~held_out("doc_id")), per_language=per_language)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed number of weights, bounded lexicon and trigrams
     text = docs.columns.index("text")
 
     def keep(batches):
         for batch in batches:
             for a, b in bounded_slices(batch.column(text), 2_000_000):
-                langs, scores = label_texts(batch.column(text)[a:b], shared.value)
-                yield batch[a:b].filter(pa.array([lang != UNKNOWN and s >= least for lang, s in zip(langs, scores)]))
+                langs, _, known = _label(batch.column(text)[a:b], shared.value)
+                yield batch[a:b].filter(pa.array([lang != UNKNOWN and k >= least for lang, k in zip(langs, known)]))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -62,6 +62,48 @@ def test_language_learns_moves_and_labels_switches(spark):
     assert (np.diag(model["transition"]) > model["transition"].mean()).all()
 
 
+def test_documents_in_no_learned_language_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    chance = np.random.default_rng(3)
+    letters = " ".join("".join(chr(97 + int(c)) for c in chance.integers(0, 26, int(n))) for n in chance.integers(2, 10, 80))
+    foreign = [
+        "A nyelvek sokfélesége az emberi kultúra egyik legfontosabb öröksége, amelyet minden nemzedéknek meg kell őriznie",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem",
+        "すべての人間は、生れながらにして自由であり、かつ、尊厳と権利とについて平等である",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах",
+        letters,
+        "12 34 -- !!",
+    ]
+    extra = spark.createDataFrame([(-k - 1, t, "en", "x", len(t)) for k, t in enumerate(foreign)], docs.schema)
+    kept = {r.doc_id for r in langid.keep_known(docs.unionByName(extra)).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_training_rows_reach_the_driver_shortened(spark):
+    rows = [(k % 3, f"alpha beta gamma delta number {'x' * (k % 5)} " * 400, "aa") for k in range(12)]
+    rows += [(k, "uno dos tres cuatro cinco " * 300, "bb") for k in range(20, 32)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, row_words=50)
+    assert model["labels"] == ["aa", "bb"]
+    assert langid.label_texts(pa.array(["dos tres", "gamma delta"]), model)[0] == ["bb", "aa"]
+
+
+def test_every_quotation_of_a_hundred_characters_is_found(spark):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    chance = np.random.default_rng(5)
+    rows, want = [], set()
+    for r in items:
+        text = decontaminate.normal(r.text)
+        for length in (100, 120, 150):
+            if len(text) > length:
+                at = int(chance.integers(0, len(text) - length))
+                rows.append((len(rows), "zq xj " * 9 + text[at : at + length] + " vk wy" * 9))
+                want.add((rows[-1][0], r.item_id))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.find_passages(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()
+    assert len(want) > 20 and want <= {(r.doc_id, r.item_id) for r in found}
+
+
 def test_language_odd_rows(spark, odd_documents, no_documents):
     rows = langid.identify(odd_documents).collect()
     got = Counter((r.doc_id, r.lang_pred) for r in rows)
