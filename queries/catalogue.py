@@ -19,6 +19,7 @@ from specflow.operators import (
     joins,
     judging,
     parsing,
+    replies,
     report,
     tasks,
 )
@@ -161,6 +162,26 @@ def stories_csv(spark, sf):
     return readers.read_csv(spark, path, "story_id long, project string, input string")
 
 
+@query
+def documents_csv(spark, sf):
+    # whole documents as cells: line breaks and quotes inside, files cut into small splits
+    path = table_path(spark, "documents-csv")
+    writers.write_table(table(spark, sf, "documents").select("doc_id", "lang", "text"), path, "csv")
+    back = readers.read_csv(spark, path, "doc_id long, lang string, text string")
+    return back.select("doc_id", "lang", F.md5("text").alias("md5"), F.length("text").cast("long").alias("n"))
+
+
+@query
+def documents_csv_inferred(spark, sf):
+    path = table_path(spark, "documents-csv-inferred")
+    writers.write_table(table(spark, sf, "documents").select("doc_id", "n_chars", "source", "text"), path, "csv")
+    back = readers.load(spark, csv_path=path)
+    kinds = ",".join(kind for _, kind in back.dtypes)
+    return back.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n_chars").alias("chars"), F.sum(F.length("text")).alias("length"), F.lit(kinds).alias("kinds")
+    )
+
+
 # --- prompts ----------------------------------------------------------------
 
 
@@ -445,10 +466,44 @@ def generated_partly_cached(spark, sf):
     prompt = F.concat(F.lit("Order "), number.cast("string"))
     inference.generate_cached(orders.filter("o_orderkey % 5 = 0"), prompt, doubles.WRITER, store)
     reply = inference.generate_cached(orders, prompt, doubles.WRITER, store)
-    asked = spark.read.parquet(store).agg(F.count(F.lit(1)).alias("asked"))
+    asked = replies.stored(spark, store).agg(F.count(F.lit(1)).alias("asked"))
     return reply.select("o_orderkey", F.md5("generation").alias("md5")).crossJoin(F.broadcast(asked))  # one row
 
 
+@query
+def generated_forgotten(spark, sf):
+    # two models share a store; the replies of one are forgotten, then asked again, and the store is made compact
+    store = table_path(spark, "replies-forgotten")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    prompt = F.concat(F.lit("Customer "), F.col("o_custkey").cast("string"))
+    inference.generate_cached(orders, prompt, doubles.WRITER, store)
+    inference.generate_cached(orders, prompt, doubles.SHORT_WRITER, store)
+    replies.forget(spark, store, doubles.WRITER.identity())
+    left = materialize(replies.stored(spark, store).agg(F.count(F.lit(1)).alias("left")), "replies-left")
+    first = inference.generate_cached(orders.filter("o_orderkey % 2 = 0"), prompt, doubles.WRITER, store)
+    reply = inference.generate_cached(orders, prompt, doubles.WRITER, store)
+    replies.compact(spark, store)
+    replies.clean(spark, store)
+    again = inference.generate_cached(reply, prompt, doubles.WRITER, store, "reused")
+    other = inference.generate_cached(again, prompt, doubles.SHORT_WRITER, store, "other")
+    kept = replies.stored(spark, store, doubles.WRITER.identity()).agg(F.count(F.lit(1)).alias("kept"))
+    shown = other.select(
+        "o_orderkey", F.md5("generation").alias("md5"), (F.col("generation") == F.col("reused")).alias("same"), F.md5("other").alias("other_md5")
+    )
+    return shown.crossJoin(F.broadcast(left)).crossJoin(F.broadcast(kept))  # one row each
+
+
+@query
+def generated_refreshed(spark, sf):
+    # replies known from an earlier run are all asked again; the store then holds the new ones alone
+    store = table_path(spark, "replies-refreshed")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    inference.generate_cached(turns, F.concat(F.lit("first: "), "text"), doubles.WRITER, store)
+    reply = inference.generate_cached(turns, "text", doubles.WRITER, store, refresh=True)
+    held = replies.stored(spark, store).agg(F.count(F.lit(1)).alias("held"))
+    return reply.select("conv_id", "turn", F.md5("generation").alias("md5")).crossJoin(F.broadcast(held))  # one row
+
+
 @query
 def requests_shown(spark, sf):
     # what the model was sent: system text, format, sampling, through every way a call can end
@@ -638,7 +693,20 @@ def score_boxplot(spark, sf):
 
 @query
 def score_outliers(spark, sf):
-    return longs(report.outliers(with_config(_pairs(spark, sf)), ["Config"]), ["value", "n"])
+    # the answers of every configuration are much alike; calls that failed stand far out
+    scored = judging.parse_pair_judgement(derive(spark, sf, inputs.PAIR_STEADY, "orders"), "raw")
+    return longs(report.outliers(with_config(scored), ["Config"]), ["value", "n"])
+
+
+@query
+def fractional_boxplot(spark, sf):
+    # nearly every total is a value of its own
+    return longs(report.box_stats(derive(spark, sf, inputs.FRACTIONAL_TOTALS, "lineitem"), ["Config"]), ["rows", "outliers"])
+
+
+@query
+def fractional_outliers(spark, sf):
+    return longs(report.outliers(derive(spark, sf, inputs.FRACTIONAL_TOTALS, "lineitem"), ["Config"]), ["n"])
 
 
 # --- whole jobs -------------------------------------------------------------
@@ -683,9 +751,9 @@ def written_tables(spark, sf):
 @query
 def run_stamps(spark, sf):
     start, end = datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 5, 5)
-    stamped = columns.add_run_times(table(spark, sf, "nation").select("n_nationkey"), start, end)
+    stamped = columns.add_run_times(table(spark, sf, "orders").select("o_orderkey"), start, end)
     seconds = F.unix_timestamp("end_timestamp") - F.unix_timestamp("start_timestamp")
-    return stamped.select("n_nationkey", seconds.alias("seconds"))
+    return stamped.select("o_orderkey", seconds.alias("seconds"), F.date_format("start_timestamp", "HH:mm:ss").alias("begun"))
 
 
 @query
@@ -753,41 +821,36 @@ def dual_run_files(spark, sf):
 
 @query
 def settings_refused(spark, sf):
-    """Wrong settings, missing columns and failing steps are refused before any row is read."""
-
-    def message(call) -> str:
-        try:
-            call()
-        except (ValueError, RuntimeError) as error:
-            return str(error) + "".join(getattr(error, "__notes__", []))
-        return "accepted"
+    """Every row plans a run: which of its settings are out of range."""
+    runs = derive(spark, sf, inputs.PLANNED_RUNS, "orders")
+    problems = columns.setting_problems({name: name for name in columns.SETTING_RANGES})
+    return runs.select("run_id", F.array_join(problems, ",").alias("refused"), F.size(problems).cast("long").alias("n"))
 
-    def fail(df):
-        raise RuntimeError("no")
 
-    nation = table(spark, sf, "nation")
-    refused = {
-        "batch": message(lambda: columns.check_settings(batch_size=0)),
-        "temperature": message(lambda: columns.check_settings(temperature=3)),
-        "threshold": message(lambda: columns.check_settings(threshold=51)),
-        "column": message(lambda: columns.keep_columns(nation, ["n_name", "nothing"])),
-        "step": message(lambda: (Flow("f") >> Step("bad", fail)).run(nation)),
-    }
-    flags = {k: F.lit(v != "accepted" and (k != "step" or "bad" in v)) for k, v in refused.items()}
-    return nation.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), *[v.alias(k) for k, v in flags.items()])
+@query
+def settings_kept(spark, sf):
+    # the rows that may run, through a step that would refuse any other by name
+    runs = derive(spark, sf, inputs.PLANNED_RUNS, "orders")
+    named = {name: name for name in columns.SETTING_RANGES}
+    flow = (
+        Flow("runs")
+        >> Step("fit", lambda df: df.filter(F.size(columns.setting_problems(named)) == 0), inputs=list(named))
+        >> Step("check", lambda df: columns.refuse_settings(df, named), inputs=list(named))
+    )
+    return flow.run(runs).select("run_id", "workers")
 
 
 @query
 def flow_outputs(spark, sf):
     # an intermediate result by name
     flow = (
-        Flow("nations")
-        >> Step("load", lambda: table(spark, sf, "nation"))
-        >> Step("few", lambda df: df.filter("n_regionkey = 1"))
+        Flow("orders")
+        >> Step("load", lambda: table(spark, sf, "orders"))
+        >> Step("priced", lambda df: columns.add_column(df, "cents", lambda p: F.round(p * 100).cast("long"), ["o_totalprice"]))
         >> Step("none", lambda df: df.filter("false"))
     )
     flow.run()
-    return flow.outputs["few"].select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name")
+    return flow.outputs["priced"].select("o_orderkey", "cents")
 
 
 @query

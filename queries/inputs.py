@@ -138,6 +138,30 @@ SELECT o_orderkey AS us_id, o_orderpriority AS config, o_totalprice / 1000 AS ge
 FROM orders
 """
 
+# answers whose totals lie close together, and a few calls that failed
+PAIR_STEADY = """
+SELECT o_orderkey AS us_id, o_orderpriority AS config, CASE WHEN o_orderkey % 97 = 0 THEN CAST(NULL AS STRING) ELSE
+  '{"coherence_a": ' || CAST(1 + o_orderkey % 10 AS STRING) || ', "completeness_a": 7, "feasibility_a": 8, "format_a": 9, "granularity_a": ' || CAST(1 + o_custkey % 10 AS STRING)
+    || ', "coherence_b": 6, "completeness_b": ' || CAST(1 + o_custkey % 10 AS STRING) || ', "feasibility_b": 7, "format_b": 8, "granularity_b": 5, "winner": "A", "reason": "ok"}' END AS raw
+FROM orders
+"""
+
+# totals that hardly ever repeat, with some far out and some missing
+FRACTIONAL_TOTALS = """
+SELECT l_returnflag || l_linestatus AS Config,
+  CASE WHEN l_orderkey % 301 = 0 THEN -5.0 ELSE 20.0 + l_extendedprice / 4096.0 END AS judge_score_a_total,
+  CASE WHEN l_orderkey % 13 = 0 THEN CAST(NULL AS DOUBLE) WHEN l_partkey % 211 = 0 THEN 50.0 + l_linenumber ELSE 30.0 + l_extendedprice / 65536.0 END AS judge_score_b_total
+FROM lineitem
+"""
+
+# one planned run per row, settings inside and outside their ranges, some not given
+PLANNED_RUNS = """
+SELECT o_orderkey AS run_id, o_custkey % 7 - 1 AS batch_size, o_orderkey % 31 / 10.0 - 0.5 AS temperature,
+  CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE (o_custkey % 40 - 2) * 100 END AS max_tokens, o_orderkey % 9 AS workers,
+  CASE o_custkey % 4 WHEN 0 THEN 35.0 WHEN 1 THEN 50.0 WHEN 2 THEN 50.5 ELSE -1.0 END AS threshold
+FROM orders
+"""
+
 STRUCTURED = """
 SELECT p_partkey AS part_id, CASE WHEN p_partkey % 7 = 0 THEN 'no json' ELSE
   '{"project": "' || p_brand || '", "summary": "' || p_name || '", "description": "As a buyer, I want ' || p_name || ' so that size ' || CAST(p_size AS STRING) || ' fits"}' END AS input

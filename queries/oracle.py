@@ -268,7 +268,7 @@ _ROUNDED_METRICS = (
 _CAPITAL = ", ".join(f'"{c.capitalize()}"' for c in CRITERIA)
 _LONG = f"{PAIRS}, long0 AS ({metric_rows('cfg,')}), long AS (SELECT * RENAME (cfg AS \"Config\") FROM long0)"
 _LONG_ALL = f"{PAIRS}, long AS ({metric_rows('')})"
-_TOTALS = f"""{PAIRS}, totals AS (
+_BOXES = """totals AS (
 SELECT cfg, 'G1' AS gen, CAST(judge_score_a_total AS DOUBLE) AS v FROM pairs UNION ALL
 SELECT cfg, 'G2', CAST(judge_score_b_total AS DOUBLE) FROM pairs),
 quartiles AS (SELECT cfg, gen, count(*) AS n_rows, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med,
@@ -278,6 +278,13 @@ fenced AS (SELECT t.cfg, t.gen, v, n_rows, q1, med, q3, q1 - 1.5 * (q3 - q1) AS
 boxes AS (SELECT cfg, gen, n_rows, q1, med, q3, least(min(CASE WHEN v >= lo THEN v END), q1) AS w_lo,
   greatest(max(CASE WHEN v <= hi THEN v END), q3) AS w_hi, count(*) FILTER (v < lo OR v > hi) AS n_out
   FROM fenced GROUP BY cfg, gen, n_rows, q1, med, q3)"""
+_TOTALS = f"{PAIRS}, {_BOXES}"
+_FRACTIONS = f"""WITH pairs AS (SELECT "Config" AS cfg, judge_score_a_total, judge_score_b_total FROM ({inputs.FRACTIONAL_TOTALS}) t), {_BOXES.replace("FROM pairs),", "FROM pairs WHERE judge_score_b_total IS NOT NULL),")}"""
+
+_REFUSED = (
+    "CASE WHEN batch_size < 1 THEN 'batch_size' END, CASE WHEN temperature < 0 OR temperature > 2 THEN 'temperature' END, "
+    "CASE WHEN max_tokens < 1 THEN 'max_tokens' END, CASE WHEN workers < 1 THEN 'workers' END, CASE WHEN threshold < 0 OR threshold > 50 THEN 'threshold' END"
+)
 
 _DAMAGED = f"""WITH base AS ({inputs.PROPS_DAMAGED}),
 cut AS (SELECT event_id, coalesce(nullif(regexp_extract(replace(replace(raw, '```json', ''), '```', ''), '(?s)\\{{.*\\}}'), ''), raw) AS c FROM base),
@@ -351,6 +358,11 @@ ORACLE: dict[str, str] = {
     "single_duplicate_keys": f"SELECT us_id, coherence AS validacion_coherencia, total AS validacion_total, true AS validacion_aprobado, 'direct' AS parse_status FROM ({inputs.SINGLE_DUPLICATES}) t",
     "generated_partly_cached": f"WITH p AS (SELECT o_orderkey, 'Order ' || CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey END AS VARCHAR) AS prompt FROM orders) "
     f"SELECT o_orderkey, md5({writer('prompt')}) AS md5, (SELECT count(DISTINCT prompt) FROM p) AS asked FROM p",
+    "generated_forgotten": f"WITH p AS (SELECT o_orderkey, 'Customer ' || CAST(o_custkey AS VARCHAR) AS prompt FROM orders), n AS (SELECT count(DISTINCT prompt) AS n FROM p) "
+    f"SELECT o_orderkey, md5({writer('prompt')}) AS md5, true AS same, md5('Only ' || substr(md5(prompt), 1, 12)) AS other_md5, n AS \"left\", n AS kept FROM p, n",
+    "generated_refreshed": f"SELECT conv_id, turn, md5({writer('text')}) AS md5, (SELECT count(DISTINCT text) FROM conversations) AS held FROM conversations",
+    "documents_csv": "SELECT doc_id, lang, md5(text) AS md5, length(text) AS n FROM documents",
+    "documents_csv_inferred": "SELECT source, count(*) AS rows, sum(n_chars)::BIGINT AS chars, sum(length(text))::BIGINT AS length, 'int,int,string,string' AS kinds FROM documents GROUP BY source",
     "requests_shown": "WITH h AS (SELECT conv_id, turn, text, md5(text) AS h FROM conversations) SELECT conv_id, turn, "
     "CASE WHEN text IS NOT NULL AND h[1] <> '0' THEN 'm|be brief|0.5|json|' || substr(h, 1, 6) END AS generation, "
     "CASE WHEN text IS NULL THEN 'missing prompt' WHEN h[1] = '0' THEN 'never ' || substr(h, 2, 4) END AS generation_error, "
@@ -410,8 +422,12 @@ ORACLE: dict[str, str] = {
     "('C3', 'Gemma 3', 'Mistral Nemo'), ('C4', 'Qwen 3', 'Phi 4')) v(c, g1, g2)) "
     'SELECT cfg AS "Config", gen AS "Gen", n_rows AS rows, q1, med AS median, q3, w_lo AS whisker_low, w_hi AS whisker_high, n_out AS outliers, '
     """CASE WHEN gen = 'G1' THEN g1 ELSE g2 END AS "Model" FROM boxes JOIN names ON cfg = c""",
-    "score_outliers": f"{_TOTALS} SELECT t.cfg AS \"Config\", t.gen AS \"Gen\", CAST(v AS BIGINT) AS value, count(*) AS n "
-    "FROM totals t JOIN boxes b ON t.cfg = b.cfg AND t.gen = b.gen WHERE v < w_lo OR v > w_hi GROUP BY t.cfg, t.gen, v",
+    "score_outliers": f"""WITH pairs AS (SELECT 'C' || substr(o_orderpriority, 1, 1) AS cfg,
+  CASE WHEN o_orderkey % 97 = 0 THEN -5 ELSE 26 + o_orderkey % 10 + o_custkey % 10 END AS judge_score_a_total,
+  CASE WHEN o_orderkey % 97 = 0 THEN -5 ELSE 27 + o_custkey % 10 END AS judge_score_b_total FROM orders), {_BOXES}
+  SELECT cfg AS "Config", gen AS "Gen", CAST(v AS BIGINT) AS value, count(*) AS n FROM fenced WHERE v < lo OR v > hi GROUP BY ALL""",
+    "fractional_boxplot": f"""{_FRACTIONS} SELECT cfg AS "Config", gen AS "Gen", n_rows AS rows, q1, med AS median, q3, w_lo AS whisker_low, w_hi AS whisker_high, n_out AS outliers FROM boxes""",
+    "fractional_outliers": f"""{_FRACTIONS} SELECT cfg AS "Config", gen AS "Gen", v AS value, count(*) AS n FROM fenced WHERE v < lo OR v > hi GROUP BY ALL""",
     "flow_chain": "SELECT c_custkey, round(c_acctbal * 100) AS cents, upper(c_mktsegment) || '!' AS shout, 'm1' AS model FROM customer",
     "single_run": _SINGLE_RUN,
     "dual_run_tasks": f"""{_DUAL}, {exploded_ctes('answered', 'a', 'ea')}, {exploded_ctes('answered', 'b', 'eb')}
@@ -433,9 +449,11 @@ SELECT us_id, input, {digits_sum('h', 1)} AS judge_score_a_total, {digits_sum('h
         for g, at in (("G1", 1), ("G2", 6))
     ) + ") SELECT m.*, c.*, w.*, true AS timed FROM m, c, w",
     "dual_run_files": f"{_DUAL_ONCE} SELECT us_id, CAST(ta AS VARCHAR) AS judge_score_a_total, winner AS judge_winner, CAST(0 AS BIGINT) AS missing, 'dual_tasks_t_judge_results' AS test FROM once",
-    "settings_refused": 'SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, true AS batch, true AS temperature, true AS threshold, true AS "column", true AS step FROM nation',
-    "flow_outputs": "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation WHERE n_regionkey = 1",
+    "settings_refused": f"WITH r AS ({inputs.PLANNED_RUNS}), p AS (SELECT run_id, list_filter([{_REFUSED}], lambda x: x IS NOT NULL) AS p FROM r) "
+    "SELECT run_id, array_to_string(p, ',') AS refused, len(p) AS n FROM p",
+    "settings_kept": f"WITH r AS ({inputs.PLANNED_RUNS}) SELECT run_id, workers FROM r WHERE len(list_filter([{_REFUSED}], lambda x: x IS NOT NULL)) = 0",
+    "flow_outputs": "SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders",
     "written_tables": f"{TASKS}, {_STORIES.removeprefix('WITH ')} SELECT 'task' AS kind, us_id AS id, md5(task) AS md5 FROM exploded "
     f"UNION ALL SELECT 'story', story_id, md5({strip('input')}) FROM stories WHERE {is_story('input')}",
-    "run_stamps": "SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, CAST(60 AS BIGINT) AS seconds FROM nation",
+    "run_stamps": "SELECT o_orderkey, CAST(60 AS BIGINT) AS seconds, '03:04:05' AS begun FROM orders",
 }

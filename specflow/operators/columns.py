@@ -158,6 +158,44 @@ def chosen(winner: ColumnOrName, text_a: ColumnOrName, text_b: ColumnOrName) ->
     return F.when(as_col(winner) == "B", as_col(text_b)).otherwise(as_col(text_a))
 
 
+# --- fixed values -----------------------------------------------------------
+# smallest and largest value of each setting; None: no end
+SETTING_RANGES = {
+    "batch_size": (1, None),
+    "temperature": (0.0, 2.0),
+    "max_tokens": (1, None),
+    "workers": (1, None),
+    "threshold": (0.0, 50.0),
+}
+# ----------------------------------------------------------------------------
+
+
+def setting_problems(settings: Mapping[str, ColumnOrName]) -> Column:
+    """Names of the settings of a row that are outside their range, in the order given.
+
+    For tables of planned runs, one setting a column: ``{"temperature": "temp", ...}``.
+    A null setting is one that is not given, and no problem; not-a-number is one.
+    """
+    unknown = [name for name in settings if name not in SETTING_RANGES]
+    if unknown:
+        raise ValueError(f"no such settings: {unknown}; known: {list(SETTING_RANGES)}")
+    found = []
+    for name, column in settings.items():
+        value, (least, most) = as_col(column).cast("double"), SETTING_RANGES[name]
+        wrong = (value < least) | F.isnan(value)
+        if most is not None:
+            wrong = wrong | (value > most)
+        found.append(F.when(wrong, F.lit(name)))
+    return F.array_compact(F.array(*found))
+
+
+def refuse_settings(df: DataFrame, settings: Mapping[str, ColumnOrName]) -> DataFrame:
+    """The rows themselves; reading one whose settings are outside their range fails with their names."""
+    problems = setting_problems(settings)
+    message = F.concat(F.lit("settings out of range: "), F.array_join(problems, ", "))
+    return df.filter(F.when(F.size(problems) == 0, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
 def check_settings(
     *,
     batch_size: int | None = None,
@@ -167,13 +205,11 @@ def check_settings(
     threshold: float | None = None,
 ) -> None:
     """Refuse settings outside their range before anything runs."""
-    if batch_size is not None and batch_size <= 0:
-        raise ValueError(f"batch_size must be positive, got {batch_size}")
-    if temperature is not None and not 0.0 <= temperature <= 2.0:
-        raise ValueError(f"temperature must be between 0 and 2, got {temperature}")
-    if max_tokens is not None and max_tokens <= 0:
-        raise ValueError(f"max_tokens must be positive, got {max_tokens}")
-    if workers is not None and workers < 1:
-        raise ValueError(f"workers must be at least 1, got {workers}")
-    if threshold is not None and not 0.0 <= threshold <= 50.0:
-        raise ValueError(f"threshold must be between 0 and 50, got {threshold}")
+    given = dict(batch_size=batch_size, temperature=temperature, max_tokens=max_tokens, workers=workers, threshold=threshold)
+    for name, value in given.items():
+        if value is None:
+            continue
+        least, most = SETTING_RANGES[name]
+        if not (value >= least and (most is None or value <= most)):
+            span = f"at least {least}" if most is None else f"between {least:g} and {most:g}"
+            raise ValueError(f"{name} must be {span}, got {value}")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specflow.functions.common import ColumnOrName, as_col, as_list, require_columns
-from specflow.session import materialize
+from specflow.session import materialize, partitions_for
 
 CHUNK = "__chunk"
 PLACE = "__place"
@@ -28,7 +28,7 @@ _ROW_BITS = 33
 def order_rows(
     df: DataFrame, keys: Sequence[ColumnOrName], unique: bool = False, partitions: int | None = None
 ) -> DataFrame:
-    """Range-partition and sort by ``keys``.
+    """Range-partition and sort by ``keys``, by default into as many parts as the bytes ask for.
 
     When the keys may tie, rows are also ordered by their content, and copies
     of one row by the partition they come from, so that a value or a group of
@@ -40,7 +40,7 @@ def order_rows(
     if not unique:
         df = df.withColumns({_TIE: F.xxhash64(*_hashable(df)), _FROM: F.spark_partition_id()})
         order += [F.col(_TIE), F.col(_FROM)]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(df)
     return df.repartitionByRange(n, *order).sortWithinPartitions(*order).drop(_TIE, _FROM)
 
 

@@ -16,16 +16,18 @@ from collections import deque
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from specflow.functions.common import ColumnOrName, as_col
+from specflow.operators import replies
 from specflow.operators.columns import check_settings
-from specflow.session import materialize, paths_like
+from specflow.session import materialize
 
 # --- fixed values -----------------------------------------------------------
 GENERATOR_OPTIONS = {"temperature": 0.3, "num_predict": 1000}
@@ -33,7 +35,7 @@ GENERATOR_OPTIONS = {"temperature": 0.3, "num_predict": 1000}
 AHEAD = 4  # calls handed out per worker
 HELD_BATCHES = 4  # batches that may wait for a slow call while later ones go on
 
-STORE_SCHEMA = "key string, reply string, seconds double, attempts int, asked_at timestamp"
+CALLS_PER_TASK = 500  # calls a lost task has to make again at most
 
 
 @dataclass(frozen=True)
@@ -109,7 +111,8 @@ def generate_all(
     """Several generators over the same rows in one pass, their calls side by side.
 
     The rows are spread evenly over ``partitions`` tasks first, by default one
-    per core; running tasks x ``workers`` is the load on the endpoint.
+    per core or as many as keep a task below ``CALLS_PER_TASK`` rows; running tasks x
+    ``workers`` is the load on the endpoint.  ``df`` is counted for that.
     """
     return materialize(ask_lazily(df, asks, partitions), "replies", path)
 
@@ -123,50 +126,64 @@ def generate_cached(
     time_column: str | None = None,
     partitions: int | None = None,
     refresh: bool = False,
+    calls_per_task: int = CALLS_PER_TASK,
 ) -> DataFrame:
-    """As ``generate``, but reuse replies kept in the table at ``store``.
-
-    Each distinct prompt is asked once, only when the store lacks it, and the
-    reply is appended.  The key covers the prompt and the whole ``identity`` of
-    the call, so other settings never see it.  Failed calls are not kept.
-    The store is read once, and only replies to wanted prompts leave that scan.
-    ``refresh`` forgets the whole store first.  ``df`` is read more than once;
-    write it first if it is costly or not the same each time.
+    """As ``generate``, but reuse replies kept in the store (see ``replies``).
+
+    Each distinct prompt is asked once, only when the store lacks it.  The key covers
+    the prompt and the whole ``identity`` of the call, so other settings never see
+    it.  Failed calls are not kept.  Of the store only replies to this call are read,
+    and only the folders that wanted keys belong to.
+
+    A task makes at most ``calls_per_task`` calls (unless ``partitions`` says
+    otherwise) and its replies are in the store once it ends, so a lost task repeats
+    its own calls and a run started again after a failure asks only what is missing.
+    ``refresh`` asks all prompts anew; the store forgets what it had, of every call,
+    when the new replies are complete.  ``df`` is read more than once; write it first
+    if it is costly or not the same each time.
     """
     spark = df.sparkSession
-    if any(c in store for c in "[]{}*?\\"):
-        raise ValueError(f"store must be a plain path, without pattern characters: {store!r}")
     keyed = df.withColumn("__prompt", as_col(prompt)).withColumn("key", reply_key("__prompt", call))
     wanted = keyed.filter(F.col("__prompt").isNotNull()).select("key", "__prompt").distinct()
     wanted = materialize(wanted, "wanted-prompts")
-    ready = None
-    if not refresh and paths_like(spark, store):
-        # only replies to wanted prompts leave the one scan of the store
-        kept = spark.read.schema(STORE_SCHEMA).parquet(store).join(wanted.select("key"), "key", "left_semi")
-        # two runs at the same time may both have asked: the first reply counts
-        first = F.min(F.struct("asked_at", "reply", "seconds", "attempts")).alias("r")
-        ready = kept.groupBy("key").agg(first).select("key", "r.reply", "r.seconds", "r.attempts", "r.asked_at")
+    mark = replies.call_mark(call.identity())
+    kept = [] if refresh else replies.batches(spark, store, mark)
+    ready = replies.known(spark, kept, wanted)
+    missing = wanted
+    if ready is not None:
         ready = materialize(ready, "known-replies")
-        wanted = wanted.join(ready.select("key"), "key", "left_anti")
-    asked = ask_lazily(wanted, [Ask("__prompt", "reply", call, "seconds", True)], partitions)
-    asked = asked.filter(F.col("reply").isNotNull()).select(
-        "key",
-        "reply",
-        "seconds",
-        F.col("reply_attempts").alias("attempts"),
-        F.current_timestamp().alias("asked_at"),
-    )
-    asked = materialize(asked, "new-replies")
-    asked.write.mode("overwrite" if refresh else "append").parquet(store)
-    replies = asked if ready is None else ready.unionByName(asked)
-    replies = materialize(replies.select("key", F.col("reply").alias("__reply"), F.col("seconds").alias("__seconds")), "replies")
+        missing = materialize(wanted.join(ready.select("key"), "key", "left_anti"), "missing-prompts")
+    batch = replies.new_batch(store, mark)
+    count = missing.count()
+    if count and not refresh:
+        # named before it is written: what its tasks finish counts even if this run is lost
+        replies.change(spark, store, lambda now: [*now, batch])
+    if count:
+        tasks = partitions or _tasks_for(spark, count, calls_per_task)
+        asked = ask_lazily(missing, [Ask("__prompt", "reply", call, "seconds", True)], tasks)
+        asked = asked.filter(F.col("reply").isNotNull()).select(
+            "key", "reply", "seconds", F.col("reply_attempts").alias("attempts"), F.current_timestamp().alias("asked_at")
+        )
+        replies.write_batch(spark, asked, batch)
+    if refresh:
+        replies.change(spark, store, lambda now: [batch] if count else [])
+    new = replies.read_batches(spark, [batch]) if count else None
+    parts = [t.select("key", F.col("reply").alias("__reply"), F.col("seconds").alias("__seconds")) for t in (ready, new) if t is not None]
+    found = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "key string, __reply string, __seconds double")
     # one row per key against the rows as they are: the adaptive planner splits a frequent prompt
-    joined = keyed.drop("__prompt").join(replies, "key", "left")
+    joined = keyed.drop("__prompt").join(found, "key", "left")
     added = [F.col("__reply").alias(output_column)]
     if time_column:
         added.append(F.col("__seconds").alias(time_column))
-    kept = [c for c in df.columns if c not in (output_column, time_column)]
-    return joined.select(*kept, *added)
+    columns = [c for c in df.columns if c not in (output_column, time_column)]
+    return joined.select(*columns, *added)
+
+
+def _tasks_for(spark: SparkSession, calls: int, calls_per_task: int = CALLS_PER_TASK) -> int:
+    """One task per core at least, and none with more than ``calls_per_task`` calls."""
+    if calls_per_task <= 0:
+        raise ValueError(f"calls_per_task must be positive, got {calls_per_task}")
+    return max(spark.sparkContext.defaultParallelism, -(-calls // calls_per_task))
 
 
 def reply_key(prompt: ColumnOrName, call: ModelCall) -> Column:
@@ -180,8 +197,9 @@ def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None) ->
     ready = df.select(
         *kept, *[as_col(a.prompt).cast("string").alias(p) for a, p in zip(asks, prompts)]
     )
-    # calls are slow and a small table may be one partition: spread the rows over all cores
-    ready = ready.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
+    # calls are slow and a small table may be one partition: spread the rows over all cores, so thin
+    # that a lost task repeats few calls; counting needs no column of a stored table
+    ready = ready.repartition(partitions or _tasks_for(df.sparkSession, df.count()))
     schema = t.StructType(
         [f for f in ready.schema.fields if f.name in kept]
         + [f for a in asks for f in a.fields()]
@@ -195,13 +213,13 @@ def _task(asks: list[Ask], kept: int, names: list[str]):
     def finished(batch: pa.RecordBatch, pending: list[list]) -> pa.RecordBatch:
         columns = batch.columns[:kept]
         for (_, timed, details), futures in zip(shapes, pending):
-            replies = [f.result() for f in futures]
-            columns.append(pa.array([r[0] for r in replies], pa.string()))
+            answers = [f.result() for f in futures]
+            columns.append(pa.array([r[0] for r in answers], pa.string()))
             if timed:
-                columns.append(pa.array([r[1] for r in replies], pa.float64()))
+                columns.append(pa.array([r[1] for r in answers], pa.float64()))
             if details:
-                columns.append(pa.array([r[3] for r in replies], pa.string()))
-                columns.append(pa.array([r[2] for r in replies], pa.int32()))
+                columns.append(pa.array([r[3] for r in answers], pa.string()))
+                columns.append(pa.array([r[2] for r in answers], pa.int32()))
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

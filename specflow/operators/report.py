@@ -8,7 +8,7 @@ is no hot spot.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from specflow.functions.common import require_columns
 from specflow.operators.columns import CRITERIA, coerce_numbers
+from specflow.operators.ids import running_total_before
 from specflow.operators.judging import FAILED_TOTAL, THRESHOLD
 from specflow.session import materialize
 
@@ -136,17 +137,20 @@ def pivot_generators(summary: DataFrame, values: Sequence[str], config: str = "C
 
 def wins(df: DataFrame, by: Sequence[str] = (), prefix: str = "judge_") -> DataFrame:
     """Wins per side, in rows and percent, and the mean totals."""
+    return df.groupBy(*by).agg(*_wins(prefix))
+
+
+def _wins(prefix: str) -> list[Column]:
     winner = F.col(f"{prefix}winner")
-    rows = F.count(F.lit(1))
-    return df.groupBy(*by).agg(
-        rows.alias("stories"),
+    return [
+        F.count(F.lit(1)).alias("stories"),
         F.count_if(winner == "A").alias("wins_a"),
         F.count_if(winner == "B").alias("wins_b"),
         _percent(winner == "A").alias("wins_a_pct"),
         _percent(winner == "B").alias("wins_b_pct"),
         F.avg(f"{prefix}score_a_total").alias("mean_a"),
         F.avg(f"{prefix}score_b_total").alias("mean_b"),
-    )
+    ]
 
 
 def run_timings(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -156,6 +160,22 @@ def run_timings(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(*[F.avg(c).alias(f"mean_{c}") for c in columns])
 
 
+def run_figures(df: DataFrame, by: Sequence[str] = (), tasks: str = "tasks", key: str = "us_id", prefix: str = "judge_") -> DataFrame:
+    """``task_counts``, ``wins``, ``criterion_means`` and ``run_timings`` of a judged run from one aggregate.
+
+    ``tasks`` holds the number of task rows a judged row stands for.
+    """
+    times = ("generation_time_a", "generation_time_b", "judge_time", "total_time")
+    require_columns(df, [*by, key, tasks, *times], "run_figures")
+    return df.groupBy(*by).agg(
+        F.coalesce(F.sum(tasks), F.lit(0)).cast("long").alias("tasks"),
+        F.count_distinct(F.when(F.col(tasks) > 0, F.col(key))).alias("task_stories"),
+        *_wins(prefix),
+        *_means(prefix, CRITERIA),
+        *[F.avg(c).alias(f"mean_{c}") for c in times],
+    )
+
+
 def approval_report(df: DataFrame, by: Sequence[str] = (), prefix: str = "validacion_") -> DataFrame:
     """Approved rows, all rows, the share in percent and the mean total."""
     require_columns(df, [*by, f"{prefix}aprobado", f"{prefix}total"], "approval_report")
@@ -209,7 +229,8 @@ def box_stats(
     """Box-plot figures of the totals: quartiles, whiskers and number of outliers.
 
     A whisker ends at the outermost total within ``reach`` quartile ranges of
-    the box, or at the box itself.
+    the box, or at the box itself.  The figures, one row per group and generator,
+    are written before they are returned.
     """
     value, inside = F.col("value"), F.col("value").between(F.col("low"), F.col("high"))
     keys = [*by, "Gen"]
@@ -220,7 +241,7 @@ def box_stats(
         F.max(F.when(value <= F.col("high"), value)).alias("highest"),
         F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
     )
-    return summed.select(
+    figures = summed.select(
         *keys,
         "rows",
         "q1",
@@ -230,6 +251,7 @@ def box_stats(
         F.greatest(F.col("highest").cast("double"), "q3").alias("whisker_high"),
         "outliers",
     )
+    return materialize(figures, "box-figures")
 
 
 def outliers(
@@ -240,21 +262,57 @@ def outliers(
     return _with_box(df, by, prefix, reach).filter(outside).select(*by, "Gen", "value", "n")
 
 
+def quantiles(
+    counted: DataFrame, keys: Sequence[str], shares: Mapping[str, float], value: str = "value", n: str = "n"
+) -> DataFrame:
+    """Per group the interpolated quantiles of ``value``, each row standing for ``n`` equal ones.
+
+    ``counted`` has the columns ``__before`` (rows of the group with smaller values) of
+    ``ranked``.  A quantile is read off the one or two rows whose ranks hold it, by
+    aggregates that combine before they move, so no task gathers a group's values.
+    """
+    sizes = counted.groupBy(*keys).agg(F.sum(n).alias("__size"))
+    sized = _on_keys(counted, sizes, keys)
+    held = []
+    for name, share in shares.items():
+        place = F.lit(share) * (F.col("__size") - 1)
+        for end, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
+            holds = (F.col("__before") <= rank) & (rank < F.col("__before") + F.col(n))
+            held.append(F.max(F.when(holds, F.col(value))).cast("double").alias(f"__{end}_{name}"))
+        held.append(F.max(place - F.floor(place)).alias(f"__part_{name}"))
+    read = sized.groupBy(*keys).agg(*held)
+    low, high, part = ({s: F.col(f"__{x}_{s}") for s in shares} for x in ("low", "high", "part"))
+    return read.select(*keys, *[(low[s] + (high[s] - low[s]) * part[s]).alias(s) for s in shares])
+
+
+def ranked(counted: DataFrame, keys: Sequence[str], value: str = "value", n: str = "n") -> DataFrame:
+    """Add ``__before``: how many of the group's rows have a smaller value.
+
+    Rows are range-partitioned by group and value and the counts run inside each
+    part, so a group with many distinct values spreads over tasks.
+    """
+    grouped = counted.withColumn("__group", F.struct(*keys))
+    return running_total_before(grouped, "__group", [value], F.col(n), "__before").drop("__group")
+
+
+def _on_keys(rows: DataFrame, figures: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Figures of a group on all its rows; null keys are a group like any other."""
+    named = figures.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return rows.join(named, same).drop(*[f"__{k}" for k in keys])
+
+
 def _with_box(df: DataFrame, by: Sequence[str], prefix: str, reach: float) -> DataFrame:
-    """The counted totals with the quartiles of their group, in one pass over the rows.
+    """The counted totals with the quartiles of their group; the judged rows are read once.
 
-    Counted totals are stored, quartiles aggregated from them and joined back, so
-    no task gathers a group however many distinct totals it has.
+    The counted totals are stored with their ranks.  Quartiles are read off the rows
+    that hold them and written too, one row per group and generator.
     """
     keys = [*by, "Gen"]
-    counted = materialize(score_counts(df, by, prefix), "score-counts")
-    shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    quartiles = counted.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.percentile("value", shares, F.col("n")).alias("q"))
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    boxed = counted.join(quartiles, reduce(and_, same)).select(*counted.columns, "q")
-    boxed = boxed.withColumns({name: F.col("q")[i] for i, name in enumerate(("q1", "median", "q3"))})
+    counted = ranked(materialize(score_counts(df, by, prefix), "score-counts"), keys)
+    box = materialize(quantiles(counted, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}), "quartiles")
     width = reach * (F.col("q3") - F.col("q1"))
-    return boxed.withColumns({"low": F.col("q1") - width, "high": F.col("q3") + width}).drop("q")
+    return _on_keys(counted.drop("__before"), box.withColumns({"low": F.col("q1") - width, "high": F.col("q3") + width}), keys)
 
 
 def _grouped(df: DataFrame, by: Sequence[str], prefix: str, exclude_failed: bool):

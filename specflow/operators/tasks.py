@@ -151,3 +151,12 @@ def compare_tasks(
     return paired.withColumns(
         {c: T.without_bold(c) for c in ("task_generator_a", "task_generator_b")}
     )
+
+
+def count_compared(
+    df: DataFrame, tasks_a: str = "tasks_generator_a", tasks_b: str = "tasks_generator_b", out: str = "tasks"
+) -> DataFrame:
+    """Add how many rows ``compare_tasks`` makes of each row."""
+    require_columns(df, [tasks_a, tasks_b], "count_compared")
+    listed = _list_tasks(_list_tasks(df, tasks_a, "__a"), tasks_b, "__b")
+    return listed.withColumn(out, F.greatest(F.size("__a"), F.size("__b"))).drop("__a", "__b")

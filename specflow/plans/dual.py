@@ -8,10 +8,12 @@ from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from specflow.functions.common import ColumnOrName
 from specflow.functions.prompts import task_prompt
 from specflow.operators import columns, ids, inference, judging, report, stories, tasks
+from specflow.session import materialize
 from specflow.sources import writers
 from specflow.sources.readers import JUDGE_RESULT_COLUMNS
 
@@ -33,12 +35,18 @@ class DualResult(NamedTuple):
     judged: DataFrame
 
     def report(self) -> DualReport:
-        """Tasks and stories, wins and mean totals, criterion means and mean seconds of the run."""
+        """Tasks and stories, wins and mean totals, criterion means and mean seconds of the run.
+
+        One aggregate over the judged rows gives all of it; its one row is written.
+        """
+        counted = tasks.count_compared(self.judged)
+        figures = materialize(report.run_figures(counted), "run-figures")
+        named = [c.capitalize() for c in columns.CRITERIA]
         return DualReport(
-            report.task_counts(self.tasks),
-            report.wins(self.judged),
-            report.criterion_means(self.judged),
-            report.run_timings(self.judged),
+            figures.select("tasks", F.col("task_stories").alias("stories")),
+            figures.select("stories", "wins_a", "wins_b", "wins_a_pct", "wins_b_pct", "mean_a", "mean_b"),
+            report.to_long(figures, (), named),
+            figures.select(*[c for c in figures.columns if c.startswith("mean_") and c.endswith("_time") or "_time_" in c]),
         )
 
     def write(self, folder: str, timestamp: str | None = None, fmt: str = "csv") -> tuple[str, str]:

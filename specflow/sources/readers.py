@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from specflow.functions.common import ColumnOrName, as_col
 from specflow.operators.columns import CRITERIA, clean_text_rows, require_rows
-from specflow.session import paths_like
+from specflow.session import first_line, paths_like
+from specflow.sources.records import csv_records, infer_types
 
 # --- fixed values -----------------------------------------------------------
 STORY_FIELDS = "project string, summary string, description string"
@@ -40,18 +41,43 @@ JUDGE_RESULT_COLUMNS = (
 )
 # ----------------------------------------------------------------------------
 
-_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+_CSV = {"multiLine": True, "quote": '"', "escape": '"'}
+_HEADS = 16  # headers read at a time
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | StructType | None = None) -> DataFrame:
     """CSV with a header; quotes inside cells are doubled, cells may span lines.
 
-    With a ``schema`` the file is read once; without one Spark reads it twice
-    to infer the types.
+    Large files are split over tasks (see ``records``).  Columns go by position, so
+    all files have the same ones.  With a ``schema`` the cells are parsed as it says;
+    without one the header of the first file names them and one more pass over the
+    rows finds the narrowest types.
     """
-    reader = spark.read.options(**_CSV)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    rows = csv_records(spark, path)
+    if schema is None:
+        files = [path] if isinstance(path, str) else path
+        header = next((h for f in files for h in (header_of(spark, f),) if h), None)
+        if header is None:
+            raise ValueError(f"no CSV header in {path}")
+        texts = parse_records(rows, [(name, "string") for name in header])
+        kinds = infer_types(texts, header)
+        return parse_records(rows, [(name, kinds[name]) for name in header])
+    kept = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return parse_records(rows, [(f.name, f.dataType.simpleString()) for f in kept.fields])
+
+
+def parse_records(records: DataFrame, columns: Sequence[tuple[str, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """The cells of ``text`` as typed columns, after the columns ``keep`` of the records."""
+    ddl = ", ".join("`" + name.replace("`", "``") + f"` {kind}" for name, kind in columns)
+    row = F.from_csv("text", F.lit(ddl), {k: str(v).lower() if isinstance(v, bool) else v for k, v in _CSV.items()})
+    return records.select(*keep, row.alias("__row")).select(*keep, "__row.*")
+
+
+def header_of(spark: SparkSession, pattern: str) -> list[str] | None:
+    """Column names of the first file a path or pattern names that is not empty."""
+    lines = (first_line(spark, p) for p in paths_like(spark, pattern))
+    line = next((x for x in lines if x is not None), None)
+    return None if line is None else next(csv.reader([line.removeprefix("\ufeff")]))
 
 
 def load(spark: SparkSession, df: DataFrame | None = None, csv_path: str | None = None) -> DataFrame:
@@ -117,55 +143,55 @@ def read_judge_results(
 ) -> DataFrame:
     """All ``*_judge_results`` of a folder, with ``test`` (the name) and ``Config``.
 
-    A result is one experiment: a CSV file, a folder of CSV parts, or with
-    ``fmt="parquet"`` a folder of Parquet parts.  Results may differ in columns
-    and column order, and Spark takes CSV columns by position, so the headers of
-    all files are read first, in one job, and all files of one header in one scan.
-    CSV values stay text; a missing column is null and named in
-    ``missing_columns``.  Without ``multi_line`` cells may not hold line breaks,
-    and large files are split over tasks.
+    A result is one experiment: a CSV file, a folder of CSV parts with one header, or
+    with ``fmt="parquet"`` a folder of Parquet parts.  Results may differ in columns
+    and column order, and CSV columns go by position, so the header of every result is
+    read first, and nothing else of it, and all results of one header are read
+    together.  CSV values stay text; a missing column is null and named in
+    ``missing_columns``.  Without ``multi_line`` cells may not hold line breaks, which
+    saves the passes that look for them.
     """
     suffix = ".csv" if fmt == "csv" else ""
     paths = paths_like(spark, f"{folder}/*{RESULT_SUFFIX}{suffix}")
     if not paths:
         raise ValueError(f"no *{RESULT_SUFFIX}{suffix} in {folder}")
-    if fmt == "csv":
-        groups = _by_header(spark, paths)
-        options = _CSV | {"multiLine": multi_line, "enforceSchema": True}
-    else:
-        groups = {}
-        for path in paths:
-            groups.setdefault(tuple(spark.read.format(fmt).load(path).columns), []).append(path)
-        options = {}
-    place = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]*{RESULT_SUFFIX}){suffix.replace('.', '[.]')}(?:/|$)", 1)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, _headers(spark, paths, fmt)):
+        if header is not None:
+            groups.setdefault(tuple(header), []).append(path)
     results = []
     for header, files in sorted(groups.items()):
-        reader = spark.read.options(**options)
-        if fmt == "csv":
+        if fmt == "csv" and multi_line:
+            table = parse_records(csv_records(spark, files), [(name, "string") for name in header], ["path"])
+        elif fmt == "csv":
+            reader = spark.read.options(**_CSV | {"header": True, "multiLine": False, "enforceSchema": True})
             reader = reader.schema(StructType([StructField(name, StringType()) for name in header]))
-        table = reader.format(fmt).load(files)
+            table = reader.csv(files).withColumn("path", F.col("_metadata.file_path"))
+        else:
+            table = spark.read.format(fmt).load(files).withColumn("path", F.col("_metadata.file_path"))
+        place = F.regexp_extract("path", rf"/([^/]*{RESULT_SUFFIX}){suffix.replace('.', '[.]')}(?:/|$)", 1)
         present = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns]
         missing = F.array(*[F.lit(c) for c in columns if c not in header]).cast("array<string>")
         results.append(
             table.select(*present, missing.alias("missing_columns"), F.url_decode(place).alias("test"))
         )
+    if not results:
+        raise ValueError(f"only empty files in {folder}")
     merged = reduce(lambda a, b: a.unionByName(b), results)
     return merged.withColumn("Config", config_id("test", numbered))
 
 
-def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> CSV files; one row per file comes back."""
-    lines = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
-    )
-    first = lines.groupBy("path").agg(F.min_by("value", "place").alias("header"))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in first.collect():
-        names = next(csv.reader([row.header.removeprefix("\ufeff")]))
-        groups.setdefault(tuple(names), []).append(unquote(row.path))
-    return groups
+def _headers(spark: SparkSession, paths: Sequence[str], fmt: str) -> list[list[str] | None]:
+    """Column names of each result, several read at a time; the bytes read do not depend on the size of a result."""
+
+    def one(path: str) -> list[str] | None:
+        if fmt != "csv":
+            return spark.read.format(fmt).load(path).columns
+        line = first_line(spark, path)
+        return None if line is None else next(csv.reader([line.removeprefix("\ufeff")]))
+
+    with ThreadPoolExecutor(_HEADS) as pool:
+        return list(pool.map(one, paths))
 
 
 def experiments(spark: SparkSession, rows: Sequence[tuple[str, str, str]] = EXPERIMENTS) -> DataFrame:

@@ -4,7 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from specflow.operators import inference, judging
+from specflow.operators import inference, judging, replies
 from specflow.operators.inference import Ask, ModelCall
 
 
@@ -177,7 +177,7 @@ def test_refresh_forgets_the_store(spark, tmp_path):
     again = inference.generate_cached(df.limit(1), "prompt", call, store, refresh=True)
     assert again.count() == 1
     assert len(list(calls.iterdir())) == 3
-    assert spark.read.parquet(store).count() == 1
+    assert replies.stored(spark, store).count() == 1
 
 
 def test_failures_are_not_kept(spark, tmp_path):

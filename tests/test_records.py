@@ -1,0 +1,124 @@
+"""CSV records over lines, against Spark's own reader, which gives a file to one task."""
+
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from specflow.session import first_line
+from specflow.sources import readers
+from specflow.sources.records import csv_records
+
+WHOLE = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files of a few hundred bytes are cut into many splits."""
+    names = {"spark.sql.files.maxPartitionBytes": "97b", "spark.sql.files.openCostInBytes": "1b"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def same_rows(spark, path, schema):
+    want = sorted(spark.read.options(**WHOLE).schema(schema).csv(path).collect(), key=repr)
+    got = sorted(readers.read_csv(spark, path, schema).collect(), key=repr)
+    assert got == want
+    return got
+
+
+def quoted(cell, always):
+    return '"' + cell.replace('"', '""') + '"' if always or any(c in cell for c in '",\n\r') else cell
+
+
+CELL = st.text(st.sampled_from(list('ab," \n') + ["é", "北"]), max_size=12)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(CELL, CELL, st.booleans()), max_size=12), st.booleans(), st.sampled_from(["\n", "\r\n"]))
+def test_generated_files(spark, small_splits, tmp_path_factory, rows, ends, newline):
+    lines = ["a,b"] + [f"{quoted(x, q)},{quoted(y, q)}" for x, y, q in rows]
+    path = tmp_path_factory.mktemp("csv") / "t.csv"
+    path.write_bytes((newline.join(lines) + (newline if ends else "")).encode())
+    same_rows(spark, str(path), "a string, b string")
+
+
+def test_one_file_in_many_tasks(spark, small_splits, tmp_path):
+    chance = random.Random(4)
+    rows = [(k, "".join(chance.choice('xyz "\n,') for _ in range(chance.randint(0, 300)))) for k in range(200)]
+    path = tmp_path / "t.csv"
+    path.write_text("id,cell\n" + "".join(f"{k},{quoted(c, True)}\n" for k, c in rows))
+    got = same_rows(spark, str(path), "id int, cell string")
+    assert [(r.id, r.cell) for r in sorted(got)] == rows
+    records = csv_records(spark, str(path))
+    tasks = records.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 20
+    whole = spark.read.options(**WHOLE).schema("id int, cell string").csv(str(path))
+    assert whole.select(F.spark_partition_id()).distinct().count() == 1
+
+
+def test_a_cell_over_many_splits(spark, small_splits, tmp_path):
+    giant = "\n".join(f"line {k}, still the same cell" for k in range(60))
+    (tmp_path / "a.csv").write_text(f'id,cell\n1,"{giant}"\n2,x\n3,"{giant}')  # the last cell never ends
+    (tmp_path / "b.csv").write_text('id,cell\n4,"p\nq"\n\n5,\n6,""')
+    (tmp_path / "c.csv").write_text("id,cell\n")
+    (tmp_path / "d.csv").write_text("")
+    got = readers.read_csv(spark, str(tmp_path), "id int, cell string")
+    cells = {r.id: r.cell for r in got.collect()}
+    assert {k: v for k, v in cells.items() if k != 3} == {1: giant, 2: "x", 4: "p\nq", 5: None, 6: None}
+    assert giant in cells[3]
+    whole = spark.read.options(**WHOLE).schema("id int, cell string").csv(str(tmp_path))
+    assert {r.id: r.cell for r in whole.collect()} == cells
+
+
+def test_header_over_lines_and_odd_rows(spark, small_splits, tmp_path):
+    (tmp_path / "t.csv").write_text('id,"a\nlong\nname"\n1,2,3\n4\n\n"5",6\n')
+    same_rows(spark, str(tmp_path / "t.csv"), "id int, b int")
+
+
+def test_types_are_found(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "i,l,d,t,w,b,s,n,big\n1,3000000000,1.5,2024-01-02 03:04:05,2024-01-02,true,x,,123456789012345678901\n-2,4,2,2024-01-02 03:04:05,2024-01-03,FALSE,7,,1\n"
+    )
+    ours = readers.load(spark, csv_path=str(tmp_path / "t.csv"))
+    theirs = spark.read.options(**WHOLE).option("inferSchema", True).csv(str(tmp_path / "t.csv"))
+    assert ours.dtypes == theirs.dtypes
+    assert ours.collect() == theirs.collect()
+    (tmp_path / "e.csv").write_text("")
+    with pytest.raises(ValueError, match="header"):
+        readers.load(spark, csv_path=str(tmp_path / "e.csv"))
+
+
+def test_headers_cost_the_same_whatever_the_size(spark, tmp_path):
+    for k, rows in ((1, 10), (2, 400_000)):
+        (tmp_path / f"x_y_test{k}_judge_results.csv").write_text("us_id,judge_winner\n" + "17,A\n" * rows)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in files.getAllStatistics() if s.getScheme() == "file")
+
+    spent = []
+    for k in (1, 2):
+        before = bytes_read()
+        assert first_line(spark, str(tmp_path / f"x_y_test{k}_judge_results.csv")) == "us_id,judge_winner"
+        spent.append(bytes_read() - before)
+    assert spent[1] < 70_000 and (tmp_path / "x_y_test2_judge_results.csv").stat().st_size > 1_000_000
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    results = readers.read_judge_results(spark, str(tmp_path))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs  # no job reads the headers
+    assert {r.Config: r["count"] for r in results.groupBy("Config").count().collect()} == {"C1": 10, "C2": 400_000}
+
+
+def test_results_with_a_compressed_and_an_empty_file(spark, tmp_path):
+    spark.createDataFrame([(1, "a\nb")], "us_id int, judge_reason string").write.option("compression", "gzip").option("quote", '"').option("escape", '"').csv(
+        f"{tmp_path}/x_y_test1_judge_results.csv", header=True
+    )
+    (tmp_path / "x_y_test2_judge_results.csv").write_text("")
+    row = readers.read_judge_results(spark, str(tmp_path)).collect()
+    assert [(r.us_id, r.judge_reason, r.Config) for r in row] == [("1", "a\nb", "C1")]
