@@ -480,8 +480,9 @@ def generated_forgotten(spark, sf):
     inference.generate_cached(orders, prompt, doubles.SHORT_WRITER, store)
     replies.forget(spark, store, doubles.WRITER.identity())
     left = materialize(replies.stored(spark, store).agg(F.count(F.lit(1)).alias("left")), "replies-left")
-    first = inference.generate_cached(orders.filter("o_orderkey % 2 = 0"), prompt, doubles.WRITER, store)
-    reply = inference.generate_cached(orders, prompt, doubles.WRITER, store)
+    inference.generate_cached(orders.filter("o_orderkey % 2 = 0"), prompt, doubles.WRITER, store)
+    # written, since cleaning the store deletes what was read
+    reply = materialize(inference.generate_cached(orders, prompt, doubles.WRITER, store), "replies-asked-again")
     replies.compact(spark, store)
     replies.clean(spark, store)
     again = inference.generate_cached(reply, prompt, doubles.WRITER, store, "reused")

@@ -160,11 +160,11 @@ def generate_cached(
         replies.change(spark, store, lambda now: [*now, batch])
     if count:
         tasks = partitions or _tasks_for(spark, count, calls_per_task)
-        asked = ask_lazily(missing, [Ask("__prompt", "reply", call, "seconds", True)], tasks)
+        asked = ask_lazily(missing, [Ask("__prompt", "reply", call, "seconds", True)], tasks, "key")
         asked = asked.filter(F.col("reply").isNotNull()).select(
             "key", "reply", "seconds", F.col("reply_attempts").alias("attempts"), F.current_timestamp().alias("asked_at")
         )
-        replies.write_batch(spark, asked, batch)
+        replies.write_batch(asked, batch, count)
     if refresh:
         replies.change(spark, store, lambda now: [batch] if count else [])
     new = replies.read_batches(spark, [batch]) if count else None
@@ -190,8 +190,11 @@ def reply_key(prompt: ColumnOrName, call: ModelCall) -> Column:
     return F.sha2(F.concat(F.lit(call.identity() + "\n"), as_col(prompt)), 256)
 
 
-def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None) -> DataFrame:
-    """The unwritten plan behind ``generate``: every action on it calls the models again."""
+def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None, near: str | None = None) -> DataFrame:
+    """The unwritten plan behind ``generate``: every action on it calls the models again.
+
+    Tasks hold rows at random, or ranges of the column ``near``.
+    """
     kept = [c for c in df.columns if c not in {f.name for a in asks for f in a.fields()}]
     prompts = [f"__prompt{i}" for i in range(len(asks))]
     ready = df.select(
@@ -199,7 +202,8 @@ def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None) ->
     )
     # calls are slow and a small table may be one partition: spread the rows over all cores, so thin
     # that a lost task repeats few calls; counting needs no column of a stored table
-    ready = ready.repartition(partitions or _tasks_for(df.sparkSession, df.count()))
+    tasks = partitions or _tasks_for(df.sparkSession, df.count())
+    ready = ready.repartition(tasks) if near is None else ready.repartitionByRange(tasks, near)
     schema = t.StructType(
         [f for f in ready.schema.fields if f.name in kept]
         + [f for a in asks for f in a.fields()]

@@ -8,7 +8,8 @@ complete, by one rename that fails if the name is taken, so readers see the old
 the new one and a run that is lost leaves the old one.  Batches of other calls are not
 read at all, and of the others only the folders of wanted prefixes.
 
-A key is a hash, so its first two digits spread any set of prompts evenly.
+A key is a hash, so its first digits spread any set of prompts evenly.  How many of them
+make the prefixes of a batch depends on its size, so small batches are few files.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.session import first_line, hadoop_path, paths_like, publish_text
+from specflow.session import first_line, hadoop_path, materialize, partitions_for, paths_like, publish_text
 
 REPLY = "key string, reply string, seconds double, attempts int, asked_at timestamp"
-PREFIX_DIGITS = 2
+ROWS_PER_PREFIX = 5_000
+MOST_DIGITS = 3
 TRIES = 20
 
 
@@ -39,8 +41,13 @@ def check_store(store: str) -> str:
     return store.rstrip("/")
 
 
-def prefix_of(key: Column | str) -> Column:
-    return F.concat(F.lit("k"), F.left(key, F.lit(PREFIX_DIGITS)))
+def digits_for(rows: int) -> int:
+    """Fewest digits that leave about ``ROWS_PER_PREFIX`` rows to a prefix."""
+    return next((d for d in range(MOST_DIGITS) if rows <= ROWS_PER_PREFIX * 16**d), MOST_DIGITS)
+
+
+def prefix_of(key: Column | str, digits: int) -> Column:
+    return F.concat(F.lit("k"), F.left(key, F.lit(digits)))
 
 
 def new_batch(store: str, call: str) -> Batch:
@@ -72,13 +79,13 @@ def change(spark: SparkSession, store: str, edit: Callable[[list[Batch]], list[B
     raise RuntimeError(f"{store} changes all the time")
 
 
-def write_batch(spark: SparkSession, replies: DataFrame, batch: Batch) -> None:
-    """Write replies (``REPLY``) as a batch.
+def write_batch(replies: DataFrame, batch: Batch, rows: int) -> None:
+    """Write about ``rows`` replies (``REPLY``) as a batch; best if a task holds keys that follow each other.
 
     Files of a finished task stay even if the job fails later, so a lost run has
     to ask only what its unfinished tasks were asking.
     """
-    keyed = replies.withColumn("prefix", prefix_of("key"))
+    keyed = replies.withColumn("prefix", prefix_of("key", digits_for(rows)))
     keyed.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("prefix").parquet(batch.folder)
 
 
@@ -102,8 +109,8 @@ def known(spark: SparkSession, some: list[Batch], wanted: DataFrame) -> DataFram
     """Replies to the keys of ``wanted`` (key); only folders of their prefixes are read."""
     if not some:
         return None
-    prefixes = [r[0] for r in wanted.select(prefix_of("key")).distinct().collect()]  # at most 256
-    table = read_batches(spark, some, prefixes)
+    longest = {r[0] for r in wanted.select(prefix_of("key", MOST_DIGITS)).distinct().collect()}  # at most 16 ** MOST_DIGITS
+    table = read_batches(spark, some, sorted({p[: 1 + d] for p in longest for d in range(MOST_DIGITS + 1)}))
     return None if table is None else first_replies(table.join(wanted.select("key"), "key", "left_semi"))
 
 
@@ -143,7 +150,9 @@ def compact(spark: SparkSession, store: str) -> None:
         if table is None:
             continue
         one = new_batch(store, call)
-        write_batch(spark, first_replies(table).repartition(prefix_of("key")), one)
+        whole = materialize(first_replies(table), "compacted-replies")
+        rows = whole.count()
+        write_batch(whole.repartitionByRange(partitions_for(whole), "key"), one, rows)
         change(spark, store, lambda at, old=old, one=one: [one if b == old[0] else b for b in at if b not in old[1:]])
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,11 +12,21 @@ from specflow.sources.readers import read_judge_results
 from specflow.sources.writers import write_summary
 
 
-class Summaries(NamedTuple):
+@dataclass(frozen=True)
+class Summaries:
+    """Reports over judge results; the spread of the totals is worked out when first asked for."""
+
     criteria: DataFrame
     metrics: DataFrame
-    boxes: DataFrame
-    outliers: DataFrame
+    results: DataFrame
+
+    @cached_property
+    def boxes(self) -> DataFrame:
+        return report.box_stats(self.results, ["Config"])
+
+    @cached_property
+    def outliers(self) -> DataFrame:
+        return report.outliers(self.results, ["Config"])
 
     def write(self, folder: str, mode: str = "error") -> None:
         write_summary(self.criteria, f"{folder}/criterion_summary.csv", mode)
@@ -41,6 +52,5 @@ def evaluate_files(
     return Summaries(
         report.criterion_summary(long),
         report.aggregate_summary(long),
-        report.box_stats(results, ["Config"]),
-        report.outliers(results, ["Config"]),
+        results,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -146,10 +147,10 @@ def read_judge_results(
     A result is one experiment: a CSV file, a folder of CSV parts with one header, or
     with ``fmt="parquet"`` a folder of Parquet parts.  Results may differ in columns
     and column order, and CSV columns go by position, so the header of every result is
-    read first, and nothing else of it, and all results of one header are read
-    together.  CSV values stay text; a missing column is null and named in
-    ``missing_columns``.  Without ``multi_line`` cells may not hold line breaks, which
-    saves the passes that look for them.
+    read first, and nothing else of it; then all results are read together.  CSV values
+    stay text; a missing column is null and named in ``missing_columns``.  Without
+    ``multi_line`` cells may not hold line breaks; that saves the passes that look for
+    them, and the results of one header are one scan.
     """
     suffix = ".csv" if fmt == "csv" else ""
     paths = paths_like(spark, f"{folder}/*{RESULT_SUFFIX}{suffix}")
@@ -159,28 +160,50 @@ def read_judge_results(
     for path, header in zip(paths, _headers(spark, paths, fmt)):
         if header is not None:
             groups.setdefault(tuple(header), []).append(path)
-    results = []
-    for header, files in sorted(groups.items()):
-        if fmt == "csv" and multi_line:
-            table = parse_records(csv_records(spark, files), [(name, "string") for name in header], ["path"])
-        elif fmt == "csv":
-            reader = spark.read.options(**_CSV | {"header": True, "multiLine": False, "enforceSchema": True})
-            reader = reader.schema(StructType([StructField(name, StringType()) for name in header]))
-            table = reader.csv(files).withColumn("path", F.col("_metadata.file_path"))
-        else:
-            table = spark.read.format(fmt).load(files).withColumn("path", F.col("_metadata.file_path"))
-        place = F.regexp_extract("path", rf"/([^/]*{RESULT_SUFFIX}){suffix.replace('.', '[.]')}(?:/|$)", 1)
-        present = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns]
-        missing = F.array(*[F.lit(c) for c in columns if c not in header]).cast("array<string>")
-        results.append(
-            table.select(*present, missing.alias("missing_columns"), F.url_decode(place).alias("test"))
-        )
-    if not results:
+    if not groups:
         raise ValueError(f"only empty files in {folder}")
-    merged = reduce(lambda a, b: a.unionByName(b), results)
+    name = rf"/([^/]*{RESULT_SUFFIX}){suffix.replace('.', '[.]')}(?:/|$)"
+    if fmt == "csv" and multi_line:
+        merged = _by_position(spark, groups, columns, name)
+    else:
+        merged = reduce(DataFrame.unionByName, [_of_header(spark, files, header, columns, name, fmt) for header, files in sorted(groups.items())])
     return merged.withColumn("Config", config_id("test", numbered))
 
 
+def _of_header(
+    spark: SparkSession, files: list[str], header: Sequence[str], columns: Sequence[str], name: str, fmt: str
+) -> DataFrame:
+    """The results of one header, by Spark's own reader."""
+    reader = spark.read
+    if fmt == "csv":
+        reader = reader.options(**_CSV | {"header": True, "multiLine": False, "enforceSchema": True})
+        reader = reader.schema(StructType([StructField(c, StringType()) for c in header]))
+    table = reader.format(fmt).load(files)
+    present = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns]
+    missing = F.array(*[F.lit(c) for c in columns if c not in header]).cast("array<string>")
+    test = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), name, 1))
+    return table.select(*present, missing.alias("missing_columns"), test.alias("test"))
+
+
+def _by_position(
+    spark: SparkSession, groups: Mapping[tuple[str, ...], list[str]], columns: Sequence[str], name: str
+) -> DataFrame:
+    """All results in one reading, whatever their headers: each wanted column is taken from where its result has it."""
+    rows = []
+    for header, files in groups.items():
+        places = [header.index(c) if c in header else -1 for c in columns]
+        missing = [c for c in columns if c not in header]
+        rows += [(re.search(name, path)[1], places, missing) for path in files]
+    layouts = spark.createDataFrame(rows, "test string, places array<int>, missing_columns array<string>")
+    cells = [(f"c{k}", "string") for k in range(max(map(len, groups)))]
+    records = csv_records(spark, [path for files in groups.values() for path in files])
+    table = parse_records(records, cells, ["path"])
+    table = table.select(F.url_decode(F.regexp_extract("path", name, 1)).alias("test"), F.array(*[c for c, _ in cells]).alias("cells"))
+    placed = table.join(F.broadcast(layouts), "test")  # one row per result
+    wanted = [F.get("cells", F.get("places", F.lit(k))).alias(c) for k, c in enumerate(columns)]
+    return placed.select(*wanted, "missing_columns", "test")
+
+
 def _headers(spark: SparkSession, paths: Sequence[str], fmt: str) -> list[list[str] | None]:
     """Column names of each result, several read at a time; the bytes read do not depend on the size of a result."""
 

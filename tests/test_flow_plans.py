@@ -163,3 +163,52 @@ def test_dual_run_end_to_end(spark):
     assert all(r.total_time >= 0 and r.start_timestamp <= r.end_timestamp for r in rows)
     assert result.tasks.columns == ["us_id", "task_id", "input", "task_generator_a", "task_generator_b"]
     assert result.tasks.count() == 2 * len(rows)
+
+
+def test_a_run_is_reported_from_one_reading(spark):
+    columns_ = {f"judge_score_{s}_{c}": F.col("id").cast("int") for s in "ab" for c in (*columns.CRITERIA, "total")}
+    judged = spark.range(5).withColumns(columns_).selectExpr(
+        "*", "id AS us_id", "'story' AS input", "if(id = 4, null, 'summary: a\\nsummary: b') AS tasks_generator_a", "'summary: c' AS tasks_generator_b",
+        "if(id % 2 = 0, 'A', 'B') AS judge_winner", "1.0D AS generation_time_a", "2.0D AS generation_time_b", "3.0D AS judge_time", "6.0D AS total_time",
+    )
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    counted = judged.mapInArrow(count, judged.schema)
+    found = dual.DualResult(tasks.compare_tasks(judged), counted).report()
+    rows = [t.collect() for t in found]
+    assert read.value == 5
+    one = dual.DualResult(tasks.compare_tasks(judged), judged)
+    assert rows[0] == report.task_counts(one.tasks).collect()
+    assert rows[1] == report.wins(judged).collect()
+    assert sorted(rows[2]) == sorted(report.criterion_means(judged).collect())
+    assert rows[3] == report.run_timings(judged).collect()
+    assert [t.columns for t in found] == [
+        report.task_counts(one.tasks).columns, report.wins(judged).columns, report.criterion_means(judged).columns, report.run_timings(judged).columns,
+    ]
+
+
+def test_settings_of_rows(spark):
+    rows = [(1, 0.0, 5, 1, 0.0), (0, 2.1, 0, 0, 50.1), (None, None, None, None, None), (3, float("nan"), 1, 9, 50.0)]
+    df = spark.createDataFrame(rows, "batch_size int, temperature double, max_tokens int, workers int, threshold double")
+    named = {name: name for name in columns.SETTING_RANGES}
+    problems = [r[0] for r in df.select(columns.setting_problems(named)).collect()]
+    assert problems == [[], list(columns.SETTING_RANGES), [], ["temperature"]]
+    for row, found in zip(rows, problems):  # the same as the check of a single run
+        given = dict(zip(columns.SETTING_RANGES, row))
+        for name, value in given.items():
+            if name in found:
+                with pytest.raises(ValueError, match=name):
+                    columns.check_settings(**{name: value})
+            else:
+                columns.check_settings(**{name: value})
+    assert "Python" not in plan(df.select(columns.setting_problems(named)))
+    assert columns.refuse_settings(df.where("batch_size = 1"), named).count() == 1
+    with pytest.raises(Exception, match="out of range: temperature"):
+        columns.refuse_settings(df.where("batch_size = 3"), named).collect()
+    with pytest.raises(ValueError, match="no such settings"):
+        columns.setting_problems({"colour": "batch_size"})

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from specflow.operators import ids, joins
+from specflow.session import partitions_for
 
 
 def test_dense_id_follows_order(spark):
@@ -58,3 +59,23 @@ def test_join_generations_and_tasks(spark):
     right = spark.createDataFrame([(1, 1, "s", "B1"), (2, 1, "t", "B2")], "us_id int, task_id int, input string, task_generator_b string")
     rows = sorted(map(tuple, joins.join_tasks(left, right).collect()), key=lambda r: r[:2])
     assert rows == [(1, 1, "s", "A1", "B1"), (1, 2, "s", "A2", None), (2, 1, "t", None, "B2")]
+
+
+def test_tasks_follow_the_size_of_the_table(spark, tmp_path):
+    spark.range(2_000).selectExpr("id", "sha2(string(id), 256) AS pad").write.parquet(f"{tmp_path}/small")
+    spark.range(60_000).selectExpr("id", "sha2(string(id), 256) AS pad").write.parquet(f"{tmp_path}/large")
+    small, large = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("small", "large"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        tasks = [partitions_for(t) for t in (small, large)]
+        assert tasks[0] == spark.sparkContext.defaultParallelism < 20 < tasks[1]
+        # a join reads both sides, and no more
+        assert partitions_for(large.join(small, "id")) <= sum(tasks)
+        assert ids.order_rows(large, ["pad"]).rdd.getNumPartitions() == tasks[1]
+        numbered = ids.dense_id(large, ["pad"], "n").select("id", "n").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(map(tuple, numbered)) == sorted(map(tuple, ids.dense_id(large, ["pad"], "n").select("id", "n").collect()))
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")
+    assert partitions_for(unknown) == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -47,7 +47,9 @@ def prompts(spark, n):
     return spark.range(n).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("prompt"))
 
 
-def test_only_wanted_prefixes_of_one_call_are_read(spark, tmp_path, calls):
+def test_only_wanted_prefixes_of_one_call_are_read(spark, tmp_path, calls, monkeypatch):
+    monkeypatch.setattr(replies, "ROWS_PER_PREFIX", 2)
+    assert [replies.digits_for(n) for n in (0, 2, 3, 32, 33, 512, 513, 10**9)] == [0, 0, 1, 1, 2, 2, 3, 3]
     store = f"{tmp_path}/store"
     call, other = ModelCall(counting(calls), "m"), ModelCall(counting(calls), "other")
     inference.generate_cached(prompts(spark, 300), "prompt", call, store)
@@ -60,7 +62,7 @@ def test_only_wanted_prefixes_of_one_call_are_read(spark, tmp_path, calls):
     plan = found._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "prefix" in filters and plan.count("FileScan") >= 1
-    prefixes = {r[0] for r in wanted.select(replies.prefix_of("key")).collect()}
+    prefixes = {r[0] for r in wanted.select(replies.prefix_of("key", 2)).collect()}
     table = replies.read_batches(spark, kept, sorted(prefixes))
     read = table.select(F.col("_metadata.file_path").alias("f")).distinct().count()
     assert 0 < read < replies.read_batches(spark, kept).select(F.col("_metadata.file_path").alias("f")).distinct().count() / 10
