@@ -320,7 +320,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 9_000, **settings
     share = {q: min(1.0, max(sample / 2, sample - few) / n) for q, n in counts.items()}
     span = 1 << 30
     limit = F.when(F.col("quality") == 0, int(span * share[0])).otherwise(int(span * share[1]))
-    found = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < limit).coalesce(SUMMED).collect()  # about ``sample`` rows
+    found = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < limit).collect()  # about ``sample`` rows; the scan keeps its tasks
     found.sort(key=lambda r: (r.doc_id, r.content))
     columns = [pa.array([r[c] for r in found], pa.binary()) for c in ("content", "meta")]
     label = np.array([r.quality for r in found], int)

@@ -75,7 +75,7 @@ def test_documents_in_no_learned_language_go(spark):
         letters,
         "12 34 -- !!",
     ]
-    extra = spark.createDataFrame([(-k - 1, t, "en", "x", len(t)) for k, t in enumerate(foreign)], docs.schema)
+    extra = spark.createDataFrame([(-k - 1, t, None, "x", len(t)) for k, t in enumerate(foreign)], docs.schema)
     kept = {r.doc_id for r in langid.keep_known(docs.unionByName(extra)).select("doc_id").collect()}
     assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
 
