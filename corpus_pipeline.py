@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specflow.llm import decontaminate, langid, linededup, packing, simhash
-from specflow.session import materialize
+from specflow.session import materialize, scratch, table_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any word, and those whose words agree on no language, go."""
+    """Documents without any word, and those most of whose words no learned language knows, go."""
     return langid.keep_known(docs)
 
 
@@ -53,5 +53,7 @@ ORACLE_SQL = None  # a learned model and edit distances: tested against a plain
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = table_path(spark, f"stage-{name}")
+        with scratch(spark):  # what a stage writes besides its result goes with it
+            docs = materialize(stage(spark, docs, sf_dir), name, path)
     return docs
