@@ -9,7 +9,7 @@ Stored with every row are its norm and its angles to a few reference directions.
 By the triangle inequality the angle between an anchor and a row is at least the
 difference of their angles to any reference and at most their sum, so it lies in an
 interval, its cosine in one too, and times both norms that bounds the score (with a
-margin above all rounding).  Rows are stored by label, nearest reference and angle;
+margin above all rounding).  Rows are stored by label, nearest reference and angle to it;
 ``WINDOW`` neighbours of that order share the hull of their angles and norms.  Only
 windows whose score bounds overlap what an anchor still looks for (its best scores
 so far; the range of a positive) get integer scoring.  The result does not depend on
@@ -47,7 +47,7 @@ WINDOW = 64
 AT_ONCE = 300_000  # candidates held before they are reduced to the best
 SEEDS = 512
 EXACT = float(1 << 53)
-MEMBER = "vec_id long, label int, length int, norm double, vector binary, angles binary, near int"
+MEMBER = "vec_id long, label int, length int, norm double, vector binary, angles binary, near int, angle double"
 
 
 def _integers(x: np.ndarray) -> np.ndarray | None:
@@ -122,12 +122,12 @@ def index_rows(vectors: DataFrame, *, every: tuple[int, int] | None = None, labe
                 raw = [(r.astype("<i4") if s else r.astype("<f8")).tobytes() for r, s in zip(x, small)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(vec_ids, pa.int64()), pa.array(own, pa.int32()), pa.array([length] * len(own), pa.int32()), pa.array(_norms(x)),
-                     pa.array(raw, pa.binary()), pa.array([a.astype("<f8").tobytes() for a in angles], pa.binary()), pa.array(angles.argmin(axis=1), pa.int32())],
-                    names=["vec_id", "label", "length", "norm", "vector", "angles", "near"],
+                     pa.array(raw, pa.binary()), pa.array([a.astype("<f8").tobytes() for a in angles], pa.binary()), pa.array(angles.argmin(axis=1), pa.int32()), pa.array(angles.min(axis=1))],
+                    names=["vec_id", "label", "length", "norm", "vector", "angles", "near", "angle"],
                 )
 
     members = rows.mapInArrow(measure, MEMBER)
-    order = ["length", "label", "near", "norm", "vec_id"]
+    order = ["length", "label", "near", "angle", "vec_id"]
     return materialize(members.repartitionByRange(partitions_for(vectors), *order).sortWithinPartitions(*order), "angular-index")
 
 
