@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-PIECE = "text string, kind int, header boolean, path string, start long"
+PIECE = "text string, kind int, header boolean, mark long"
 WHOLE, BEGIN, MIDDLE, END = range(4)
 
 
@@ -32,14 +32,18 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     splits = lines.groupBy("path", "start").agg((F.sum(quotes) % 2).alias("odd"))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    inside = (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("inside")
-    borders = splits.select("path", "start", inside)  # one row per split
+    inside = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
+    # all a task needs to know of a split in one number: 62 bits name it, one says that a cell is
+    # open at its start, one that it begins the file
+    name = F.xxhash64("path", "start").bitwiseAND(F.lit(-4).cast("long"))
+    mark = name + inside * 2 + (F.col("start") == 0).cast("long")
+    borders = splits.select("path", "start", mark.alias("mark"))  # one row per split
     # a join that keeps the order of the lines; both scans must have cut the files alike
-    known = lines.join(F.broadcast(borders), ["path", "start"], "left").withColumn(
-        "inside", F.when(F.col("inside").isNull(), F.raise_error(F.lit("the files were split in another way: read them again"))).otherwise(F.col("inside"))
-    )
-    found = known.select("value", "path", "start", "inside").mapInArrow(_assemble, PIECE)
-    whole = found.where(F.col("kind") == WHOLE).select("text", "path", "header")
+    known = lines.join(F.broadcast(borders), ["path", "start"], "left")
+    unknown = F.raise_error(F.lit("the files were split in another way: read them again")).cast("long")
+    found = known.select("value", F.coalesce("mark", unknown).alias("mark")).mapInArrow(_assemble, PIECE)
+    found = found.join(F.broadcast(borders), "mark").where("NOT (header AND kind = 0)")
+    whole = found.where(F.col("kind") == WHOLE).select("text", "path")
     pieces = found.where(F.col("kind") != WHOLE)
     in_file = Window.partitionBy("path").orderBy("start", F.col("kind") == BEGIN)  # an end comes before the next begin
     numbered = pieces.withColumn("record", F.count_if(F.col("kind") == BEGIN).over(in_file))
@@ -47,7 +51,7 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     joined = numbered.groupBy("path", "record").agg(
         F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text"), F.bool_or("header").alias("header")
     )
-    records = whole.unionByName(joined.select("text", "path", "header")).where("NOT header")
+    records = whole.unionByName(joined.where("NOT header").select("text", "path"))
     return records.select(_without_return("text").alias("text"), "path").where("text <> ''")
 
 
@@ -59,33 +63,31 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines in their order -> whole records, and the pieces of records that cross a split."""
     split, held, inside, kind, header = None, [], False, BEGIN, False
 
-    def out(texts: pa.Array, kind: int, path: str, start: int, header: bool = False) -> pa.RecordBatch:
+    def out(texts: pa.Array, kind: int, header: bool = False) -> pa.RecordBatch:
         n = len(texts)
         first = np.zeros(n, bool)
         first[:1] = header
-        columns = [texts, pa.repeat(pa.scalar(kind, pa.int32()), n), pa.array(first), pa.repeat(path, n), pa.repeat(pa.scalar(start, pa.int64()), n)]
-        return pa.RecordBatch.from_arrays(columns, names=["text", "kind", "header", "path", "start"])
+        columns = [texts, pa.repeat(pa.scalar(kind, pa.int32()), n), pa.array(first), pa.repeat(pa.scalar(split, pa.int64()), n)]
+        return pa.RecordBatch.from_arrays(columns, names=["text", "kind", "header", "mark"])
 
     def joined(lines: list[pa.Array]) -> pa.Array:
         return pa.array(["\n".join(x for part in lines for x in part.to_pylist())], pa.string())
 
     def rest():  # what a split ends with belongs to a record that goes on
         if held:
-            yield out(joined(held), kind, *split, header)
+            yield out(joined(held), kind, header)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        path, start = batch.column(1), batch.column(2).to_numpy()
-        new = np.ones(batch.num_rows, bool)
-        new[1:] = (start[1:] != start[:-1]) | pc.not_equal(path[1:], path[:-1]).to_numpy(zero_copy_only=False)
-        begins = np.flatnonzero(new)
+        marks = batch.column(1).to_numpy()
+        begins = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]]))
         for a, b in zip(begins, [*begins[1:], batch.num_rows]):
-            here = (path[a].as_py(), int(start[a]))
-            if here != split:
+            if marks[a] != split:
                 yield from rest()
-                split, held, inside = here, [], batch.column(3)[a].as_py()
-                kind, header = MIDDLE if inside else BEGIN, here[1] == 0
+                split, held = int(marks[a]), []
+                inside, header = bool(split & 2), bool(split & 1)
+                kind = MIDDLE if inside else BEGIN
             lines = batch.column(0)[a:b]
             odd = pc.count_substring(lines, '"').to_numpy(zero_copy_only=False) % 2
             after = (int(inside) + np.cumsum(odd)) % 2
@@ -94,10 +96,10 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(ends):
                 held.append(lines)
                 continue
-            yield out(joined([*held, lines[: ends[0]]]), END if kind == MIDDLE else WHOLE, *split, header)
+            yield out(joined([*held, lines[: ends[0]]]), END if kind == MIDDLE else WHOLE, header)
             if len(ends) > 1:
                 grouped = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), lines)
-                yield out(pc.binary_join(grouped, "\n"), WHOLE, *split)
+                yield out(pc.binary_join(grouped, "\n"), WHOLE)
             held = [lines[ends[-1] :]] if ends[-1] < len(lines) else []
             kind, header = BEGIN, False
     yield from rest()
