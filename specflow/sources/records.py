@@ -31,20 +31,26 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(paths).select("value", *[c.alias(n) for n, c in place.items()])
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     splits = lines.groupBy("path", "start").agg((F.sum(quotes) % 2).alias("odd"))
-    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("path").orderBy("start")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
     # all a task needs to know of a split in one number: 62 bits name it, one says that a cell is
     # open at its start, one that it begins the file
     name = F.xxhash64("path", "start").bitwiseAND(F.lit(-4).cast("long"))
     mark = name + inside * 2 + (F.col("start") == 0).cast("long")
-    borders = splits.select("path", "start", mark.alias("mark"))  # one row per split
+    borders = splits.select("path", "start", mark.alias("mark"), (inside == 1).alias("inside"))  # one row per split
+    borders = borders.withColumn("crossed", F.col("inside") | F.coalesce(F.lead("inside").over(in_order), F.lit(True)))
     # a join that keeps the order of the lines; both scans must have cut the files alike
     known = lines.join(F.broadcast(borders), ["path", "start"], "left")
     unknown = F.raise_error(F.lit("the files were split in another way: read them again")).cast("long")
-    found = known.select("value", F.coalesce("mark", unknown).alias("mark")).mapInArrow(_assemble, PIECE)
-    found = found.join(F.broadcast(borders), "mark").where("NOT (header AND kind = 0)")
-    whole = found.where(F.col("kind") == WHOLE).select("text", "path")
-    pieces = found.where(F.col("kind") != WHOLE)
+    known = known.select("value", F.coalesce("mark", unknown).alias("mark"), "crossed")
+
+    def assembled(lines: DataFrame) -> DataFrame:
+        return lines.select("value", "mark").mapInArrow(_assemble, PIECE).join(F.broadcast(borders), "mark")
+
+    whole = assembled(known).where((F.col("kind") == WHOLE) & ~F.col("header")).select("text", "path")
+    # only splits with a cell open at one of their ends (or a file's end) hold pieces
+    pieces = assembled(known.where("crossed")).where(F.col("kind") != WHOLE)
     in_file = Window.partitionBy("path").orderBy("start", F.col("kind") == BEGIN)  # an end comes before the next begin
     numbered = pieces.withColumn("record", F.count_if(F.col("kind") == BEGIN).over(in_file))
     parts = F.array_sort(F.collect_list(F.struct("start", F.col("kind") != BEGIN, "text")))
