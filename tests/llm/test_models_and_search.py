@@ -180,7 +180,36 @@ def test_token_counts(spark, odd_documents, no_documents):
 def test_trie_forgets_without_changing_counts():
     pieces = unigram.load_scores(unigram.DEFAULT_VOCABULARY)
     texts = ["the then they there", "other others", "the then"]
-    assert unigram.Trie(pieces, most_nodes=3).count_texts(texts) == unigram.Trie(pieces).count_texts(texts)
+    small, large = unigram.Trie(pieces, most_nodes=3), unigram.Trie(pieces)
+    assert list(map(small.count_text, texts)) == list(map(large.count_text, texts))
+
+
+def test_endless_words_equal_the_plain_segmentation():
+    pieces = unigram.load_scores(unigram.DEFAULT_VOCABULARY)
+    start = "".join(f"thequick{i * i}bröwn漢字" for i in range(60))
+    words = [start[:255], start[:256], start[:257], start[:511], start[:512], start[:513], start + "s", start + "ed", start]
+    trie = unigram.Trie(pieces)
+    for word in words:
+        n, tokens, score = trie.count_text(word)
+        weight, fewest = plain_segments(word, pieces)
+        assert (n, tokens) == (1, fewest) and math.isclose(score, weight)
+    shared = len(trie.runs)
+    assert trie.count_text(start + " " + start)[:2] == (2, 2 * plain_segments(start, pieces)[1])
+    assert len(trie.runs) == shared  # nothing is scored twice
+
+
+def test_trie_of_a_long_text_stays_small(monkeypatch):
+    pieces = unigram.load_scores(unigram.DEFAULT_VOCABULARY)
+    whole = unigram.Trie(pieces)
+    trie = unigram.Trie(pieces)
+    trie.count_text("ab" * 100_000)
+    assert len(trie.score) < 2 + unigram.DENSE + 200_000 / unigram.RUN
+    text = " ".join(f"w{i}\u2003x{i * 7919}" for i in range(3000))
+    want = whole.count_text(text)
+    monkeypatch.setattr(unigram.portions, "__defaults__", (1000,))
+    trie = unigram.Trie(pieces, most_nodes=500)
+    assert trie.count_text(text) == want and len(trie.score) < 2500
+    assert [w for p in unigram.portions(text) for w in p.split()] == text.split()
 
 
 def nearest(passage, text):
