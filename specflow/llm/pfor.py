@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from specflow.llm.tokens import DEFAULT_TOKENIZER, encoder
 from specflow.llm.worker import bounded_slices
+from specflow.session import partitions_for
 
 BLOCK = 256
 MAGIC = b"PFR1"
@@ -200,7 +201,7 @@ def write_token_blocks(
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "tie")
+        .repartitionByRange(partitions_for(docs), "doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
         .drop("tie")
     )
