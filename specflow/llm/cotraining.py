@@ -43,6 +43,7 @@ META = 256
 BINS = 6000
 SURE = 2779  # the last bin below a probability of 0.1
 STEPS, LAST_STEPS = 3, 6  # Newton steps of a round, each one pass over the pool
+PARTIAL = 4096  # most partial sums of one pass, each of 2.7 MB
 SUMMED = 16  # partial sums that reach the driver
 WORD = re.compile(r"\S+")
 SCORED = "doc_id long, content_score double, metadata_score double, score double, good boolean"
@@ -275,7 +276,10 @@ def _summed(batches):
 
 
 def _pool_of(table: DataFrame):
-    """``pool`` of ``co_train`` over stored features: sums per task, added up in ``SUMMED`` tasks, then here."""
+    """``pool`` of ``co_train`` over stored features: sums per task, added up in ``SUMMED`` tasks, then here.
+
+    At most ``PARTIAL`` tasks, so a pass shuffles no more than 11 GB however large the table.
+    """
 
     def pool(what, history, models):
         def partial(batches):
@@ -287,7 +291,7 @@ def _pool_of(table: DataFrame):
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-        sums = table.mapInArrow(partial, "sums binary").repartition(SUMMED).mapInArrow(_summed, "sums binary").collect()
+        sums = table.coalesce(PARTIAL).mapInArrow(partial, "sums binary").repartition(SUMMED).mapInArrow(_summed, "sums binary").collect()
         empty = [np.zeros((0, HASHED + SHAPES), np.float32), np.zeros((0, META + 1), np.float32)]
         nothing = what(empty, history, models).astype(float)
         return sum((np.frombuffer(r.sums, float).reshape(nothing.shape) for r in sums), nothing)
