@@ -43,7 +43,7 @@ META = 256
 BINS = 6000
 SURE = 2779  # the last bin below a probability of 0.1
 STEPS, LAST_STEPS = 3, 6  # Newton steps of a round, each one pass over the pool
-PARTIAL = 4096  # most partial sums of one pass, each of 2.7 MB
+PARTIAL = 4096  # most partial sums of one pass, each of 1.4 MB
 SUMMED = 16  # partial sums that reach the driver
 WORD = re.compile(r"\S+")
 SCORED = "doc_id long, content_score double, metadata_score double, score double, good boolean"
@@ -140,13 +140,13 @@ def pool_counts(views: list[np.ndarray], history: list, models: list) -> np.ndar
 
 
 def pool_sums(views: list[np.ndarray], history: list, models: list) -> np.ndarray:
-    """Rows, gradient and Hessian of each view's labelled pool rows, end to end."""
+    """Rows, gradient and upper half of the Hessian of each view's labelled pool rows, end to end."""
     out = []
     for view, y, w in zip(views, given(views, history)[0], models):
         x, y = np.hstack([view[y >= 0], np.ones((int((y >= 0).sum()), 1), np.float32)]).astype(np.float32), y[y >= 0]
         p = _sigmoid(x @ w)
         curve = (x * (p * (1 - p))[:, None].astype(np.float32)).T @ x
-        out += [[len(y)], x.T @ (p - y), curve.ravel()]
+        out += [[len(y)], x.T @ (p - y), curve[np.triu_indices(len(w))]]
     return np.concatenate(out).astype(float)
 
 
@@ -208,8 +208,11 @@ def co_train(
             new, largest = [], 0.0
             for v, w in zip(views, models):
                 m = len(w)
-                n, grad, curve = sums[0], sums[1 : m + 1], sums[m + 1 : m + 1 + m * m].reshape(m, m)
-                sums = sums[m + 1 + m * m :]
+                half = m * (m + 1) // 2
+                n, grad, curve = sums[0], sums[1 : m + 1], np.zeros((m, m))
+                curve[np.triu_indices(m)] = sums[m + 1 : m + 1 + half]
+                curve += np.triu(curve, 1).T
+                sums = sums[m + 1 + half :]
                 step = _refit(v[train], y, weight[train], w, n, grad, curve)
                 new.append(w - step)
                 largest = max(largest, float(np.abs(step).max()))
@@ -278,7 +281,7 @@ def _summed(batches):
 def _pool_of(table: DataFrame):
     """``pool`` of ``co_train`` over stored features: sums per task, added up in ``SUMMED`` tasks, then here.
 
-    At most ``PARTIAL`` tasks, so a pass shuffles no more than 11 GB however large the table.
+    At most ``PARTIAL`` tasks, so a pass shuffles no more than 6 GB however large the table.
     """
 
     def pool(what, history, models):
