@@ -135,8 +135,8 @@ def generate_cached(
     it.  Failed calls are not kept.  Of the store only replies to this call are read,
     and only the folders that wanted keys belong to.
 
-    A task makes at most ``calls_per_task`` calls (unless ``partitions`` says
-    otherwise) and its replies are in the store once it ends, so a lost task repeats
+    A task makes ``calls_per_task`` calls or fewer on average (unless ``partitions`` says
+    otherwise; keys are hashes, so tasks differ little) and its replies are in the store once it ends, so a lost task repeats
     its own calls and a run started again after a failure asks only what is missing.
     ``refresh`` asks all prompts anew; the store forgets what it had, of every call,
     when the new replies are complete.  ``df`` is read more than once; write it first
@@ -193,7 +193,8 @@ def reply_key(prompt: ColumnOrName, call: ModelCall) -> Column:
 def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None, near: str | None = None) -> DataFrame:
     """The unwritten plan behind ``generate``: every action on it calls the models again.
 
-    Tasks hold rows at random, or ranges of the column ``near``.
+    Tasks hold rows at random, or equal ranges of ``near``, a column of hashes in hexadecimal.
+    Hashes are spread evenly, so no borders have to be sampled through the driver.
     """
     kept = [c for c in df.columns if c not in {f.name for a in asks for f in a.fields()}]
     prompts = [f"__prompt{i}" for i in range(len(asks))]
@@ -203,7 +204,7 @@ def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None, ne
     # calls are slow and a small table may be one partition: spread the rows over all cores, so thin
     # that a lost task repeats few calls; counting needs no column of a stored table
     tasks = partitions or _tasks_for(df.sparkSession, df.count())
-    ready = ready.repartition(tasks) if near is None else ready.repartitionByRange(tasks, near)
+    ready = ready.repartition(tasks) if near is None else ready.repartitionById(tasks, _range_of(near, tasks))
     schema = t.StructType(
         [f for f in ready.schema.fields if f.name in kept]
         + [f for a in asks for f in a.fields()]
@@ -211,6 +212,11 @@ def ask_lazily(df: DataFrame, asks: list[Ask], partitions: int | None = None, ne
     return ready.mapInArrow(_task(asks, len(kept), schema.names), schema)
 
 
+def _range_of(hashed: str, ranges: int) -> Column:
+    """Which of so many equal ranges a hash in hexadecimal falls in, from its first eight digits."""
+    return F.floor(F.conv(F.left(hashed, F.lit(8)), 16, 10).cast("long") * ranges / F.lit(1 << 32)).cast("int")
+
+
 def _task(asks: list[Ask], kept: int, names: list[str]):
     shapes = [(a.call, a.time_column is not None, a.details) for a in asks]
 

@@ -134,6 +134,20 @@ def test_tasks_are_bounded(spark, calls):
         inference.generate_cached(prompts(spark, 3), "prompt", call, "/tmp/never", calls_per_task=0)
 
 
+def test_tasks_of_new_replies_are_ranges_of_keys_without_a_sample(spark, calls):
+    call = ModelCall(counting(calls), "m")
+    keyed = prompts(spark, 2000).withColumn("key", inference.reply_key("prompt", call))
+    asked = inference.ask_lazily(keyed, [inference.Ask("prompt", "out", call)], 40, "key")
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    # borders of ranges would be found in a sample of all keys that the driver gathers
+    assert "rangepartitioning" not in asked._jdf.queryExecution().executedPlan().toString()
+    assert "RepartitionByExpression" in plan
+    parts = asked.groupBy(F.spark_partition_id().alias("part")).agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"))
+    parts = parts.orderBy("part").collect()
+    assert [p.part for p in parts] == list(range(40)) and sum(p.n for p in parts) == 2000
+    assert all(a.high < b.low for a, b in zip(parts, parts[1:])) and max(p.n for p in parts) < 90
+
+
 def test_compaction_keeps_every_reply_once(spark, tmp_path, calls):
     store = f"{tmp_path}/store"
     call, other = ModelCall(counting(calls), "m"), ModelCall(counting(calls), "other")
