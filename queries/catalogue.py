@@ -635,9 +635,9 @@ def run_timings(spark, sf):
 def _result_files(spark, sf) -> str:
     """One result per priority, as a run of the two-generator job would leave them."""
     folder = table_path(spark, "result-files")
-    scored = materialize(_pairs(spark, sf), "scored")
+    scored = materialize(_pairs(spark, sf).drop("raw"), "scored")
     for priority in scored.select(F.col("config").alias("p")).distinct().collect():
-        kept = scored.filter(F.col("config") == priority.p).drop("raw", "config")
+        kept = scored.filter(F.col("config") == priority.p).drop("config")
         if priority.p.startswith("2"):
             kept = kept.drop("judge_score_b_format")
         if priority.p.startswith("3"):

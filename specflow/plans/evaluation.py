@@ -8,18 +8,34 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from specflow.operators import judging, report
+from specflow.session import materialize
 from specflow.sources.readers import read_judge_results
 from specflow.sources.writers import write_summary
 
 
 @dataclass(frozen=True)
 class Summaries:
-    """Reports over judge results; the spread of the totals is worked out when first asked for."""
+    """Reports over judge results; the spread of the totals is worked out when first asked for.
 
-    criteria: DataFrame
-    metrics: DataFrame
+    ``consolidated`` is written when a summary is first asked for, a few rows per file, so
+    the results are read once for all summaries.
+    """
+
+    consolidated: DataFrame
     results: DataFrame
 
+    @cached_property
+    def _stored(self) -> DataFrame:
+        return materialize(self.consolidated, "consolidated")
+
+    @cached_property
+    def criteria(self) -> DataFrame:
+        return report.criterion_summary(self._stored)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return report.aggregate_summary(self._stored)
+
     @cached_property
     def boxes(self) -> DataFrame:
         return report.box_stats(self.results, ["Config"])
@@ -49,8 +65,4 @@ def evaluate_files(
     """Every result file of a folder -> the two summaries, two rows per file, and the spread of the totals."""
     results = read_judge_results(spark, folder, numbered=numbered, fmt=fmt, multi_line=multi_line)
     long = report.consolidate(results, threshold=threshold, by=["test"])
-    return Summaries(
-        report.criterion_summary(long),
-        report.aggregate_summary(long),
-        results,
-    )
+    return Summaries(long, results)

@@ -38,8 +38,8 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     # open at its start, one that it begins the file
     name = F.xxhash64("path", "start").bitwiseAND(F.lit(-4).cast("long"))
     mark = name + inside * 2 + (F.col("start") == 0).cast("long")
-    borders = splits.select("path", "start", mark.alias("mark"), (inside == 1).alias("inside"))  # one row per split
-    borders = borders.withColumn("crossed", F.col("inside") | F.coalesce(F.lead("inside").over(in_order), F.lit(True)))
+    crossed = (inside == 1) | ((inside + F.col("odd")) % 2 == 1)
+    borders = splits.select("path", "start", mark.alias("mark"), crossed.alias("crossed"))  # one row per split
     # a join that keeps the order of the lines; both scans must have cut the files alike
     known = lines.join(F.broadcast(borders), ["path", "start"], "left")
     unknown = F.raise_error(F.lit("the files were split in another way: read them again")).cast("long")
@@ -49,7 +49,7 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         return lines.select("value", "mark").mapInArrow(_assemble, PIECE).join(F.broadcast(borders), "mark")
 
     whole = assembled(known).where((F.col("kind") == WHOLE) & ~F.col("header")).select("text", "path")
-    # only splits with a cell open at one of their ends (or a file's end) hold pieces
+    # only splits with a cell open at one of their ends hold pieces
     pieces = assembled(known.where("crossed")).where(F.col("kind") != WHOLE)
     in_file = Window.partitionBy("path").orderBy("start", F.col("kind") == BEGIN)  # an end comes before the next begin
     numbered = pieces.withColumn("record", F.count_if(F.col("kind") == BEGIN).over(in_file))

@@ -122,3 +122,25 @@ def test_results_with_a_compressed_and_an_empty_file(spark, tmp_path):
     (tmp_path / "x_y_test2_judge_results.csv").write_text("")
     row = readers.read_judge_results(spark, str(tmp_path)).collect()
     assert [(r.us_id, r.judge_reason, r.Config) for r in row] == [("1", "a\nb", "C1")]
+
+
+def test_files_without_line_breaks_in_cells_hold_no_pieces(spark, tmp_path, monkeypatch):
+    from specflow.sources import records
+
+    for k in range(4):  # as a folder of small parts: every split is the last one of its file
+        (tmp_path / f"part-{k}.csv").write_text('id,cell\n' + "".join(f'{k}{i},"a, b"\n' for i in range(50)))
+    (tmp_path / "part-4.csv").write_text('id,cell\n4,"two\nlines"\n')
+    read = spark.sparkContext.accumulator(0)
+    plain = records._assemble
+
+    def counting(batches):
+        def seen():
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        yield from plain(seen())
+
+    monkeypatch.setattr(records, "_assemble", counting)
+    assert csv_records(spark, str(tmp_path)).count() == 201
+    assert read.value == 4 * 51 + 3  # each line once, not again in search of pieces

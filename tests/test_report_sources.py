@@ -198,6 +198,25 @@ def test_result_files_of_all_shapes(spark, tmp_path):
     assert [(r.Config, r.Gen) for r in written.collect()] == [(c, g) for c in ("C1", "C2", "C3") for g in ("G1", "G2")]
 
 
+def test_results_are_read_once_for_both_summaries(spark, tmp_path, monkeypatch):
+    writers.write_judge_results(result_rows(spark, 8), str(tmp_path), "run_dual_test1", "csv")
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def counted(*args, **kwargs):
+        results = readers.read_judge_results(*args, **kwargs)
+        return results.mapInArrow(count, results.schema)
+
+    monkeypatch.setattr(evaluation, "read_judge_results", counted)
+    evaluation.evaluate_files(spark, str(tmp_path)).write(f"{tmp_path}/out")
+    assert read.value == 3
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out/criterion_summary.csv").count() == 2
+
+
 def test_results_as_parquet(spark, tmp_path):
     writers.write_judge_results(result_rows(spark, 8), str(tmp_path), "run_dual_test1")
     results = readers.read_judge_results(spark, str(tmp_path), fmt="parquet")
