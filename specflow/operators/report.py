@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specflow.functions.common import require_columns
@@ -23,6 +23,8 @@ from specflow.session import materialize
 
 SIDES = {"G1": "a", "G2": "b"}
 WINNERS = {"G1": "A", "G2": "B"}
+_ACCURACY = 10_000  # of the sketch of totals: ranks are off by at most one in so many
+_BAND = 2 / _ACCURACY  # how far from a quantile, in shares of the rows, the sketch is asked on both sides
 
 
 def _percent(condition: Column, present: Column | None = None) -> Column:
@@ -202,19 +204,11 @@ def score_counts(df: DataFrame, by: Sequence[str] = (), prefix: str = "judge_")
     many rows were judged, fractional ones a row each; distributions are read off it.
     Totals read as text (from result files) are taken as numbers first.
     """
-    sides = F.array(
-        *[
-            F.struct(F.lit(gen).alias("Gen"), F.col(f"{prefix}score_{side}_total").alias("value"))
-            for gen, side in SIDES.items()
-        ]
-    )
-    totals = [f"{prefix}score_a_total", f"{prefix}score_b_total"]
-    texts = [f.name for f in df.schema.fields if f.name in totals and f.dataType.typeName() == "string"]
     counted = (
-        coerce_numbers(df, texts)
-        .groupBy(*by, *totals)
+        _numeric_totals(df, by, prefix)
+        .groupBy(*by, *_totals(prefix))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(*by, "n", F.inline(sides))
+        .select(*by, "n", F.inline(_sides(prefix)))
     )
     return (
         counted.filter(F.col("value").isNotNull())
@@ -223,6 +217,22 @@ def score_counts(df: DataFrame, by: Sequence[str] = (), prefix: str = "judge_")
     )
 
 
+def _totals(prefix: str) -> list[str]:
+    return [f"{prefix}score_{side}_total" for side in SIDES.values()]
+
+
+def _numeric_totals(df: DataFrame, by: Sequence[str], prefix: str) -> DataFrame:
+    """Group and totals of the judged rows, totals read as text (from result files) as numbers."""
+    texts = [f.name for f in df.schema.fields if f.name in _totals(prefix) and f.dataType.typeName() == "string"]
+    return coerce_numbers(df, texts).select(*by, *_totals(prefix))
+
+
+def _sides(prefix: str) -> Column:
+    return F.array(
+        *[F.struct(F.lit(gen).alias("Gen"), F.col(total).alias("value")) for gen, total in zip(SIDES, _totals(prefix))]
+    )
+
+
 def box_stats(
     df: DataFrame, by: Sequence[str] = (), prefix: str = "judge_", reach: float = 1.5
 ) -> DataFrame:
@@ -236,10 +246,10 @@ def box_stats(
     keys = [*by, "Gen"]
     boxes = _with_box(df, by, prefix, reach).groupBy(*keys, "q1", "median", "q3")
     summed = boxes.agg(
-        F.sum("n").alias("rows"),
+        F.count(F.lit(1)).alias("rows"),
         F.min(F.when(value >= F.col("low"), value)).alias("lowest"),
         F.max(F.when(value <= F.col("high"), value)).alias("highest"),
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+        F.sum(F.when(inside, 0).otherwise(1)).alias("outliers"),
     )
     figures = summed.select(
         *keys,
@@ -259,7 +269,8 @@ def outliers(
 ) -> DataFrame:
     """Totals outside the whiskers with their frequency."""
     outside = ~F.col("value").between(F.col("low"), F.col("high"))
-    return _with_box(df, by, prefix, reach).filter(outside).select(*by, "Gen", "value", "n")
+    far = _with_box(df, by, prefix, reach).filter(outside)
+    return far.groupBy(*by, "Gen", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quantiles(
@@ -272,7 +283,10 @@ def quantiles(
     aggregates that combine before they move, so no task gathers a group's values.
     """
     sizes = counted.groupBy(*keys).agg(F.sum(n).alias("__size"))
-    sized = _on_keys(counted, sizes, keys)
+    return _read_off(_on_keys(counted, sizes, keys), keys, shares, value, n)
+
+
+def _read_off(sized: DataFrame, keys: Sequence[str], shares: Mapping[str, float], value: str, n: str) -> DataFrame:
     held = []
     for name, share in shares.items():
         place = F.lit(share) * (F.col("__size") - 1)
@@ -303,16 +317,46 @@ def _on_keys(rows: DataFrame, figures: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def _with_box(df: DataFrame, by: Sequence[str], prefix: str, reach: float) -> DataFrame:
-    """The counted totals with the quartiles of their group; the judged rows are read once.
+    """Every total with the quartiles of its group; the judged rows are read once.
 
-    The counted totals are stored with their ranks.  Quartiles are read off the rows
-    that hold them and written too, one row per group and generator.
+    The totals are stored as they are, neither moved nor sorted.  Quartiles, one row per
+    group and generator, are stored too.
     """
     keys = [*by, "Gen"]
-    counted = ranked(materialize(score_counts(df, by, prefix), "score-counts"), keys)
-    box = materialize(quantiles(counted, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}), "quartiles")
+    stored = materialize(_numeric_totals(df, by, prefix), "totals")
+    rows = stored.select(*by, F.inline(_sides(prefix))).filter(F.col("value").isNotNull())
+    box = materialize(select_quantiles(rows, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}), "quartiles")
     width = reach * (F.col("q3") - F.col("q1"))
-    return _on_keys(counted.drop("__before"), box.withColumns({"low": F.col("q1") - width, "high": F.col("q3") + width}), keys)
+    return _on_keys(rows, box.withColumns({"low": F.col("q1") - width, "high": F.col("q3") + width}), keys)
+
+
+def select_quantiles(rows: DataFrame, keys: Sequence[str], shares: Mapping[str, float], value: str = "value") -> DataFrame:
+    """Per group the exact interpolated quantiles of ``value`` (not null), by narrowing down instead of sorting.
+
+    A sketch names values a little below and above each quantile.  They cut a group into
+    bands, the values themselves being bands of their own; every band's rows are counted,
+    and only those that hold a wanted rank are sorted.  The counts are exact, so a poor sketch
+    would only leave more rows to sort.  ``rows`` is read three times: store it first.
+    """
+    near = sorted({max(0.0, min(1.0, share + d)) for share in shares.values() for d in (-_BAND, _BAND)})
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx(value, near, _ACCURACY).alias("__cuts"))
+    banded = _on_keys(rows, materialize(sketch, "cuts"), keys)
+    cuts = [F.get("__cuts", F.lit(k)) for k in range(len(near))]
+    band = reduce(add, [(F.col(value) >= c).cast("int") + (F.col(value) > c).cast("int") for c in cuts])
+    banded = banded.select(*keys, value, band.alias("__band"))
+    counts = materialize(banded.groupBy(*keys, "__band").agg(F.count(F.lit(1)).alias("__rows")), "bands")
+    whole, below = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("__band")
+    counts = counts.withColumns(
+        {"__size": F.sum("__rows").over(whole), "__below": F.sum("__rows").over(below) - F.col("__rows")}
+    )
+    places = [F.lit(share) * (F.col("__size") - 1) for share in shares.values()]
+    ranks = [end(place) for place in places for end in (F.floor, F.ceil)]
+    wanted = reduce(or_, [(F.col("__below") <= r) & (r < F.col("__below") + F.col("__rows")) for r in ranks])
+    held = counts.filter(wanted).drop("__rows")
+    few = _on_keys(banded, held, [*keys, "__band"])
+    counted = few.groupBy(*keys, "__band", "__size", "__below", value).agg(F.count(F.lit(1)).alias("n"))
+    placed = ranked(materialize(counted, "near-quantiles"), [*keys, "__band"], value)
+    return _read_off(placed.withColumn("__before", F.col("__before") + F.col("__below")), keys, shares, value, "n")
 
 
 def _grouped(df: DataFrame, by: Sequence[str], prefix: str, exclude_failed: bool):

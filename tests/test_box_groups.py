@@ -3,6 +3,8 @@
 import statistics
 from functools import reduce
 
+import pytest
+from pyspark.sql import functions as F
 
 from specflow.operators import report
 
@@ -76,3 +78,33 @@ def test_judged_rows_are_read_once(spark, tmp_path):
     report.box_stats(counted, ["Config"]).collect()
     assert read.value == 500
     assert reduce(max, [r.rows for r in report.box_stats(df, ["Config"]).collect()]) == 500
+
+
+def test_only_totals_near_a_quartile_are_sorted(spark, monkeypatch):
+    # 200,000 different totals, a third of the rows equal, and a group of which no two are near each other
+    a = spark.range(200_000).selectExpr("'C1' AS Config", "double((id * 7919) % 200000) / 64 AS judge_score_a_total", "CASE WHEN id % 3 = 0 THEN 7.5 ELSE double(id) / 8 END AS judge_score_b_total")
+    wide = spark.range(400).selectExpr("CAST(NULL AS STRING) AS Config", "power(10, id - 200) AS judge_score_a_total", "-power(2, id) AS judge_score_b_total")
+    df = a.unionByName(wide).repartition(6)
+    kept, real = {}, report.materialize
+
+    def seen(table, label, path=None):
+        kept[label] = real(table, label, path)
+        return kept[label]
+
+    monkeypatch.setattr(report, "materialize", seen)
+    boxes = {(r.Config, r.Gen): [r.q1, r.median, r.q3, r.rows] for r in report.box_stats(df, ["Config"]).collect()}
+    plain = df.groupBy("Config").agg(*[F.percentile(f"judge_score_{s}_total", [0.25, 0.5, 0.75]).alias(s) for s in "ab"]).collect()
+    want = {(r.Config, gen): [*r[side], 200_000 if r.Config else 400] for r in plain for gen, side in (("G1", "a"), ("G2", "b"))}
+    assert boxes.keys() == want.keys()
+    for k in want:
+        assert boxes[k] == pytest.approx(want[k], rel=1e-12)
+    assert "score-counts" not in kept and kept["near-quantiles"].count() < 2000
+
+
+def test_whole_and_odd_totals(spark):
+    nan = float("nan")
+    rows = [("C1", 1, nan), ("C1", 2, 2.0), ("C1", 3, nan), ("C1", 4, float("inf")), ("C2", None, -0.0), ("C2", 5, 0.0)]
+    df = spark.createDataFrame(rows, "Config string, judge_score_a_total int, judge_score_b_total double")
+    got = {(r.Config, r.Gen): (r.rows, r.q1, r.median, r.q3) for r in report.box_stats(df, ["Config"]).collect()}
+    assert got["C1", "G1"] == (4, 1.75, 2.5, 3.25) and got["C2", "G1"] == (1, 5.0, 5.0, 5.0)
+    assert got["C2", "G2"] == (2, 0.0, 0.0, 0.0) and got["C1", "G2"][0] == 4
