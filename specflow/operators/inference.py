@@ -14,9 +14,10 @@ import threading
 import time
 from collections import deque
 from collections.abc import Callable, Iterator, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
+from queue import SimpleQueue
 from typing import Any
 
 import pyarrow as pa
@@ -32,7 +33,6 @@ from specflow.session import materialize
 # --- fixed values -----------------------------------------------------------
 GENERATOR_OPTIONS = {"temperature": 0.3, "num_predict": 1000}
 # ----------------------------------------------------------------------------
-AHEAD = 4  # calls handed out per worker
 HELD_BATCHES = 4  # batches that may wait for a slow call while later ones go on
 
 CALLS_PER_TASK = 500  # calls a lost task has to make again at most
@@ -144,8 +144,9 @@ def generate_cached(
     """
     spark = df.sparkSession
     keyed = df.withColumn("__prompt", as_col(prompt)).withColumn("key", reply_key("__prompt", call))
-    wanted = keyed.filter(F.col("__prompt").isNotNull()).select("key", "__prompt").distinct()
-    wanted = materialize(wanted, "wanted-prompts")
+    # a hash is costly and longer than many prompts: only distinct prompts get one here
+    wanted = keyed.filter(F.col("__prompt").isNotNull()).select("__prompt").distinct()
+    wanted = materialize(wanted.select(reply_key("__prompt", call).alias("key"), "__prompt"), "wanted-prompts")
     mark = replies.call_mark(call.identity())
     kept = [] if refresh else replies.batches(spark, store, mark)
     ready = replies.known(spark, kept, wanted)
@@ -154,20 +155,20 @@ def generate_cached(
         ready = materialize(ready, "known-replies")
         missing = materialize(wanted.join(ready.select("key"), "key", "left_anti"), "missing-prompts")
     batch = replies.new_batch(store, mark)
-    count = missing.count()
-    if count and not refresh:
+    new_prompts = missing.count()
+    if new_prompts and not refresh:
         # named before it is written: what its tasks finish counts even if this run is lost
         replies.change(spark, store, lambda now: [*now, batch])
-    if count:
-        tasks = partitions or _tasks_for(spark, count, calls_per_task)
+    if new_prompts:
+        tasks = partitions or _tasks_for(spark, new_prompts, calls_per_task)
         asked = ask_lazily(missing, [Ask("__prompt", "reply", call, "seconds", True)], tasks, "key")
         asked = asked.filter(F.col("reply").isNotNull()).select(
             "key", "reply", "seconds", F.col("reply_attempts").alias("attempts"), F.current_timestamp().alias("asked_at")
         )
-        replies.write_batch(asked, batch, count)
+        replies.write_batch(asked, batch, new_prompts)
     if refresh:
-        replies.change(spark, store, lambda now: [batch] if count else [])
-    new = replies.read_batches(spark, [batch]) if count else None
+        replies.change(spark, store, lambda now: [batch] if new_prompts else [])
+    new = replies.read_batches(spark, [batch]) if new_prompts else None
     parts = [t.select("key", F.col("reply").alias("__reply"), F.col("seconds").alias("__seconds")) for t in (ready, new) if t is not None]
     found = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "key string, __reply string, __seconds double")
     # one row per key against the rows as they are: the adaptive planner splits a frequent prompt
@@ -220,10 +221,10 @@ def _range_of(hashed: str, ranges: int) -> Column:
 def _task(asks: list[Ask], kept: int, names: list[str]):
     shapes = [(a.call, a.time_column is not None, a.details) for a in asks]
 
-    def finished(batch: pa.RecordBatch, pending: list[list]) -> pa.RecordBatch:
+    def finished(batch: pa.RecordBatch, pending: list[_Calls]) -> pa.RecordBatch:
         columns = batch.columns[:kept]
-        for (_, timed, details), futures in zip(shapes, pending):
-            answers = [f.result() for f in futures]
+        for (_, timed, details), calls in zip(shapes, pending):
+            answers = calls.wait()
             columns.append(pa.array([r[0] for r in answers], pa.string()))
             if timed:
                 columns.append(pa.array([r[1] for r in answers], pa.float64()))
@@ -233,48 +234,79 @@ def _task(asks: list[Ask], kept: int, names: list[str]):
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pools = [_pool(call) for call, _, _ in shapes]
+        pools = [_Pool(call) for call, _, _ in shapes]
         held: deque = deque()
         try:
-            for batch in batches:
-                prompts = [batch.column(kept + i).to_pylist() for i in range(len(pools))]
-                pending: list[list] = [[] for _ in pools]
-                for row in zip(*prompts):  # all generators of a row start side by side
-                    for ask_one, prompt, futures in zip(pools, row, pending):
-                        futures.append(ask_one(prompt))
-                held.append((batch, pending))
-                while held and (len(held) > HELD_BATCHES or all(f.done() for fs in held[0][1] for f in fs)):
+            for batch in batches:  # all generators work on a batch side by side
+                held.append((batch, [pool.submit(batch.column(kept + i).to_pylist()) for i, pool in enumerate(pools)]))
+                while held and (len(held) > HELD_BATCHES or all(c.done.is_set() for c in held[0][1])):
                     yield finished(*held.popleft())
             while held:
                 yield finished(*held.popleft())
         finally:
-            for ask_one in pools:
-                ask_one.pool.shutdown(cancel_futures=True)
+            for pool in pools:
+                pool.close()
 
     return run
 
 
-def _pool(call: ModelCall):
-    """Submit function of a thread pool whose threads each own a client.
+class _Calls:
+    """The calls of one batch: each worker takes the next prompt that no other has taken."""
 
-    It waits while ``AHEAD`` calls per worker are unfinished, so a slow call holds
-    up one slot and no later row, and the queue stays short.
-    """
-    own = threading.local()
-    pool = ThreadPoolExecutor(max_workers=call.workers)
-    slots = threading.Semaphore(AHEAD * call.workers)
+    def __init__(self, prompts: list[str | None]):
+        self.prompts, self.answers = prompts, [None] * len(prompts)
+        self.taken, self.ended = count(), count(1)  # a step of a counter is never shared by two threads
+        self.done, self.error = threading.Event(), None
+        if not prompts:
+            self.done.set()
+
+    def wait(self) -> list[tuple]:
+        self.done.wait()
+        if self.error is not None:
+            raise self.error
+        return self.answers
 
-    def work(prompt: str | None):
-        return _ask_with_retry(call, own, prompt)
 
-    def submit(prompt: str | None):
-        slots.acquire()
-        future = pool.submit(work, prompt)
-        future.add_done_callback(lambda _: slots.release())
-        return future
+class _Pool:
+    """Threads that each own a client and work through batches in their order.
+
+    A batch is handed over whole, not call by call, since a hand-over costs more than a
+    quick call; a slow call holds up its own thread and no later row.
+    """
 
-    submit.pool = pool
-    return submit
+    def __init__(self, call: ModelCall):
+        self.call, self.queue, self.threads = call, SimpleQueue(), []
+        self.submitted, self.closed = 0, False
+
+    def submit(self, prompts: list[str | None]) -> _Calls:
+        calls = _Calls(prompts)
+        self.submitted += len(prompts)
+        for _ in range(min(self.call.workers, len(prompts))):  # as many threads as can take part
+            self.queue.put(calls)
+        while len(self.threads) < min(self.call.workers, self.submitted):
+            self.threads.append(threading.Thread(target=self._work, daemon=True))
+            self.threads[-1].start()
+        return calls
+
+    def close(self) -> None:
+        """Calls under way end, no other begins."""
+        self.closed = True
+        for _ in self.threads:
+            self.queue.put(None)
+        for thread in self.threads:
+            thread.join()
+
+    def _work(self) -> None:
+        own = threading.local()
+        while (calls := self.queue.get()) is not None:
+            size = len(calls.prompts)
+            while not self.closed and (k := next(calls.taken)) < size:
+                try:
+                    calls.answers[k] = _ask_with_retry(self.call, own, calls.prompts[k])
+                except BaseException as error:  # noqa: BLE001  raised again where the batch is waited for
+                    calls.error = error
+                if next(calls.ended) == size:
+                    calls.done.set()
 
 
 def _ask_with_retry(call: ModelCall, own, prompt: str | None):

@@ -307,3 +307,32 @@ def test_cached_replies_and_a_hot_prompt(spark, tmp_path):
     assert all(r.generation == f"m:{r.prompt}" for r in rows)
     assert "skew=true" in plan and "Limit" not in plan
     assert spark.read.parquet(str(tmp_path / "store")).count() == 2001
+
+
+def test_a_batch_is_handed_over_whole():
+    # a hand-over per call costs more than a quick call
+    calls = ModelCall(echo, "m", workers=3)
+    pool, puts = inference._Pool(calls), []
+    put, pool.queue = pool.queue.put, type("Q", (), {"get": staticmethod(pool.queue.get), "put": staticmethod(lambda x: (puts.append(x), put(x)))})()
+    batches = [pool.submit([f"{b}-{k}" for k in range(500)]) for b in range(3)] + [pool.submit([]), pool.submit([None])]
+    answers = [b.wait() for b in batches]
+    assert [[r[0] for r in a] for a in answers] == [[f"m:{b}-{k}" for k in range(500)] for b in range(3)] + [[], [None]]
+    assert len(puts) == 3 * 3 + 1 and len(pool.threads) == 3
+    pool.close()
+    assert not any(t.is_alive() for t in pool.threads)
+
+
+def test_only_distinct_prompts_are_hashed_for_the_store(spark, tmp_path, monkeypatch):
+    plans = {}
+    real = inference.materialize
+
+    def seen(df, label, path=None):
+        plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, label, path)
+
+    monkeypatch.setattr(inference, "materialize", seen)
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "prompt string")
+    rows = inference.generate_cached(df, "prompt", ModelCall(echo, "m"), f"{tmp_path}/store").collect()
+    assert sorted(str(r.generation) for r in rows) == ["None", "m:a", "m:a", "m:b"]
+    grouped, below = plans["wanted-prompts"].split("Aggregate [", 1)[1].split("\n", 1)
+    assert "sha2" not in grouped.split("]")[0] and "sha2" not in below  # neither a grouping key nor worked out before
